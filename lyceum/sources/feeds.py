@@ -43,7 +43,7 @@ def text_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.load(path)
 
 
-def table_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: str | None = None,
+def table_stream(spark: SparkSession, path: str, schema: T.StructType | str, pattern: str | None = None,
                  files_per_trigger: int | None = None) -> DataFrame:
     """A parquet folder as a stream; ``pattern`` picks files by name."""
     reader = spark.readStream.schema(schema)

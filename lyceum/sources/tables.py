@@ -73,8 +73,12 @@ def _time_text(c: str) -> Column:
 
 
 def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_info_of(table(spark, sf_dir, "orders"))
+
+
+def order_info_of(orders: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
-    return _record(table(spark, sf_dir, "orders"), "order_info", _seconds("o_orderdate") + key % 86400, {
+    return _record(orders, "order_info", _seconds("o_orderdate") + key % 86400, {
         "id": key, "user_id": F.col("o_custkey"), "province_id": F.col("o_custkey") % 30,
         "out_trade_no": F.concat(F.lit("T"), text(key)), "session_id": F.concat(F.lit("s"), text(key % 200)),
         "trade_body": F.col("o_orderpriority"), "final_amount": decimal_text("o_totalprice"),
@@ -83,11 +87,15 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_detail_of(table(spark, sf_dir, "lineitem"))
+
+
+def order_detail_of(lines: DataFrame) -> DataFrame:
     """Order and line number repeat in lineitem: the repeats act as versions of one line."""
     price = F.col("l_extendedprice").cast("decimal(16,2)")
     reduce_ = (price * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(16,2)")
     return _record(
-        table(spark, sf_dir, "lineitem"), "order_detail", _seconds("l_shipdate") + F.col("l_orderkey") % 86400, {
+        lines, "order_detail", _seconds("l_shipdate") + F.col("l_orderkey") % 86400, {
             "id": F.concat_ws("-", text("l_orderkey"), text("l_linenumber")),
             "order_id": F.col("l_orderkey"), "user_id": F.col("l_suppkey"), "course_id": F.col("l_partkey"),
             "create_time": _time_text("l_shipdate"), "origin_amount": price, "coupon_reduce": reduce_,
@@ -258,6 +266,29 @@ def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def course_info_of(parts: DataFrame) -> DataFrame:
+    """Parts as change records of the course table, with a column the dimension does not keep."""
+    return _record(parts, "course_info", F.lit(1704067200), {
+        "id": F.col("p_partkey"), "course_name": F.col("p_name"), "subject_id": F.col("p_partkey") % 30,
+        "price": decimal_text("p_retailprice"),
+    }, "bootstrap-insert")
+
+
+def nation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as change records of the province table."""
+    return _record(table(spark, sf_dir, "nation"), "base_province", F.lit(1704067200), {
+        "id": F.col("n_nationkey"), "name": F.col("n_name"), "region_id": F.col("n_regionkey"),
+    }, "bootstrap-insert")
+
+
+def dimension_config(spark: SparkSession) -> DataFrame:
+    """Which source tables feed which dimension, and the columns each keeps."""
+    return spark.createDataFrame([
+        ("course_info", "dim_course_info", "id,course_name,subject_id", None, None),
+        ("base_province", "dim_base_province", "id,name", "id", None),
+    ], "source_table string, sink_table string, sink_columns string, sink_pk string, sink_extend string")
+
+
 def json_feed(df: DataFrame) -> DataFrame:
     """Records as the JSON text a topic would carry."""
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
