@@ -1,8 +1,9 @@
 """First sightings: per key and day, or ever.
 
 In batch, "the first of the day" is ``min(ts)`` per key and day: a hash aggregate that shrinks a
-hot key inside each map task.  On a stream it is ``dropDuplicates`` on key and day window, whose
-state is dropped when the watermark passes the end of that day.
+hot key inside each map task.  On a stream it is a value per key (``streaming.state``) when a window
+aggregate follows, or else ``dropDuplicates`` on key and day window, whose state is dropped when the
+watermark passes the end of that day.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lyceum.operators.latest import earliest_per_key
 from lyceum.operators.skew import skew_join
+from lyceum.streaming import state
 
 
 def day_window(df: DataFrame, ts: str) -> Column:
@@ -26,8 +28,7 @@ def day_window(df: DataFrame, ts: str) -> Column:
 def first_sightings(df: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
     """(keys, ts): the first event of each key on each day."""
     if df.isStreaming:
-        days = df.select(*keys, ts, day_window(df, ts).alias("_day"))
-        return days.dropDuplicates([*keys, "_day"]).drop("_day")
+        return state.first_of_day(df.select(*keys, ts), keys, ts).drop("is_new", "is_back")
     return (
         df.groupBy(*keys, F.to_date(ts).alias("_day")).agg(F.min(ts).alias(ts)).drop("_day")
     )
@@ -43,7 +44,10 @@ def first_ever(df: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
 def first_rows_of_day(df: DataFrame, keys: list[str], ts: str = "ts", ties: list[str] = ()) -> DataFrame:
     """The whole first row of each key on each day."""
     if df.isStreaming:
-        return df.withColumn("_day", day_window(df, ts)).dropDuplicates([*keys, "_day"]).drop("_day")
+        # Only the day may carry the watermark here, so the time is rebuilt as a plain column.
+        plain_time = F.timestamp_micros(F.unix_micros(ts))
+        rows = df.withColumn("_day", day_window(df, ts)).withColumn(ts, plain_time)
+        return rows.dropDuplicates([*keys, "_day"]).drop("_day")
     with_day = df.withColumn("_day", F.to_date(ts))
     return earliest_per_key(with_day, [*keys, "_day"], [ts, *ties]).drop("_day")
 

@@ -21,6 +21,7 @@ from lyceum.operators import firsts
 from lyceum.operators.latest import latest_per_key
 from lyceum.operators.lookup import chain, lookup
 from lyceum.operators.windows import WINDOW, sums, tumble, tumble_measures, watermark
+from lyceum.streaming import state
 
 Dims = dict[str, DataFrame]
 LOGIN_DELAY = "3 seconds"
@@ -126,7 +127,7 @@ def dws_learn_chapter_play_window(plays: DataFrame, dims: Dims, window: str = WI
 
 def _first_play_of_day(rows: DataFrame) -> DataFrame:
     if rows.isStreaming:
-        picked = firsts.first_rows_of_day(rows.select("user_id", "video_id", "ts"), ["user_id"])
+        picked = state.first_of_day(rows.select("user_id", "video_id", "ts"), ["user_id"])
     else:
         earliest = F.min(F.struct("ts", "video_id")).alias("_first")
         picked = rows.groupBy("user_id", F.to_date("ts").alias("_day")).agg(earliest).select("_first.*")
@@ -151,8 +152,11 @@ def dws_trade_course_order_window(details: DataFrame, dims: Dims, window: str =
 def _users_of_day(details: DataFrame, uv: str, new: str, window: str) -> DataFrame:
     """Users of the day, and among them users never seen before."""
     rows = _timed(newest(details, "id"), "user_id")
+    if rows.isStreaming:
+        days = state.first_of_day(rows, ["user_id"])
+        return tumble_measures([days.select("ts", _one(uv), F.col("is_new").alias(new))], [], [uv, new], window)
     days = firsts.first_sightings(rows, ["user_id"])
-    ever = firsts.first_ever(rows if rows.isStreaming else days, ["user_id"])
+    ever = firsts.first_ever(days, ["user_id"])
     return tumble_measures([days.select("ts", _one(uv)), ever.select("ts", _one(new))], [], [uv, new], window)
 
 
@@ -188,7 +192,7 @@ def dws_trade_source_order_window(details: DataFrame, dims: Dims, window: str =
     measures = ["order_total_amount", "order_uu_count", "order_count"]
     out = tumble_measures(
         [rows, first_user.select("ts", "source_id", _one("order_uu_count")),
-         _first_lines(rows, ["order_id"], ["source_id"])],
+         _first_lines(rows, ["order_id"], ["source_id"], forget=True)],
         ["source_id"], measures, window)
     return lookup(out, dims["dim_base_source"], {"source_id": "id"}, {"source_site": "source_name"}).select(
         "stt", "edt", "source_id", "source_name", *measures)
@@ -209,10 +213,11 @@ def dws_trade_subject_user_order_window(details: DataFrame, dims: Dims, window:
     }).select("stt", "edt", "subject_id", "subject_name", "category_id", "category_name", "user_id", *measures)
 
 
-def _first_lines(rows: DataFrame, keys: list[str], take: list[str]) -> DataFrame:
-    """(ts, take, order_count = 1) of the first line of each key."""
+def _first_lines(rows: DataFrame, keys: list[str], take: list[str], forget: bool = False) -> DataFrame:
+    """(ts, take, order_count = 1) of the first line of each key.  ``forget`` lets a stream drop an
+    order's state once the watermark has passed it."""
     if rows.isStreaming:
-        picked = rows.dropDuplicates(keys)
+        picked = rows.dropDuplicatesWithinWatermark(keys) if forget else rows.dropDuplicates(keys)
     else:
         extra = [c for c in take if c not in keys]
         first = F.min(F.struct("ts", *extra)).alias("_first")

@@ -46,9 +46,10 @@ class LastDay(StatefulProcessor):
 
     NEVER = -(10**6)
 
-    def __init__(self, away_days: int, ttl_ms: int | None):
+    def __init__(self, away_days: int, ttl_ms: int | None, time: str | None = None):
         self.away_days = away_days
         self.ttl_ms = ttl_ms
+        self.time = time  # event-time column to pass on, for a stateful operator that follows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("last_day", "day int", self.ttl_ms)
@@ -64,6 +65,7 @@ class LastDay(StatefulProcessor):
             known = before != self.NEVER
             yield pd.DataFrame({
                 **_key_columns(key),
+                **({self.time: chunk[self.time].array} if self.time else {}),
                 "payload": chunk["payload"].to_numpy(),
                 "is_first": first.astype("int64"),
                 "is_new": (first & ~known).astype("int64"),
@@ -85,6 +87,22 @@ def flag_days(df: DataFrame, keys: list[str], ts: str = "ts", away_days: int = 8
     return _unpack(out, df.schema, "is_first", "is_new", "is_back")
 
 
+def first_of_day(df: DataFrame, keys: list[str], ts: str = "ts", away_days: int = 8) -> DataFrame:
+    """The first row of each key and day, plus ``is_new`` and ``is_back``.
+
+    ``ts`` stays the stream's event time, so a window aggregate can follow in the same query.
+    """
+    packed = _pack(df, keys, ts, day=F.unix_date(F.to_date(ts)))
+    out = packed.groupBy(*[f"key{i}" for i in range(len(keys))]).transformWithStateInPandas(
+        LastDay(away_days, None, ts),
+        f"{_key_schema(keys)}, {ts} timestamp, payload string, is_first bigint, is_new bigint, is_back bigint",
+        "append", "EventTime", eventTimeColumnName=ts)
+    rest = [f"r.{c}" for c in df.columns if c != ts]
+    rows = out.where("is_first = 1").select(
+        F.from_json("payload", df.schema, _JSON).alias("r"), ts, "is_new", "is_back")
+    return rows.select(ts, *rest, "is_new", "is_back")
+
+
 def returning_users(df: DataFrame, user: str, ts: str = "ts", away_days: int = 8) -> DataFrame:
     """(user, ts, uv_count, back_count), one row per user and day."""
     flagged = flag_days(df.where(F.col(user).isNotNull()).select(user, ts), [user], ts, away_days)
