@@ -38,7 +38,7 @@ def date_id(c: Column | str) -> Column:
 
 def to_epoch_millis(c: Column | str, fmt: str = DATE_TIME) -> Column:
     """Milliseconds of a date or date-time given as text."""
-    return F.unix_millis(F.to_timestamp(_col(c), F.lit(fmt)))
+    return F.unix_millis(F.to_timestamp(_col(c), fmt))
 
 
 def now_millis() -> Column:
