@@ -38,11 +38,13 @@ def _one(name: str):
     return F.lit(1).cast("long").alias(name)
 
 
-def newest(details: DataFrame, key: str) -> DataFrame:
+def newest(details: DataFrame, key: str, take: list[str]) -> DataFrame:
+    """Newest version per key, cut to the columns a summary needs before anything is shuffled.
+    Versions of one instant are told apart by those columns."""
     if details.isStreaming:
-        return details
-    rest = [c for c in details.columns if c not in (key, "row_op_ts")]
-    return latest_per_key(details, key, ["row_op_ts", *rest])
+        return details.select(key, *take)
+    rows = details.select("row_op_ts", key, *take)
+    return latest_per_key(rows, key, ["row_op_ts", *take]).drop("row_op_ts")
 
 
 def _timed(details: DataFrame, *columns, delay: str | None = None) -> DataFrame:
@@ -141,7 +143,7 @@ def dws_trade_cart_add_window(carts: DataFrame, window: str = WINDOW) -> DataFra
 
 
 def dws_trade_course_order_window(details: DataFrame, dims: Dims, window: str = WINDOW) -> DataFrame:
-    rows = _timed(newest(details, "id"), "course_id", money("final_amount").alias("order_total_amount"))
+    rows = _timed(newest(details, "id", ["course_id", "final_amount", "ts"]), "course_id", money("final_amount").alias("order_total_amount"))
     out = tumble(rows, ["course_id"], sums(["order_total_amount"]), window)
     return lookup(out, course_chain(dims), {"course_id": "id"}, {
         c: c for c in ("course_name", "subject_id", "subject_name", "category_id", "category_name")
@@ -151,7 +153,7 @@ def dws_trade_course_order_window(details: DataFrame, dims: Dims, window: str =
 
 def _users_of_day(details: DataFrame, uv: str, new: str, window: str) -> DataFrame:
     """Users of the day, and among them users never seen before."""
-    rows = _timed(newest(details, "id"), "user_id")
+    rows = _timed(newest(details, "id", ["user_id", "ts"]), "user_id")
     if rows.isStreaming:
         days = state.first_of_day(rows, ["user_id"])
         return tumble_measures([days.select("ts", _one(uv), F.col("is_new").alias(new))], [], [uv, new], window)
@@ -186,7 +188,7 @@ def dws_trade_province_order_window(changes: DataFrame, dims: Dims, window: str
 def dws_trade_source_order_window(details: DataFrame, dims: Dims, window: str = WINDOW) -> DataFrame:
     """An order counts once, for the source of its first line."""
     known = details.where(F.col("source_id").isNotNull())
-    rows = _timed(newest(known, "id"), "source_id", "user_id", "order_id",
+    rows = _timed(newest(known, "id", ["source_id", "user_id", "order_id", "final_amount", "ts"]), "source_id", "user_id", "order_id",
                   money("final_amount").alias("order_total_amount"))
     first_user = firsts.first_sightings(rows, ["source_id", "user_id"])
     measures = ["order_total_amount", "order_uu_count", "order_count"]
@@ -200,7 +202,7 @@ def dws_trade_source_order_window(details: DataFrame, dims: Dims, window: str =
 
 def dws_trade_subject_user_order_window(details: DataFrame, dims: Dims, window: str = WINDOW) -> DataFrame:
     """Orders and amounts per subject and user; an order counts once per subject."""
-    lines = lookup(newest(details, "id"), dims["dim_course_info"], {"course_id": "id"},
+    lines = lookup(newest(details, "id", ["course_id", "user_id", "order_id", "final_amount", "ts"]), dims["dim_course_info"], {"course_id": "id"},
                    {"subject_id": "subject_id"})
     rows = _timed(lines, "subject_id", "user_id", "order_id", money("final_amount").alias("order_total_amount"))
     measures = ["order_count", "order_total_amount"]
@@ -294,5 +296,5 @@ def dws_user_login_window(logins: DataFrame, window: str = WINDOW) -> DataFrame:
 
 
 def dws_user_register_window(registrations: DataFrame, window: str = WINDOW) -> DataFrame:
-    rows = _timed(newest(registrations, "user_id"), _one("register_count"))
+    rows = _timed(newest(registrations, "user_id", ["ts"]), _one("register_count"))
     return tumble_measures([rows], [], ["register_count"], window)

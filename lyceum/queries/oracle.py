@@ -64,18 +64,12 @@ CTES = {
   SELECT l.*, i.province_id, i.session_id, s.source_id, i.out_trade_no, i.trade_body,
          l.origin - l.coupon AS final_amount
   FROM lines l JOIN infos i ON l.order_id = i.id LEFT JOIN order_sources s ON i.session_id = s.sid""",
-    "newest_details": """
-  SELECT *, make_timestamp(ts * 1000000) AS t FROM details
-  QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts DESC, user_id DESC, course_id DESC, final_amount DESC) = 1""",
     "pays": """
   SELECT d.id, d.order_id, d.user_id, d.course_id, d.province_id, d.date_id, 'A' || i.id AS alipay_trade_no,
          i.trade_body, '1101' AS payment_type, '1602' AS payment_status,
          strftime(i.o_orderdate, '%Y-%m-%d %H:%M:%S') AS callback_time, i.o_orderstatus AS callback_content,
          d.origin, d.coupon, d.final_amount, CAST(epoch(i.o_orderdate) AS BIGINT) + 600 AS ts, d.ts AS op_ts
   FROM details d JOIN infos i ON d.order_id = i.id WHERE i.o_orderstatus = 'F'""",
-    "newest_pays": """
-  SELECT *, make_timestamp(ts * 1000000) AS t FROM pays
-  QUALIFY row_number() OVER (PARTITION BY id ORDER BY op_ts DESC, user_id DESC, course_id DESC) = 1""",
     "registers": """
   SELECT u.user_id, u.register_time, u.register_date, d.ch AS channel, d.ar AS province_id, d.vc AS version_code,
          d.sc AS source_id, d.mid AS mid_id, d.ba AS brand, d.md AS model, d.os AS operate_system, u.ts
@@ -113,7 +107,7 @@ CTES = {
 _NEEDS = {
     "logs": ["ev"], "pages": ["logs"], "plays": ["logs"], "visitors": ["pages"], "jumps": ["pages"],
     "order_sources": ["pages"], "details": ["lines", "infos", "order_sources"],
-    "newest_details": ["details"], "pays": ["details", "infos"], "newest_pays": ["pays"],
+    "pays": ["details", "infos"],
     "registers": ["ev", "pages"], "exams": ["ev"], "logins": ["pages"], "play_sessions": ["plays"],
 }
 
@@ -134,6 +128,13 @@ def sql(body: str, *ctes: str) -> str:
     return f"WITH {listed}\n{body.strip()}" if listed else body.strip()
 
 
+def newest(source: str, version: str, *ties: str) -> str:
+    """The newest version per ``id``; equal versions are told apart by ``ties``, compared as text."""
+    order = ", ".join(f"CAST({c} AS VARCHAR) DESC NULLS LAST" for c in ties)
+    return f"""(SELECT *, make_timestamp(ts * 1000000) AS t FROM {source}
+      QUALIFY row_number() OVER (PARTITION BY id ORDER BY {version} DESC, {order}) = 1)"""
+
+
 def bounds(size: str, t: str = "t") -> str:
     """``stt`` and ``edt`` of the window that holds ``t``."""
     start = f"time_bucket(INTERVAL '{size}', {t})"

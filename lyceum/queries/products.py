@@ -8,7 +8,7 @@ from lyceum import schemas
 from lyceum.functions.times import from_epoch_seconds
 from lyceum.operators import routing
 from lyceum.plans import details, logs, summaries
-from lyceum.queries.oracle import bounds, sql
+from lyceum.queries.oracle import bounds, newest, sql
 from lyceum.queries.registry import query
 from lyceum.sources import tables
 
@@ -311,27 +311,28 @@ LEFT JOIN region ON r_regionkey = n_regionkey"""
 SELECT stt, edt, course_id, p_name AS course_name, CAST(p_partkey % 30 AS VARCHAR) AS subject_id,
        n_name AS subject_name, CAST(n_regionkey AS VARCHAR) AS category_id, r_name AS category_name, order_total_amount
 FROM (SELECT {bounds(DAY)}, course_id, CAST(sum(final_amount) AS DOUBLE) AS order_total_amount
-      FROM newest_details GROUP BY 1, 2, 3) a {COURSE_DIMS}""", "newest_details"))
+      FROM {newest("details", "ts", "course_id", "final_amount")} GROUP BY 1, 2, 3) a {COURSE_DIMS}""", "details"))
 def dws_trade_course_order_window(spark, sf_dir):
     out = summaries.dws_trade_course_order_window(
         order_details(spark, sf_dir), tables.dimensions(spark, sf_dir), DAY)
     return as_double(out, "order_total_amount")
 
 
-def _users_sql(source: str, uv: str, new: str) -> str:
+def _users_sql(source: str, version: str, uv: str, new: str) -> str:
     return sql(f"""
 SELECT stt, edt, CAST(sum(uv) AS BIGINT) AS {uv}, CAST(sum(new) AS BIGINT) AS {new}
 FROM (SELECT {bounds(HOUR)}, 1 AS uv, CASE WHEN t = min(t) OVER (PARTITION BY user_id) THEN 1 ELSE 0 END AS new
-      FROM (SELECT user_id, min(t) AS t FROM {source} GROUP BY user_id, CAST(t AS DATE)))
+      FROM (SELECT user_id, min(t) AS t FROM {newest(source, version, "user_id", "ts")}
+            GROUP BY user_id, CAST(t AS DATE)))
 GROUP BY 1, 2""", source)
 
 
-@query(_users_sql("newest_details", "order_uv_count", "new_order_user_count"))
+@query(_users_sql("details", "ts", "order_uv_count", "new_order_user_count"))
 def dws_trade_order_window(spark, sf_dir):
     return summaries.dws_trade_order_window(order_details(spark, sf_dir), HOUR)
 
 
-@query(_users_sql("newest_pays", "pay_suc_uv_count", "pay_suc_new_user_count"))
+@query(_users_sql("pays", "op_ts", "pay_suc_uv_count", "pay_suc_new_user_count"))
 def dws_trade_pay_suc_window(spark, sf_dir):
     return summaries.dws_trade_pay_suc_window(pay_details(spark, sf_dir), HOUR)
 
@@ -358,9 +359,10 @@ FROM (SELECT {bounds(DAY)}, source_id, CAST(sum(final_amount) AS DOUBLE) AS orde
              CAST(sum(CASE WHEN order_rn = 1 THEN 1 ELSE 0 END) AS BIGINT) AS order_count
       FROM (SELECT *, row_number() OVER (PARTITION BY source_id, user_id, CAST(t AS DATE) ORDER BY ts) AS user_rn,
                    row_number() OVER (PARTITION BY order_id ORDER BY ts, source_id) AS order_rn
-            FROM newest_details WHERE source_id IS NOT NULL)
+            FROM {newest("(SELECT * FROM details WHERE source_id IS NOT NULL)", "ts", "source_id", "user_id", "order_id",
+                         "final_amount")})
       GROUP BY 1, 2, 3) a
-LEFT JOIN region ON CAST(r_regionkey AS VARCHAR) = source_id""", "newest_details"))
+LEFT JOIN region ON CAST(r_regionkey AS VARCHAR) = source_id""", "details"))
 def dws_trade_source_order_window(spark, sf_dir):
     out = summaries.dws_trade_source_order_window(
         order_details(spark, sf_dir), tables.dimensions(spark, sf_dir), DAY)
@@ -374,10 +376,11 @@ FROM (SELECT {bounds(DAY)}, subject_id, user_id, CAST(sum(final_amount) AS DOUBL
              CAST(sum(CASE WHEN rn = 1 THEN 1 ELSE 0 END) AS BIGINT) AS order_count
       FROM (SELECT *, row_number() OVER (PARTITION BY subject_id, order_id ORDER BY ts, user_id) AS rn
             FROM (SELECT d.*, CAST(p_partkey % 30 AS VARCHAR) AS subject_id
-                  FROM newest_details d LEFT JOIN part ON p_partkey = l_partkey))
+                  FROM {newest("details", "ts", "course_id", "user_id", "order_id", "final_amount")} d
+                  LEFT JOIN part ON p_partkey = l_partkey))
       GROUP BY 1, 2, 3, 4) a
 LEFT JOIN nation ON CAST(n_nationkey AS VARCHAR) = subject_id LEFT JOIN region ON r_regionkey = n_regionkey""",
-           "newest_details"))
+           "details"))
 def dws_trade_subject_user_order_window(spark, sf_dir):
     out = summaries.dws_trade_subject_user_order_window(
         order_details(spark, sf_dir), tables.dimensions(spark, sf_dir), DAY)

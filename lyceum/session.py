@@ -13,6 +13,10 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Sizes seen at run time are compressed; a broadcast table is built whole on the driver.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "4m",
+    # Skip the sorts of a sort-merge join when every partition of one side is this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # transformWithState needs the RocksDB provider; its state lives on disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
