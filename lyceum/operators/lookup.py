@@ -53,7 +53,7 @@ def keep_columns(data: Column | str, listed: Column | str) -> Column:
     """Entries of a map whose name is in a comma-separated list (whole names)."""
     data = F.col(data) if isinstance(data, str) else data
     listed = F.col(listed) if isinstance(listed, str) else listed
-    names = F.transform(F.split(listed, ","), F.trim)
+    names = F.transform(F.split(listed, ","), lambda name: F.trim(name))
     return F.map_filter(data, lambda name, _: F.array_contains(names, name))
 
 
