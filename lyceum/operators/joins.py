@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lyceum.operators.skew import skew_join
 
@@ -26,11 +26,58 @@ def join_feeds(
     if within is None and not left.isStreaming:
         renamed = right.withColumnRenamed(right_key, left_key)
         return skew_join(left, renamed, [left_key], how, **join_options)
-    near = _near(left[left_ts], right[right_ts], within)
-    joined = left.join(right, (left[left_key] == right[right_key]) & near, how)
+    close = near(left[left_ts], right[right_ts], within)
+    joined = left.join(right, (left[left_key] == right[right_key]) & close, how)
     return joined if left_key == right_key else joined.drop(right_key)
 
 
-def _near(a: Column, b: Column, within: str) -> Column:
+def latest_within(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_ts: str, right_ts: str, within: str
+) -> DataFrame:
+    """Every left row with the newest right row of its key at most ``within`` away in time (batch).
+
+    This is what a keyed sink keeps of a time-limited join, found without forming the pairs: both
+    sides are merged by time inside (key, time slice) groups, and each slice also sees the last right
+    row of the two slices before it, which is as far as the limit reaches.  A very frequent key is
+    spread over its slices.  Adds the columns of ``right`` other than its key; nulls where none fits.
+    """
+    span = _seconds(within) * 1_000_000
+    found = [c for c in right.columns if c != right_key]
+    right_time = F.unix_micros(right_ts)
+    hits = right.where(F.col(right_key).isNotNull() & F.col(right_ts).isNotNull()).select(
+        F.col(right_key).alias(left_key),
+        right_time.alias("_at"),
+        F.struct(right_time.alias("_t"), *found).alias("_hit"),
+    ).withColumn("_slice", F.floor(F.col("_at") / span))
+    carried = hits.groupBy(left_key, "_slice").agg(F.max("_hit").alias("_hit")).select(
+        left_key,
+        F.col("_hit._t").alias("_at"),
+        "_hit",
+        F.explode(F.array(F.col("_slice") + 1, F.col("_slice") + 2)).alias("_slice"),
+    )
+    # A left row looks back from the far end of its reach.
+    rows = left.withColumn("_at", F.unix_micros(left_ts) + span).withColumn(
+        "_slice", F.floor(F.col("_at") / span)
+    ).withColumn("_left", F.lit(True))
+    merged = rows.unionByName(hits.unionByName(carried), allowMissingColumns=True)
+    by_time = W.partitionBy(left_key, "_slice").orderBy("_at", F.col("_left").asc_nulls_first(), "_hit")
+    seen = F.last("_hit", ignorenulls=True).over(by_time.rowsBetween(W.unboundedPreceding, W.currentRow))
+    fits = F.col("_seen._t") >= F.col("_at") - 2 * span
+    return merged.withColumn("_seen", seen).where("_left").select(
+        *left.columns, *[F.when(fits, F.col(f"_seen.{c}")).alias(c) for c in found]
+    )
+
+
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def _seconds(within: str) -> int:
+    number, unit = within.split()
+    return int(number) * _UNITS[unit.rstrip("s")]
+
+
+def near(a: Column | str, b: Column | str, within: str) -> Column:
+    """Two times at most ``within`` apart."""
+    a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
     span = F.expr(f"interval {within}")
     return (b >= a - span) & (b <= a + span)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 # A key is hot above this share of the rows, so there are at most 100,000 hot keys whatever the
@@ -18,8 +21,7 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, rows: int
 
     Counts are pre-aggregated in each map task and read the key columns only.
     """
-    known = df.where(F.concat(*[F.col(k).cast("string") for k in keys]).isNotNull())
-    counts = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows").alias("_total")).scalar()
     # The cheap test first: it leaves few rows for the other one.
     return counts.where((F.col("_rows") > rows) & (F.col("_rows") > total * share)).select(*keys)
@@ -43,20 +45,25 @@ def skew_join(
     slice, so the result equals the plain join.  ``how`` is ``inner`` or ``left``.
 
     ``hot_from`` is a cheaper frame with the same keys to count on (default ``left``); which keys it
-    calls hot affects balance only.  When its estimated size is below ``small_bytes`` no key can be
-    large, and the join is a plain one.
+    calls hot affects balance only.  The join is a plain one when ``hot_from`` is estimated below
+    ``small_bytes``, so that no key can be large, or when Spark will broadcast ``right`` anyway;
+    ``small_bytes=0`` always spreads.
     """
     if how not in ("inner", "left"):
         raise ValueError("repeated right rows are only harmless in inner and left joins")
     counted = left if hot_from is None else hot_from
-    if estimated_bytes(counted) < small_bytes:
+    broadcast_limit = _bytes(left.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    fits = small_bytes and estimated_bytes(right) <= broadcast_limit
+    if fits or estimated_bytes(counted) < small_bytes:
         return left.join(right, keys, how)
     slices = slices or max(8, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hot = F.broadcast(hot_keys(counted, keys, share, rows).withColumn("_hot", F.lit(True)))
     hashable = [f.name for f in left.schema if not _holds_map(f.dataType)]
     spread = F.pmod(F.xxhash64(*hashable), F.lit(slices)).cast("int")
+    # Rows without a key match nothing, so they may go anywhere too.
+    keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     sliced_left = left.join(hot, keys, "left").withColumn(
-        "_slice", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
+        "_slice", F.when(F.col("_hot") | keyless, spread).otherwise(F.lit(0))
     ).drop("_hot")
     all_slices = F.sequence(F.lit(0), F.lit(slices - 1))
     sliced_right = right.join(hot, keys, "left").withColumn(
@@ -70,6 +77,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _bytes(size: str) -> int:
+    """A Spark size setting such as ``10MB``, ``10485760b`` or ``-1`` in bytes."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", size.strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
 def _holds_map(kind: T.DataType) -> bool:
     if isinstance(kind, T.MapType):
         return True

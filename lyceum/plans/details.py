@@ -2,7 +2,8 @@
 
 ``changes`` is a frame of (database, table, type, data, ts); ``pages`` a frame of (common, page, ts)
 with ``common`` and ``page`` as maps or structs.  Given ``within``, joins are limited to rows whose
-event times are that close, which a stream needs; without it, batch joins take all history.
+event times are that close, which a stream needs; without it, batch joins take all history.  A stream
+may emit a line once per match, for the keyed sink to keep the last; batch finds that one directly.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lyceum import schemas
 from lyceum.functions.times import date_id, from_epoch_millis, from_epoch_seconds
-from lyceum.operators.joins import join_feeds
+from lyceum.operators.joins import join_feeds, latest_within, near
 from lyceum.operators.latest import latest_per_key
 from lyceum.operators.windows import watermark
 
@@ -71,21 +72,21 @@ def dwd_trade_order_detail(
         joined = join_feeds(details, orders, "order_id", "info_id", "inner",
                             "detail_time", "order_time", within or ORDER_WITHIN)
         joined = join_feeds(joined, sources, "session_id", "log_session_id", "left",
-                            "detail_time", "log_time", within or ORDER_WITHIN)
-    elif within:
-        joined = join_feeds(details, orders, "order_id", "info_id", "inner",
-                            "detail_time", "order_time", within)
-        joined = join_feeds(joined, sources, "session_id", "log_session_id", "left",
-                            "detail_time", "log_time", within)
+                            "order_time", "log_time", within or ORDER_WITHIN)
     else:
         # The sink is keyed and keeps the last row written per line, so one order row per order and
-        # one page row per session are enough; reducing them first keeps the joins one-to-many.
+        # one page row per order are enough; reducing them first keeps the joins one-to-many.
         # Orders get their source before they meet the many order lines: both left sides are then
         # plain scans, whose hot keys are cheap to find.
         orders = latest_per_key(orders, "info_id", ["order_time", "session_id"])
-        sources = latest_per_key(sources, "log_session_id", ["log_time", "source_id"])
-        sourced = join_feeds(orders, sources, "session_id", "log_session_id", "left")
+        if within:
+            sourced = latest_within(orders, sources, "session_id", "log_session_id", "order_time", "log_time", within)
+        else:
+            sources = latest_per_key(sources, "log_session_id", ["log_time", "source_id"])
+            sourced = join_feeds(orders, sources, "session_id", "log_session_id", "left")
         joined = join_feeds(details, sourced, "order_id", "info_id", "inner")
+        if within:
+            joined = joined.where(near("detail_time", "order_time", within))
     stamp = row_op_ts if row_op_ts is not None else F.current_timestamp()
     return joined.withColumn("row_op_ts", stamp).select(*schemas.ORDER_DETAIL.names)
 
@@ -105,14 +106,17 @@ def dwd_trade_pay_suc_detail(
     )
     lines = order_details.drop("trade_body").withColumn("detail_time", from_epoch_seconds("ts"))
     if changes.isStreaming:
-        within = within or PAYMENT_WITHIN
         paid, lines = watermark(paid, "paid_time"), watermark(lines, "detail_time")
-    elif not within:
+        joined = join_feeds(lines, paid, "order_id", "paid_order_id", "inner",
+                            "detail_time", "paid_time", within or PAYMENT_WITHIN)
+    elif within:
+        joined = latest_within(lines, paid, "order_id", "paid_order_id", "detail_time", "paid_time", within)
+        joined = joined.where(F.col("paid_time").isNotNull())
+    else:
         paid = latest_per_key(paid, "paid_order_id", ["paid_time", "alipay_trade_no"])
-    # Lines per order are counted on the raw feed, which is cheaper than the joined lines.
-    raw_lines = rows_of(changes, "order_detail").select(field("order_id"))
-    joined = join_feeds(lines, paid, "order_id", "paid_order_id", "inner",
-                        "detail_time", "paid_time", within, hot_from=raw_lines)
+        # Lines per order are counted on the raw feed, which is cheaper than the joined lines.
+        raw_lines = rows_of(changes, "order_detail").select(field("order_id"))
+        joined = join_feeds(lines, paid, "order_id", "paid_order_id", "inner", hot_from=raw_lines)
     return joined.withColumn("ts", F.col("paid_ts")).withColumn(
         "original_amount", F.col("origin_amount")
     ).select(*schemas.PAY_SUC_DETAIL.names)
@@ -138,14 +142,16 @@ def dwd_user_user_register(
         from_epoch_millis("ts").alias("log_time"),
     )
     if changes.isStreaming:
-        within = within or ORDER_WITHIN
         users, devices = watermark(users, "user_time"), watermark(devices, "log_time")
-    elif not within:
-        # The sink keeps one row per user: reduce both sides to one before joining.
+        joined = join_feeds(users, devices, "user_id", "log_user_id", "left", "user_time", "log_time",
+                            within or ORDER_WITHIN)
+    else:
+        # The sink keeps one row per user: reduce to that before joining.
         users = latest_per_key(users, "user_id", ["user_time", "register_time"])
-        devices = latest_per_key(devices, "log_user_id", ["log_time", *attributes.values()])
-    joined = join_feeds(users, devices, "user_id", "log_user_id", "left", "user_time", "log_time", within)
-    if within and not changes.isStreaming:
-        joined = latest_per_key(joined, "user_id", ["user_time", "log_time", *attributes.values()])
+        if within:
+            joined = latest_within(users, devices, "user_id", "log_user_id", "user_time", "log_time", within)
+        else:
+            devices = latest_per_key(devices, "log_user_id", ["log_time", *attributes.values()])
+            joined = join_feeds(users, devices, "user_id", "log_user_id", "left")
     stamp = row_op_ts if row_op_ts is not None else F.current_timestamp()
     return joined.withColumn("row_op_ts", stamp).select(*schemas.USER_REGISTER.names)

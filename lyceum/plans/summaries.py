@@ -19,7 +19,7 @@ from lyceum.functions.times import from_epoch_millis, from_epoch_seconds, millis
 from lyceum.functions.values import money, one_if, score_band, truncated
 from lyceum.operators import firsts
 from lyceum.operators.latest import latest_per_key
-from lyceum.operators.lookup import chain, lookup
+from lyceum.operators.lookup import chain, lookup, lookup_rows
 from lyceum.operators.windows import WINDOW, sums, tumble, tumble_measures, watermark
 from lyceum.streaming import state
 
@@ -202,8 +202,9 @@ def dws_trade_source_order_window(details: DataFrame, dims: Dims, window: str =
 
 def dws_trade_subject_user_order_window(details: DataFrame, dims: Dims, window: str = WINDOW) -> DataFrame:
     """Orders and amounts per subject and user; an order counts once per subject."""
-    lines = lookup(newest(details, "id", ["course_id", "user_id", "order_id", "final_amount", "ts"]), dims["dim_course_info"], {"course_id": "id"},
-                   {"subject_id": "subject_id"})
+    lines = newest(details, "id", ["course_id", "user_id", "order_id", "final_amount", "ts"])
+    lines = lookup_rows(lines, dims["dim_course_info"], "course_id", {"subject_id": "subject_id"},
+                        details.select("course_id"))
     rows = _timed(lines, "subject_id", "user_id", "order_id", money("final_amount").alias("order_total_amount"))
     measures = ["order_count", "order_total_amount"]
     out = tumble_measures([rows, _first_lines(rows, ["subject_id", "order_id"], ["subject_id", "user_id"])],

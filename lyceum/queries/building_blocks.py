@@ -217,6 +217,22 @@ def join_within_time(spark, sf_dir):
     return joined.select("order_id", "course_id", "user_id")
 
 
+@query("""
+SELECT o_orderkey AS order_id, l_partkey AS course_id, l_suppkey AS user_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC, l_suppkey DESC) AS rn
+  FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+   AND l_shipdate BETWEEN o_orderdate - INTERVAL 60 DAY AND o_orderdate + INTERVAL 60 DAY)
+WHERE rn = 1""")
+def join_latest_within_time(spark, sf_dir):
+    """Each order with the newest of its lines at most 60 days away, if any."""
+    orders = tables.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("order_time"))
+    lines = tables.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("line_order"), F.col("l_partkey").alias("course_id"),
+        F.col("l_suppkey").alias("user_id"), F.col("l_shipdate").alias("line_time"))
+    out = joins.latest_within(orders, lines, "order_id", "line_order", "order_time", "line_time", "60 days")
+    return out.select("order_id", "course_id", "user_id")
+
+
 @query("""
 SELECT c_mktsegment AS segment, n_name AS nation, r_name AS region, customers FROM (
   SELECT c_mktsegment, c_nationkey, count(*) AS customers FROM customer GROUP BY 1, 2)
@@ -432,7 +448,8 @@ def aggregate_distinct_orders(spark, sf_dir):
     """Orders per part type, each counted once at its first line."""
     types = tables.table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("type"))
     lines = tables.table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", F.col("l_shipdate").alias("ts"))
-    typed = lookup.lookup(lines, types, {"l_partkey": "p_partkey"}, {"type": "type"})
+    types = types.withColumnRenamed("p_partkey", "id")
+    typed = lookup.lookup_rows(lines, types, "l_partkey", {"type": "type"}, lines)
     first = firsts.first_ever(typed, ["type", "l_orderkey"])
     return windows.tumble(first, ["type"], [F.count(F.lit(1)).alias("orders")], DAY)
 

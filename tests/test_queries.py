@@ -51,8 +51,8 @@ def test_scans_read_only_the_columns_needed(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    plan = plan_of(entry_points.queries()["filter_paid"](spark, SF))
-    assert "PushedFilters: [IsNotNull(o_orderstatus)" in plan or "EqualTo(o_orderstatus,F)" in plan
+    plan = plan_of(entry_points.queries()["dwd_interaction_review"](spark, SF))
+    assert "EqualTo(event_type,view)" in plan
 
 
 def test_entry_is_the_flagship(spark):

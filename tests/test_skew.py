@@ -7,8 +7,8 @@ import pytest
 from conftest import ordered, tuples
 from pyspark.sql import functions as F
 
-from lyceum.operators import sessions
-from lyceum.operators.skew import hot_keys, skew_join
+from lyceum.operators import joins, sessions
+from lyceum.operators.skew import _bytes, hot_keys, skew_join
 
 
 def skewed(frame, n=3000):
@@ -45,6 +45,33 @@ def test_salted_join_spreads_the_hot_key(spark, frame):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_rows_without_a_key_spread_too(spark, frame):
+    left = frame([(i, None if i % 2 else "a") for i in range(4000)], "id int, k string")
+    right = frame([("a", 1)], "k string, v int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = skew_join(left, right, ["k"], "left", slices=16, share=0.05, rows=50, small_bytes=0)
+        missing = joined.where("v is null").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in missing) == 2000 and len(missing) > 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("left_rows,right_rows,spread", [(10**3, 10**9, False), (10**9, 10**3, False), (10**9, 10**9, True)])
+def test_join_is_plain_when_a_side_is_small_enough(spark, left_rows, right_rows, spread):
+    left = spark.range(left_rows).withColumnRenamed("id", "k")
+    right = spark.range(right_rows).withColumnRenamed("id", "k").withColumn("v", F.lit(1))
+    plan = skew_join(left, right, ["k"], "left")._jdf.queryExecution().optimizedPlan().toString()
+    assert ("_slice" in plan) == spread
+
+
+@pytest.mark.parametrize("text,size", [("10MB", 10 << 20), ("10485760b", 10 << 20), ("-1", -1), ("64m", 64 << 20), ("5", 5)])
+def test_size_settings(text, size):
+    assert _bytes(text) == size
+
+
 def test_outer_sides_that_salting_would_break_are_refused(frame):
     with pytest.raises(ValueError):
         skew_join(skewed(frame), skewed(frame), ["k"], "full")
@@ -95,3 +122,19 @@ def test_bounces_match_brute_force(frame, seed, slice_seconds):
     df = frame(rows, "id int, k string, s int, start boolean, v int").withColumn("ts", F.timestamp_seconds("s"))
     out = sessions.bounces(df, "k", F.col("start"), 10, "ts", ["id"], slice_seconds)
     assert tuples(out, "id") == ordered(expected)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_latest_within_matches_brute_force(frame, seed):
+    left, right = _random_rows(seed, 600), _random_rows(seed + 10, 800)
+    expected = []
+    for row in left:
+        hits = [(r[2], r[0]) for r in right if r[1] == row[1] and abs(r[2] - row[2]) <= 10]
+        expected.append((row[0], max(hits)[1] if hits else None))
+    schema = "id int, k string, s int, start boolean, v int"
+    lhs = frame([*left, (-1, None, 5, True, 0)], schema).select("id", "k", F.timestamp_seconds("s").alias("lt"))
+    rhs = frame([*right, (-2, None, 5, True, 0)], schema).select(
+        F.col("k").alias("rk"), F.timestamp_seconds("s").alias("rt"), F.col("id").alias("hit"))
+    out = joins.latest_within(lhs, rhs, "k", "rk", "lt", "rt", "10 seconds")
+    assert tuples(out, "id", "hit") == ordered([*expected, (-1, None)])
+    assert out.columns == ["id", "k", "lt", "rt", "hit"]
