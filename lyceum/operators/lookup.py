@@ -83,11 +83,13 @@ def dimension_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
     )
 
 
-def dimension_rows(routed: DataFrame, sink_table: str, columns: list[str], pk: str = "id",
-                   order: list[str | Column] = ("ts",)) -> DataFrame:
-    """Current rows of one dimension: newest change per key, every column as text.  A deletion in
-    the source keeps the row, as an upsert."""
-    mine = routed.where(F.col("sink_table") == sink_table)
-    wide = mine.select("*", F.element_at("data", pk).alias("_pk"))
-    newest = latest_per_key(wide.where(F.col("_pk").isNotNull()), "_pk", list(order))
-    return newest.select(*[F.element_at("data", c).alias(c) for c in columns])
+def dimension_rows(routed: DataFrame, sink_table: str, columns: list[str], pk: str = "id") -> DataFrame:
+    """Current rows of one dimension: newest change per key, every column as text, and its change
+    time as ``_version``.  A deletion in the source keeps the row, as an upsert."""
+    rows = routed.where(F.col("sink_table") == sink_table).select(
+        F.element_at("data", pk).alias("_pk"),
+        F.col("ts").cast("long").alias("_version"),
+        *[F.element_at("data", c).alias(c) for c in columns],
+    )
+    known = rows.where(F.col("_pk").isNotNull())
+    return latest_per_key(known, "_pk", ["_version", *columns]).drop("_pk")

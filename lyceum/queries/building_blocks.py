@@ -121,10 +121,9 @@ def sink_keyed_upsert(spark, sf_dir):
 @query("""SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name FROM nation""")
 def sink_dimension(spark, sf_dir):
     """Dimension table created from its configuration, then upserted."""
-    routed = lookup.dimension_changes(tables.nation_records(spark, sf_dir), tables.dimension_config(spark))
     root = scratch_path(spark, "nation-dim")
     schema = sinks.ensure_dimension(spark, root, "dim_base_province", "id,name")
-    sinks.dimension_writer(root, [("dim_base_province", "id,name", "id")])(routed, 0)
+    sinks.dimension_writer(root, tables.dimension_config)(tables.nation_records(spark, sf_dir), 0)
     return sinks.read_dimension(spark, root, "dim_base_province", schema)
 
 

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from lyceum.functions.times import from_epoch_seconds
 from lyceum.operators import firsts, routing
 from lyceum.operators.joins import join_feeds
-from lyceum.operators.lookup import dimension_changes
 from lyceum.operators.sessions import session_rollup
 from lyceum.operators.windows import tumble, watermark
-from lyceum.plans import details, summaries
+from lyceum.plans import details, dimensions, logs, summaries
 from lyceum.queries.oracle import bounds, sql
 from lyceum.queries.registry import query
 from lyceum.session import scratch_path
@@ -212,11 +211,72 @@ def stream_keyed_upsert(spark, sf_dir):
 SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS course_name, CAST(p_partkey % 30 AS VARCHAR) AS subject_id FROM part""")
 def stream_dimension_upsert(spark, sf_dir):
     """The dimension loader: change records, configuration, columns cut, upserted per micro-batch."""
-    parts = stream_of(spark, sf_dir, "part")
-    changes = tables.course_info_of(parts)
-    config = tables.dimension_config(spark)
+    raw = tables.json_feed(tables.course_info_of(stream_of(spark, sf_dir, "part")))
     root, checkpoint = scratch_path(spark, "dims"), scratch_path(spark, "dims-checkpoint")
-    schema = sinks.ensure_dimension(spark, root, "dim_course_info", "id,course_name,subject_id")
-    writer = sinks.dimension_writer(root, [("dim_course_info", "id,course_name,subject_id", None)])
-    jobs.for_each_batch(dimension_changes(changes, config), writer, checkpoint)
+    jobs.for_each_batch(raw, dimensions.dim_writer(root, tables.config_feed), checkpoint)
+    schema = sinks.dimension_schema("id,course_name,subject_id")
     return sinks.read_dimension(spark, root, "dim_course_info", schema)
+
+
+@query("""
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, CAST(p_partkey % 30 AS VARCHAR) AS subject_id FROM part
+UNION ALL SELECT CAST(n_nationkey AS VARCHAR), n_name, NULL FROM nation""", name="dim_tables")
+def dim_tables(spark, sf_dir):
+    """The dimension loader in batch, from raw text and the configuration's change log."""
+    raw = tables.json_feed(tables.course_info_of(tables.table(spark, sf_dir, "part")).unionByName(
+        tables.nation_records(spark, sf_dir)))
+    dims = dimensions.dim_tables(raw, tables.config_feed(spark), {
+        "dim_course_info": ["id", "course_name", "subject_id"], "dim_base_province": ["id", "name"]})
+    courses = dims["dim_course_info"].withColumnRenamed("course_name", "name")
+    return courses.unionByName(dims["dim_base_province"], allowMissingColumns=True)
+
+
+@query(sql("""
+SELECT source_id, nullif(uid0, '') AS user_id, session_id, play_sec, position_sec, video_id, ts FROM (
+  SELECT *, last_ts FROM play_sessions JOIN (
+    SELECT sid, max(ts) AS last_ts, min(ts) AS first_ts FROM (
+      SELECT *, sum(opens) OVER (PARTITION BY sid ORDER BY ts, event_id) AS n
+      FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY sid ORDER BY ts, event_id) <= 86400000
+                           THEN 0 ELSE 1 END AS opens FROM plays)) GROUP BY sid, n) e
+  ON e.sid = session_id AND e.first_ts = ts)
+WHERE last_ts + 86400000 <= (SELECT max(ts) FROM plays) - 5000""", "plays", "play_sessions"))
+def stream_learn_play(spark, sf_dir):
+    plays = routing.play_log(tables.log_of(events_stream(spark, sf_dir)))
+    out = jobs.materialise(logs.dwd_learn_play(plays, 86400), "plays")
+    return out.select("source_id", "user_id", "session_id", "play_sec", "position_sec", "video_id", "ts")
+
+
+@query(sql(f"""
+SELECT * FROM (
+  SELECT {bounds(HOUR, 'ts')}, CAST(sum(back) AS BIGINT) AS back_count, count(*) AS uv_count
+  FROM (SELECT ts, CASE WHEN CAST(ts AS DATE) - lag(CAST(ts AS DATE)) OVER (PARTITION BY user_id ORDER BY ts) >= 8
+                        THEN 1 ELSE 0 END AS back
+        FROM (SELECT user_id, min(ts) AS ts FROM ev GROUP BY user_id, CAST(ts AS DATE)))
+  GROUP BY 1, 2)
+WHERE CAST(edt AS TIMESTAMP) <= (SELECT max(ts) FROM (SELECT min(ts) AS ts FROM ev GROUP BY user_id, CAST(ts AS DATE)))
+                                - INTERVAL 3 SECOND""", "ev"))
+def stream_login_window(spark, sf_dir):
+    """Two stages with a detail table between them: users of the day, then windows."""
+    days = state.returning_users(events_stream(spark, sf_dir).select("user_id", "ts"), "user_id")
+    path, checkpoint = scratch_path(spark, "login-days"), scratch_path(spark, "login-days-checkpoint")
+    sinks.run_available(sinks.to_files(days, path, checkpoint))
+    again = jobs.table_as_stream(spark, path, days)
+    return jobs.materialise(summaries.dws_user_login_window(again, HOUR), "login-window")
+
+
+@query(sql(f"""
+SELECT * FROM (
+  SELECT {bounds(HOUR)}, province_id, count(*) AS order_count,
+         CAST(sum(CASE WHEN rn = 1 THEN 1 ELSE 0 END) AS BIGINT) AS order_uu_count,
+         CAST(sum(final_amount) AS DOUBLE) AS order_total_amount
+  FROM (SELECT *, make_timestamp(ts * 1000000) AS t,
+               row_number() OVER (PARTITION BY province_id, user_id, CAST(make_timestamp(ts * 1000000) AS DATE)
+                                  ORDER BY ts) AS rn FROM infos)
+  GROUP BY 1, 2, 3)
+WHERE CAST(edt AS TIMESTAMP) <= (SELECT max(make_timestamp(ts * 1000000)) FROM infos) - INTERVAL 5 SECOND""", "infos"))
+def stream_province_orders(spark, sf_dir):
+    """Plain measures and users of the day meet in one window aggregate; static lookup at the end."""
+    changes = tables.order_info_of(stream_of(spark, sf_dir, "orders"))
+    out = summaries.dws_trade_province_order_window(changes, tables.dimensions(spark, sf_dir), HOUR)
+    out = jobs.materialise(out, "province-orders").withColumn("order_total_amount", F.col("order_total_amount").cast("double"))
+    return out.drop("province_name")

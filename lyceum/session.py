@@ -40,6 +40,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    context = spark.sparkContext
+    if context.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        # The default suits a cluster; one machine needs no more state stores than it has cores.
+        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     return spark
 
 

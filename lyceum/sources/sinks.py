@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from lyceum.operators.latest import latest_per_key
-from lyceum.operators.lookup import dimension_rows
+from lyceum.operators.lookup import dimension_changes, dimension_rows
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -84,26 +84,23 @@ def ensure_dimension(spark: SparkSession, root: str, sink_table: str, sink_colum
     return schema
 
 
-def dimension_writer(root: str, config: list[tuple[str, str, str | None]]) -> BatchWriter:
-    """``foreachBatch`` function for routed dimension changes (``lookup.dimension_changes``).
+def dimension_writer(root: str, read_config: Callable[[SparkSession], DataFrame]) -> BatchWriter:
+    """``foreachBatch`` function for clean change records.
 
-    ``config`` lists (sink_table, sink_columns, sink_pk), one entry per configured table.
+    The configuration is read anew for every micro-batch, so a table configured while the stream
+    runs is picked up.  It has one row per source table; only those few rows reach the driver.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        spark = batch.sparkSession
+        config = read_config(spark)
+        routed = dimension_changes(batch, config).persist()
         try:
-            for sink_table, sink_columns, sink_pk in config:
-                columns = dimension_schema(sink_columns).names
-                pk = sink_pk or "id"
-                version = F.col("ts").cast("long")
-                rows = dimension_rows(batch, sink_table, [*columns], pk, [version])
-                newest = batch.where(F.col("sink_table") == sink_table).groupBy(
-                    F.element_at("data", pk).alias("_pk")
-                ).agg(F.max(version).alias("_version"))
-                out = rows.join(newest, F.col(pk) == F.col("_pk"), "inner").drop("_pk")
-                out.write.mode("overwrite").parquet(version_folder(f"{root}/{sink_table}", batch_id))
+            for row in config.select("sink_table", "sink_columns", "sink_pk").collect():
+                schema = ensure_dimension(spark, root, row.sink_table, row.sink_columns)
+                rows = dimension_rows(routed, row.sink_table, schema.names, row.sink_pk or "id")
+                rows.write.mode("overwrite").parquet(version_folder(f"{root}/{row.sink_table}", batch_id))
         finally:
-            batch.unpersist()
+            routed.unpersist()
     return write
 
 

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lyceum import schemas
 from lyceum.functions.times import DATE_TIME
 from lyceum.operators.skew import estimated_bytes
 
@@ -287,12 +288,22 @@ def nation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     }, "bootstrap-insert")
 
 
+# Source tables, the dimensions they fill, and the columns kept.
+DIMENSION_CONFIG = [
+    ("course_info", "dim_course_info", "id,course_name,subject_id", None, None),
+    ("base_province", "dim_base_province", "id,name", "id", None),
+]
+
+
 def dimension_config(spark: SparkSession) -> DataFrame:
     """Which source tables feed which dimension, and the columns each keeps."""
-    return spark.createDataFrame([
-        ("course_info", "dim_course_info", "id,course_name,subject_id", None, None),
-        ("base_province", "dim_base_province", "id,name", "id", None),
-    ], "source_table string, sink_table string, sink_columns string, sink_pk string, sink_extend string")
+    return spark.createDataFrame(DIMENSION_CONFIG, schemas.CONFIG_ROW)
+
+
+def config_feed(spark: SparkSession) -> DataFrame:
+    """The same as change-log text, as a snapshot read would send it."""
+    row = F.struct(*schemas.CONFIG_ROW.names)
+    return json_feed(dimension_config(spark).select(F.lit("r").alias("op"), row.alias("after"), F.lit(1).alias("ts_ms")))
 
 
 def json_feed(df: DataFrame) -> DataFrame:

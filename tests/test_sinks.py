@@ -5,7 +5,7 @@ import json
 from conftest import tuples
 from pyspark.sql import functions as F, types as T
 
-from lyceum.operators import lookup
+from lyceum import schemas
 from lyceum.session import scratch_path
 from lyceum.sources import feeds, sinks, tables
 
@@ -30,21 +30,22 @@ def test_dimension_is_created_upserted_and_keeps_text(spark, frame):
     schema = sinks.ensure_dimension(spark, root, "dim_a", "id, name")
     assert [f.dataType for f in schema] == [T.StringType()] * 2
     assert sinks.read_dimension(spark, root, "dim_a", schema).count() == 0
-    config = frame([("a", "dim_a", "id,name", None, None)],
-                   "source_table string, sink_table string, sink_columns string, sink_pk string, sink_extend string")
+    configured = [("a", "dim_a", "id,name", None, None)]
 
     def changes(*rows):
-        typed = frame([("edu", "a", kind, data, ts) for kind, data, ts in rows],
-                      "database string, table string, type string, data map<string,string>, ts string")
-        return lookup.dimension_changes(typed, config)
-
-    write = sinks.dimension_writer(root, [("dim_a", "id,name", None)])
-    write(changes(("insert", {"id": "9 = 'ha'", "name": "'9 = 'ha''", "price": "1"}, "1"),
-                  ("insert", {"id": "2", "name": "x"}, "9"), ("update", {"id": "2", "name": "y"}, "10")), 0)
-    write(changes(("delete", {"id": "2", "name": "gone"}, "11")), 1)
-    write(changes(("update", {"id": "2", "name": "late"}, "3")), 2)
-    sinks.ensure_dimension(spark, root, "dim_a", "id,name")  # leaves an existing table alone
+        return frame([("edu", table, kind, data, ts) for table, kind, data, ts in rows], schemas.CHANGE_RECORD)
+
+    write = sinks.dimension_writer(root, lambda session: session.createDataFrame(configured, schemas.CONFIG_ROW))
+    write(changes(("a", "insert", {"id": "9 = 'ha'", "name": "'9 = 'ha''", "price": "1"}, "1"),
+                  ("a", "insert", {"id": "2", "name": "x"}, "9"), ("a", "update", {"id": "2", "name": "y"}, "10"),
+                  ("b", "insert", {"code": "k"}, "1")), 0)
+    # A table configured while the stream runs counts from the next micro-batch on.
+    configured.append(("b", "dim_b", "code,label", "code", None))
+    write(changes(("a", "delete", {"id": "2", "name": "gone"}, "11"), ("b", "insert", {"code": "m", "label": "M"}, "2")), 1)
+    write(changes(("a", "update", {"id": "2", "name": "late"}, "3")), 2)
     assert tuples(sinks.read_dimension(spark, root, "dim_a", schema)) == [("2", "gone"), ("9 = 'ha'", "'9 = 'ha''")]
+    other = sinks.dimension_schema("code,label")
+    assert tuples(sinks.read_dimension(spark, root, "dim_b", other, "code")) == [("m", "M")]
 
 
 def test_summary_columns_keep_their_order_and_helpers_stay_out(spark, frame):
