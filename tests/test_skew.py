@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict
+from contextlib import contextmanager
 
 import pytest
 from conftest import ordered, tuples
@@ -11,6 +12,21 @@ from lyceum.operators import joins, sessions
 from lyceum.operators.skew import _bytes, hot_keys, skew_join
 
 
+@contextmanager
+def settings(spark):
+    """Four shuffle tasks, no broadcast, no runtime changes: tasks show how keys were placed."""
+    forced = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+              "spark.sql.shuffle.partitions": "4"}
+    before = {key: spark.conf.get(key) for key in forced}
+    for key, value in forced.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def skewed(frame, n=3000):
     rnd = random.Random(5)
     rows = [(i, "hot" if i % 3 == 0 else (None if i % 50 == 1 else f"k{rnd.randrange(200)}")) for i in range(n)]
@@ -34,31 +50,22 @@ def test_salted_join_equals_plain_join(frame, how):
 def test_salted_join_spreads_the_hot_key(spark, frame):
     left = skewed(frame, 6000)
     right = frame([("hot", 1)], "k string, v int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
+    with settings(spark):
         joined = skew_join(left, right, ["k"], "inner", slices=16, share=0.05, rows=50, small_bytes=0)
         per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         assert len(per_task) == 4 and max(per_task) < 0.6 * sum(per_task)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_rows_without_a_key_spread_too(spark, frame):
     left = frame([(i, None if i % 2 else "a") for i in range(4000)], "id int, k string")
     right = frame([("a", 1)], "k string, v int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
+    with settings(spark):
         joined = skew_join(left, right, ["k"], "left", slices=16, share=0.05, rows=50, small_bytes=0)
         missing = joined.where("v is null").groupBy(F.spark_partition_id()).count().collect()
-        assert sum(r["count"] for r in missing) == 2000 and len(missing) > 1
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        assert sum(r["count"] for r in missing) == 2000 and len(missing) == 4
 
 
+@pytest.mark.real_sizes
 @pytest.mark.parametrize("left_rows,right_rows,spread", [(10**3, 10**9, False), (10**9, 10**3, False), (10**9, 10**9, True)])
 def test_join_is_plain_when_a_side_is_small_enough(spark, left_rows, right_rows, spread):
     left = spark.range(left_rows).withColumnRenamed("id", "k")

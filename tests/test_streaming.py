@@ -69,6 +69,14 @@ def test_flags_equal_batch(spark, events):
     assert out.where("is_new = 1").count() == events.select("user").distinct().count()
 
 
+def test_silent_keys_can_be_forgotten(spark, events):
+    """With a lifetime the state runs on processing time; nothing expires within this run."""
+    stream = parts(spark, events, "ts", 2, "ttl")
+    out = jobs.materialise(state.flag_days(stream, ["user"], ttl_ms=state.DAY_MS), "ttl-out")
+    assert tuples(out, "id", "is_first") == tuples(
+        firsts.flag_first_of_day(events, ["user"], ["id"]), "id", "is_first")
+
+
 def test_returning_users_equal_batch(spark, frame):
     rows = [(u, DAY0 + dt.timedelta(days=d)) for u, d in [("a", 0), ("a", 1), ("a", 9), ("a", 16), ("b", 3), ("b", 3), ("b", 30)]]
     df = frame(rows, "user string, ts timestamp")
