@@ -78,7 +78,8 @@ def flag_days(df: DataFrame, keys: list[str], ts: str = "ts", away_days: int = 8
               ttl_ms: int | None = None) -> DataFrame:
     """Every row plus ``is_first`` (of its day), ``is_new`` (first ever) and ``is_back`` (first of the
     day after at least ``away_days``).  ``ttl_ms`` forgets silent keys; then only ``is_first`` is
-    meaningful."""
+    meaningful, and the query runs on processing time: it needs a running trigger, as one that
+    stops when no data is left never sees time stand still."""
     packed = _pack(df, keys, ts, day=F.unix_date(F.to_date(ts))).drop(ts)
     out = packed.groupBy(*[f"key{i}" for i in range(len(keys))]).transformWithStateInPandas(
         LastDay(away_days, ttl_ms),
@@ -199,7 +200,8 @@ def hold_latest(df: DataFrame, keys: list[str], version: str, ts: str = "ts", ho
                 keep_ms: int = 60_000, event_time: bool = False) -> DataFrame:
     """The newest version that arrives within ``hold_ms`` of a key's first row.
 
-    By default the hold is wall-clock time.  With ``event_time`` it ends when the watermark passes.
+    By default the hold is wall-clock time, which needs a running trigger.  With ``event_time`` it
+    ends when the watermark passes.
     """
     return _hold(df, keys, ts, F.unix_micros(version), True, hold_ms, keep_ms, event_time)
 

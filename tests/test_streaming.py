@@ -70,9 +70,18 @@ def test_flags_equal_batch(spark, events):
 
 
 def test_silent_keys_can_be_forgotten(spark, events):
-    """With a lifetime the state runs on processing time; nothing expires within this run."""
-    stream = parts(spark, events, "ts", 2, "ttl")
-    out = jobs.materialise(state.flag_days(stream, ["user"], ttl_ms=state.DAY_MS), "ttl-out")
+    """With a lifetime the state runs on processing time, so the query has to be stopped."""
+    flagged = state.flag_days(parts(spark, events, "ts", 1, "ttl"), ["user"], ttl_ms=state.DAY_MS)
+    path, checkpoint = scratch_path(spark, "ttl-out"), scratch_path(spark, "ttl-cp")
+    query = sinks.to_files(flagged, path, checkpoint).trigger(processingTime="1 second").start()
+    try:
+        for _ in range(40):
+            query.awaitTermination(1)
+            if spark.read.schema(flagged.schema).parquet(path).count():
+                break
+    finally:
+        query.stop()
+    out = spark.read.schema(flagged.schema).parquet(path)
     assert tuples(out, "id", "is_first") == tuples(
         firsts.flag_first_of_day(events, ["user"], ["id"]), "id", "is_first")
 
