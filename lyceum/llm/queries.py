@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from lyceum.llm.exact_dedup import exact_dedup
+from lyceum.llm.packing import pack
 from lyceum.llm.quality_rules import quality_rules
+from lyceum.llm.sentencepiece_codec import digests
 from lyceum.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +72,23 @@ WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
             "el y los se del las por con para una su al lo es"))
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query("""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+    SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+           doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+    FROM d WINDOW w AS (PARTITION BY t)
+""")
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
