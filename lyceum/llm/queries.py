@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lyceum.llm.exact_dedup import exact_dedup
 from lyceum.llm.packing import pack
+from lyceum.llm.pseudonyms import pseudonymise
 from lyceum.llm.quality_rules import quality_rules
 from lyceum.llm.sentencepiece_codec import digests
 from lyceum.session import prepare
@@ -92,3 +93,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+PSEUDONYM_KEY = "a key for the supplied tables only"
+
+
+@query()
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
