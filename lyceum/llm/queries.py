@@ -12,6 +12,7 @@ from lyceum.llm.packing import pack
 from lyceum.llm.pseudonyms import pseudonymise
 from lyceum.llm.quality_rules import quality_rules
 from lyceum.llm.sentencepiece_codec import digests
+from lyceum.llm.substring_dedup import substring_digests
 from lyceum.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +102,8 @@ PSEUDONYM_KEY = "a key for the supplied tables only"
 @query()
 def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+
+
+@query()
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_digests(table(spark, sf_dir, "documents"))
