@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lyceum.llm.exact_dedup import exact_dedup
+from lyceum.llm.near_dedup import near_duplicates
 from lyceum.llm.packing import pack
 from lyceum.llm.pseudonyms import pseudonymise
 from lyceum.llm.quality_rules import quality_rules
@@ -107,3 +108,8 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_digests(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark, table(spark, sf_dir, "documents"), width=4)

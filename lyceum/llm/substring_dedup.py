@@ -185,14 +185,14 @@ def places_of(values: list[bytes]) -> np.ndarray:
 
 def repeated_windows(docs: DataFrame, width: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents with the starts of their windows that also start earlier: (doc_id, tie, text, places)
-    with ``places`` a list of binary arrays (little-endian 32-bit word positions), null if there are none.
+    with ``text`` in UTF-8 and ``places`` a list of binary arrays (little-endian 32-bit word positions), null if there are none.
 
     Earlier is a smaller id (null ids come first), or the same document and an earlier word.  Rows with
     one id and different texts count as different documents, in an order fixed by a hash of the text
     (``tie``); rows alike in id and text are one document, so neither makes the other's windows repeated."""
     kind = dict(docs.dtypes)[id_col]
     id_type = arrow_type(kind)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit("").cast("binary")).alias("text"))
     texts = texts.select("doc_id", F.xxhash64("text").alias("tie"), "text")
     period = cover_for(width)
     offsets, anchor = np.array(COVERS[period]), width - period + 1
@@ -287,9 +287,9 @@ def substring_dedup(docs: DataFrame, width: int = 20, id_col: str = "doc_id", te
                     n = int(gone.sum())
                     words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                 removed.append(n)
-                kept.append(" ".join(words))
+                kept.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+                [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept_text"])
 
     return marked.mapInArrow(cut, f"doc_id {kind}, n_words long, n_removed long, kept_text string")

@@ -13,11 +13,8 @@ import xxhash
 from pyspark.sql import Column, functions as F
 
 # What separates words.
-SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-TO_LOWER = str.maketrans(UPPER, LOWER)
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")  # of UTF-8 bytes: separators are single bytes
 
 
 def words_of(text: Column) -> Column:
@@ -44,14 +41,14 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = 1 << 20) ->
 class Hashes(dict):
     """Word to 64-bit hash, remembered for the words seen lately."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str | bytes) -> int:
         if len(self) > 500_000:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
 
-def hashed(lists: Sequence[list[str]], table: Hashes) -> tuple[np.ndarray, np.ndarray]:
+def hashed(lists: Sequence[list], table: Hashes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of some documents in one array, and each document's bounds in it."""
     bounds = np.zeros(len(lists) + 1, np.int64)
     np.cumsum([len(x) for x in lists], out=bounds[1:])
