@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lyceum.llm import compression_classifier
 from lyceum.llm.exact_dedup import exact_dedup
 from lyceum.llm.near_dedup import near_duplicates
 from lyceum.llm.packing import pack
@@ -113,3 +114,17 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"), width=4)
+
+
+def fold(parts: int) -> Column:
+    """Remainder of the checksum of the id as text; a null id is in fold 0."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts, F.lit(0).cast("long"))
+
+
+@query()
+def op7_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    known = labels.filter(fold(3) != 1).select("doc_id", F.col("quality").alias("label"))
+    scores = compression_classifier.score(documents, compression_classifier.fit(documents, known))
+    return scores.select("doc_id", (fold(3) == 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
