@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lyceum.llm import compression_classifier
+from lyceum.llm import compression_classifier, ngram_trie
 from lyceum.llm.exact_dedup import exact_dedup
 from lyceum.llm.near_dedup import near_duplicates
 from lyceum.llm.packing import pack
@@ -128,3 +128,12 @@ def op7_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = compression_classifier.score(documents, compression_classifier.fit(documents, known))
     return scores.select("doc_id", (fold(3) == 1).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op8_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = ngram_trie.build(spark, documents.filter(fold(7) != 2))
+    scores = ngram_trie.score(documents, model)
+    return scores.select("doc_id", (fold(7) == 2).alias("held_out"), "n_tokens", "n_known",
+                         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
