@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lyceum.llm.components import components
+from lyceum.llm.exact_dedup import unused
 from lyceum.llm.shingles import minhashes, set_keys, shingle_sets
 from lyceum.llm.words import Hashes, mixed, slices
 from lyceum.session import scratch_path
@@ -36,7 +37,8 @@ def table_keys(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def features(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set_a, set_b, keys and sketch of every document; null where the set is empty."""
+    """doc_id, tie, n_shingles, set_a, set_b, keys and sketch of every document; the last four are null or
+    empty where the set is empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Hashes()
         for part in slices(batches, "text"):
@@ -52,14 +54,14 @@ def features(docs: DataFrame, width: int) -> DataFrame:
             sketches = [(values[s:min(e, s + SKETCH)] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                         for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(sizes, pa.int64()),
+                [part.column("doc_id"), part.column("tie"), pa.array(sizes, pa.int64()),
                  pa.array(a.view(np.int64)).take(at), pa.array(b.view(np.int64)).take(at),
                  pa.array([None if p < 0 else keys[p] for p in place], pa.list_(pa.int32())),
                  pa.array(sketches, pa.list_(pa.int32()))],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "keys", "sketch"])
+                names=["doc_id", "tie", "n_shingles", "set_a", "set_b", "keys", "sketch"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, set_a long, set_b long, keys array<int>, sketch array<int>")
+    return docs.mapInArrow(run, f"doc_id {kind}, tie long, n_shingles long, set_a long, set_b long, keys array<int>, sketch array<int>")
 
 
 def whole_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -119,13 +121,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     """Group documents whose sets of ``width``-word shingles are alike: 100 |A & B| >= percent |A | B|.
 
     Returns one row per input row: doc_id, n_shingles, component_id (the smallest id that links lead to,
-    its own included), kept (doc_id = component_id).  Case of A to Z does not count.  A text of fewer words
+    its own included), kept (doc_id = component_id), tie (a hash of the text).  Case of A to Z does not count.  A text of fewer words
     than ``width`` has one shingle, its whole sequence; null and empty texts have none, are linked with
     nothing and kept.  Rows that share an id count as one document.  A row without id belongs to the group
     of the documents with its very set, if there is one; else component_id is null and it is kept.  An
     empty table gives no rows; extra columns are not read.  Intermediate tables go to the shared folder."""
     folder = scratch_path(spark, "near")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    texts = texts.withColumn("tie", F.xxhash64("text"))
     found = saved(features(texts, width), folder, "features")
 
     sets_of = ["set_a", "set_b"]
@@ -142,7 +145,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     live = saved(tables.join(shared.select("bucket", "low"), "bucket"), folder, "live")
     members = saved(live.select("rep").distinct(), folder, "members")
     sketches = saved(reps.join(members, "rep", "left_semi"), folder, "sketches")
-    sets = saved(whole_sets(texts.join(members, texts["doc_id"] == members["rep"], "left_semi"), width), folder, "sets")
+    sets = saved(whole_sets(texts.drop("tie").join(members, F.col("doc_id") == F.col("rep"), "left_semi"), width), folder, "sets")
 
     # Each member with the smallest of its bucket.
     one = sketches.select(F.col("rep").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("s"))
@@ -174,6 +177,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     ends = components(spark, links.union(more)).select(F.col("node").alias("rep"), "component")
 
     named = classes.join(ends, "rep", "left").select(*sets_of, F.coalesce("component", "rep").alias("component_id"))
-    result = found.select("doc_id", "n_shingles", *sets_of).join(named, sets_of, "left")
+    result = found.select("doc_id", "tie", "n_shingles", *sets_of).join(named, sets_of, "left")
     component = F.coalesce(F.col("component_id"), F.col("doc_id"))
-    return result.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return result.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "tie")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80,
+                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group with all its columns: the smallest id, and of rows that share it the smallest
+    hash of the text.  Rows without id that belong to no document's group all stay."""
+    rows = near_duplicates(spark, docs, width, percent, id_col, text_col).filter("kept")
+    named = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min("tie").alias("tie")).union(
+        rows.filter("doc_id is null").select("doc_id", "tie").distinct())
+    tie, own_id, own_tie = (unused(docs, x) for x in ("tie", "own_id", "own_tie"))
+    named = named.select(F.col("doc_id").alias(own_id), F.col("tie").alias(own_tie))
+    marked = docs.withColumn(tie, F.xxhash64(F.col(text_col).cast("string").cast("binary")))
+    return marked.join(named, F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(tie) == F.col(own_tie)), "left_semi").select(*docs.columns)

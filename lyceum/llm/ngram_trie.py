@@ -268,6 +268,8 @@ def build(spark: SparkSession, train: DataFrame, order: int = 3, min_count: int
 
     One pass over the texts per level.  ``shards`` is how many files a level has (by default the number of
     shuffle partitions); the driver learns one size per shard."""
+    if not 1 <= order <= 3:
+        raise ValueError("levels above the third would need the suffixes of their contexts")
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     uri = scratch_path(spark, "ngrams")
     texts = text_rows(train, id_col, text_col)

@@ -63,26 +63,29 @@ def covered(starts: Column, width: int = 5) -> Column:
     return F.aggregate(steps, F.lit(0), lambda total, x: total + x)
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_rows: bool = False) -> DataFrame:
     """One row per document: counts and ratios that the rules test.  One pass, no shuffle.
 
-    A null text counts as empty; ids may be null or repeated; other columns are not read."""
+    A null text counts as empty; ids may be null or repeated; other columns are not read, or go along in
+    the column ``row``."""
     text = F.coalesce(F.col("t"), F.lit(""))
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    split = base.select("doc_id", "t", words_of(F.col("t")).alias("words"))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"),
+                       *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []))
+    row = ["row"] if whole_rows else []
+    split = base.select("doc_id", "t", *row, words_of(F.col("t")).alias("words"))
     hashed = split.select("*", window_hashes(F.col("words")).alias("windows"))
     # Windows are compared by 64-bit hashes: among 1e10 texts of 500 words, 1e-4 wrong pairs are expected.
     # Only texts with a repeated window are sorted.
     ordered = F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.array_sort(
         F.transform("windows", lambda w, i: F.struct(w.alias("w"), i.alias("i")))))
-    sorted_windows = hashed.select("doc_id", "t", "words", ordered.alias("ordered"))
+    sorted_windows = hashed.select("doc_id", "t", *row, "words", ordered.alias("ordered"))
     starts = repeated_starts(F.col("ordered"))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     stop_words = sorted({w for line in STOP_WORDS for w in line.split()})
-    flagged = sorted_windows.select("doc_id", "t", "words", starts.alias("found"), lines.alias("lines"))
+    flagged = sorted_windows.select("doc_id", "t", *row, "words", starts.alias("found"), lines.alias("lines"))
     n = F.size("words")
     counted = flagged.select(
-        "doc_id",
+        "doc_id", *row,
         n.cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
@@ -118,12 +121,22 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str
     failed_rules (names joined by commas, empty if all pass).  One row per input row: null and empty
     texts have no words and fail the base rule, repeated rows are judged alike, an empty table gives no
     rows, and extra columns are not read."""
-    judged = measures(docs, id_col, text_col)
+    return judged(measures(docs, id_col, text_col), rules, min_words, max_repeat_percent).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules")
+
+
+def judged(measured: DataFrame, rules: tuple[Rule, ...], min_words: int, max_repeat_percent: int) -> DataFrame:
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     tests = passes(rules)
     verdict = ~failed
     for test in tests:
         verdict = verdict & test
     names = F.concat_ws(",", *[F.when(~test, F.lit(rule.name)) for rule, test in zip(rules, tests, strict=True)])
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         failed.alias("base_failed"), verdict.alias("kept"), names.alias("failed_rules"))
+    return measured.select("*", failed.alias("base_failed"), verdict.alias("kept"), names.alias("failed_rules"))
+
+
+def drop_failing(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text",
+                 min_words: int = 10, max_repeat_percent: int = 20) -> DataFrame:
+    """The rows that pass, with all their columns."""
+    measured = measures(docs, id_col, text_col, whole_rows=True)
+    return judged(measured, rules, min_words, max_repeat_percent).filter("kept").select("row.*")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lyceum.llm import compression_classifier, ngram_trie
 from lyceum.llm.exact_dedup import exact_dedup
+from lyceum.llm.html_extraction import extract
 from lyceum.llm.near_dedup import near_duplicates
 from lyceum.llm.packing import pack
 from lyceum.llm.pseudonyms import pseudonymise
@@ -113,7 +114,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark, table(spark, sf_dir, "documents"), width=4)
+    return near_duplicates(spark, table(spark, sf_dir, "documents"), width=4).drop("tie")
 
 
 def fold(parts: int) -> Column:
@@ -137,3 +138,8 @@ def op8_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = ngram_trie.score(documents, model)
     return scores.select("doc_id", (fold(7) == 2).alias("held_out"), "n_tokens", "n_known",
                          F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@query()
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
