@@ -233,8 +233,10 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     # Few texts hold any of the characters that every kind needs.
     marked = docs.withColumn(found, F.when(text.rlike("[0-9@=:]|AKIA|ASIA"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
                              .otherwise(F.array().cast("array<string>")))
-    made = (marked.withColumn(new, F.transform(found, lambda m: pseudonym(m, key)))
-            .withColumn(parts, F.when(F.size(found) > 0, F.split(text, ANY, -1))))
+    # A generator, so that a filter on the outcome is not moved below it and all of it repeated there.
+    made = marked.select("*", F.inline(F.array(F.struct(
+        F.transform(found, lambda m: pseudonym(m, key)).alias(new),
+        F.when(F.size(found) > 0, F.split(text, ANY, -1)).alias(parts)))))
     woven = F.array_join(F.zip_with(parts, new, lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
     replaced = F.size(F.filter(F.zip_with(found, new, lambda a, b: a != b), lambda x: x)).cast("long")
     return made.select(

@@ -132,7 +132,11 @@ def judged(measured: DataFrame, rules: tuple[Rule, ...], min_words: int, max_rep
     for test in tests:
         verdict = verdict & test
     names = F.concat_ws(",", *[F.when(~test, F.lit(rule.name)) for rule, test in zip(rules, tests, strict=True)])
-    return measured.select("*", failed.alias("base_failed"), verdict.alias("kept"), names.alias("failed_rules"))
+    # A generator, as a filter on the verdict would otherwise be moved below all projections, each of
+    # which it would repeat for every mention of a column.
+    own = [c for c in measured.columns if c not in ("row",)]
+    return measured.select(*([F.col("row")] if "row" in measured.columns else []), F.inline(F.array(F.struct(
+        *own, failed.alias("base_failed"), verdict.alias("kept"), names.alias("failed_rules")))))
 
 
 def drop_failing(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text",
