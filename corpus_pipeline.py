@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lyceum.llm.exact_dedup import drop_exact_copies
+from lyceum.llm.exact_dedup import columns_of, drop_exact_copies
 from lyceum.llm.near_dedup import drop_near_copies
 from lyceum.llm.packing import pack
 from lyceum.llm.pseudonyms import pseudonymise
@@ -38,7 +38,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     replaced = pseudonymise(docs, PSEUDONYM_KEY)
     if "n_chars" in docs.columns:
         replaced = replaced.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
-    return replaced.select(*docs.columns)
+    return replaced.select(*columns_of(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

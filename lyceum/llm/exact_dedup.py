@@ -69,6 +69,11 @@ def unused(docs: DataFrame, name: str) -> str:
     return name
 
 
+def columns_of(docs: DataFrame) -> list[Column]:
+    """All columns, also those with dots in their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
 def keep_rows(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows of ``docs`` named by (doc_id, text_sha256, n) in ``rows``, all columns; of n rows alike in id
     and text, one.  Only where n > 1 are rows themselves grouped."""
@@ -77,7 +82,7 @@ def keep_rows(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> D
     named = rows.select(F.col("doc_id").alias(own_id), F.col("text_sha256").alias(own_sha), F.col("n").alias(n))
     found = marked.join(named, F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(sha) == F.col(own_sha)))
     alike = found.filter(F.col(n) > 1).dropDuplicates([id_col, sha])
-    return found.filter(F.col(n) == 1).unionByName(alike).select(*docs.columns)
+    return found.filter(F.col(n) == 1).unionByName(alike).select(*columns_of(docs))
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

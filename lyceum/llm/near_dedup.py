@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lyceum.llm.components import components
-from lyceum.llm.exact_dedup import unused
+from lyceum.llm.exact_dedup import columns_of, unused
 from lyceum.llm.shingles import minhashes, set_keys, shingle_sets
 from lyceum.llm.words import Hashes, mixed, slices
 from lyceum.session import scratch_path
@@ -192,4 +192,4 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, width: int = 5, perce
     tie, own_id, own_tie = (unused(docs, x) for x in ("tie", "own_id", "own_tie"))
     named = named.select(F.col("doc_id").alias(own_id), F.col("tie").alias(own_tie))
     marked = docs.withColumn(tie, F.xxhash64(F.col(text_col).cast("string").cast("binary")))
-    return marked.join(named, F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(tie) == F.col(own_tie)), "left_semi").select(*docs.columns)
+    return marked.join(named, F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(tie) == F.col(own_tie)), "left_semi").select(*columns_of(docs))

@@ -111,13 +111,13 @@ class Lengths:
             self.sizes.pop(bisect_right(self.sizes, size) - 1)
 
 
-def smallest_sum(left: Lengths, own: int) -> int:
-    """Sum of the two smallest pieces besides one of length ``own``."""
+def sum_of_smallest(left: Lengths, own: int, n: int, above: int = 0) -> int:
+    """Sum of the n smallest pieces longer than ``above``, besides one of length ``own``."""
     found: list[int] = []
-    for size in left.sizes:
-        found += [size] * min(2, left.count[size] - (size == own))
-        if len(found) >= 2:
-            return found[0] + found[1]
+    for size in left.sizes[bisect_right(left.sizes, above):]:
+        found += [size] * min(n, left.count[size] - (size == own))
+        if len(found) >= n:
+            return sum(found[:n])
     return 1 << 60
 
 
@@ -161,7 +161,7 @@ def reduce_by_dominance(left: Lengths, capacity: int, plan: Plan) -> None:
                     plan.add(n, ((own, 1),))
                     again = True
                     continue
-                pair = best_pair(left, own, room) if smallest_sum(left, own) <= room else None
+                pair = best_pair(left, own, room) if sum_of_smallest(left, own, 2) <= room else None
                 if mate == room or pair is None or mate >= sum(pair):
                     if mate == own:
                         n = left.count[own] // 2
@@ -174,8 +174,9 @@ def reduce_by_dominance(left: Lengths, capacity: int, plan: Plan) -> None:
                         plan.add(n, ((own, 1), (mate, 1)))
                     again = True
                     continue
-                if pair[0] == mate and sum(pair) == room and 3 * left.sizes[0] > room:
-                    # No three others fit and this pair fills the sequence with the largest fitting piece.
+                if pair[0] == mate and sum_of_smallest(left, own, 3) > room and (
+                        sum_of_smallest(left, own, 2, above=pair[1]) > room):
+                    # No three others fit, and no two that are both longer than the pair's shorter piece.
                     need: dict[int, int] = {}
                     for s in (own, *pair):
                         need[s] = need.get(s, 0) + 1

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lyceum.llm.exact_dedup import unused
+from lyceum.llm.exact_dedup import columns_of, unused
 
 ROUNDS = 8
 FIRST_DAY, DAYS_A, DAYS_B = "1800-01-01", 189, 773  # 400 years of the calendar: 189 x 773 days
@@ -240,5 +240,6 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     woven = F.array_join(F.zip_with(parts, new, lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
     replaced = F.size(F.filter(F.zip_with(found, new, lambda a, b: a != b), lambda x: x)).cast("long")
     return made.select(
-        *[F.when(F.size(found) > 0, woven).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns],
+        *[F.when(F.size(found) > 0, woven).otherwise(own).alias(name) if name == text_col else own
+          for name, own in zip(docs.columns, columns_of(docs), strict=True)],
         replaced.alias(count))

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lyceum.llm.exact_dedup import columns_of
 from lyceum.llm.words import words_of
 
 SYMBOLS = "#*$%&|<>"
@@ -70,7 +71,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wh
     the column ``row``."""
     text = F.coalesce(F.col("t"), F.lit(""))
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"),
-                       *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []))
+                       *([F.struct(*columns_of(docs)).alias("row")] if whole_rows else []))
     row = ["row"] if whole_rows else []
     split = base.select("doc_id", "t", *row, words_of(F.col("t")).alias("words"))
     hashed = split.select("*", window_hashes(F.col("words")).alias("windows"))
