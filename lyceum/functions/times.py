@@ -10,12 +10,12 @@ DATE_TIME = "yyyy-MM-dd HH:mm:ss"
 
 def from_epoch_seconds(c: Column | str) -> Column:
     """Change-record time: seconds since 1970, usually as text."""
-    return F.timestamp_seconds(_col(c).cast("long"))
+    return F.timestamp_seconds(_col(c).try_cast("long"))
 
 
 def from_epoch_millis(c: Column | str) -> Column:
     """Log time: milliseconds since 1970."""
-    return F.timestamp_millis(_col(c).cast("long"))
+    return F.timestamp_millis(_col(c).try_cast("long"))
 
 
 def millis_to_second(c: Column | str) -> Column:

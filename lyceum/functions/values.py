@@ -12,22 +12,23 @@ TOP_BAND = "[95, 100]"
 
 
 def money(c: Column | str) -> Column:
-    """Exact amounts: floats drift when summed."""
-    return _col(c).cast(MONEY)
+    """Exact amounts: floats drift when summed.  What is no number is null."""
+    return _col(c).try_cast(MONEY)
 
 
 def truncated(c: Column | str) -> Column:
-    """A number given as text, cut (not rounded) to a whole number."""
-    return _col(c).cast("double").cast("long")
+    """A number given as text, cut (not rounded) to a whole number; null if it is none."""
+    return _col(c).try_cast("double").try_cast("long")
 
 
 def score_band(score: Column | str) -> Column:
+    """The band of a score; null for an unknown one."""
     score = _col(score)
     first_bound, first_label = SCORE_BANDS[0]
     band = F.when(score < first_bound, F.lit(first_label))
     for bound, label in SCORE_BANDS[1:]:
         band = band.when(score < bound, F.lit(label))
-    return band.otherwise(F.lit(TOP_BAND))
+    return band.when(score.isNotNull(), F.lit(TOP_BAND))
 
 
 def one_if(condition: Column) -> Column:

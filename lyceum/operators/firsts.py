@@ -28,7 +28,7 @@ def day_window(df: DataFrame, ts: str) -> Column:
 def first_sightings(df: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
     """(keys, ts): the first event of each key on each day."""
     if df.isStreaming:
-        return state.first_of_day(df.select(*keys, ts), keys, ts).drop("is_new", "is_back")
+        return state.first_of_day(df.select(*keys, ts), keys, ts, forget=True).drop("is_new", "is_back")
     return (
         df.groupBy(*keys, F.to_date(ts).alias("_day")).agg(F.min(ts).alias(ts)).drop("_day")
     )

@@ -20,13 +20,22 @@ def join_feeds(
 ) -> DataFrame:
     """Equi join of two feeds, optionally limited to rows whose times lie ``within`` each other.
 
-    Streams need the time limit: it is what lets Spark forget old rows.  In batch, hot keys of the
-    left side are spread (see ``skew_join``).  Column names other than the keys must differ.
+    Streams need the time limit: it is what lets Spark forget old rows.  In batch, rows meet by key and
+    slice of time as long as the limit, the right ones repeated in the slices next to theirs, so a key
+    forms no pairs but those of neighbouring slices.  Column names other than the keys must differ.
     """
     if within is None and not left.isStreaming:
         renamed = right.withColumnRenamed(right_key, left_key)
         return skew_join(left, renamed, [left_key], how, **join_options)
     close = near(left[left_ts], right[right_ts], within)
+    if not left.isStreaming:
+        span = F.lit(_seconds(within) * 1_000_000)
+        place = F.floor(F.unix_micros(right_ts) / span)
+        left = left.withColumn("_slice", F.floor(F.unix_micros(left_ts) / span))
+        right = right.withColumn("_near", F.explode(F.array(place - 1, place, place + 1)))
+        same = (left[left_key] == right[right_key]) & (left["_slice"] == right["_near"])
+        joined = left.join(right, same & near(left[left_ts], right[right_ts], within), how).drop("_slice", "_near")
+        return joined if left_key == right_key else joined.drop(right_key)
     joined = left.join(right, (left[left_key] == right[right_key]) & close, how)
     return joined if left_key == right_key else joined.drop(right_key)
 
@@ -60,7 +69,9 @@ def latest_within(
         "_slice", F.floor(F.col("_at") / span)
     ).withColumn("_left", F.lit(True))
     merged = rows.unionByName(hits.unionByName(carried), allowMissingColumns=True)
-    by_time = W.partitionBy(left_key, "_slice").orderBy("_at", F.col("_left").asc_nulls_first(), "_hit")
+    # Left rows without a key find nothing; each is a group of its own.
+    lone = F.when(F.col(left_key).isNull(), F.monotonically_increasing_id())
+    by_time = W.partitionBy(left_key, "_slice", lone).orderBy("_at", F.col("_left").asc_nulls_first(), "_hit")
     seen = F.last("_hit", ignorenulls=True).over(by_time.rowsBetween(W.unboundedPreceding, W.currentRow))
     fits = F.col("_seen._t") >= F.col("_at") - 2 * span
     return merged.withColumn("_seen", seen).where("_left").select(

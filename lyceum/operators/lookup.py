@@ -3,7 +3,7 @@
 Lookups are plain left joins.  Spark broadcasts a dimension when its measured size is below
 ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides beyond it; nothing here forces a
 broadcast of a table that may grow.  Summaries look dimensions up after aggregating, so the left
-side is small and has no hot keys; ``lookup_rows`` is for rows that are not aggregated yet.
+side is small and has no hot keys.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lyceum.operators.latest import latest_per_key
-from lyceum.operators.skew import skew_join
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict[str, str]) -> DataFrame:
@@ -31,18 +30,14 @@ def lookup(df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict[str, st
     return df.join(side, condition, "left").drop(*keys.values())
 
 
-def lookup_rows(df: DataFrame, dim: DataFrame, key: str, take: dict[str, str], hot_from: DataFrame) -> DataFrame:
-    """Lookup of ``dim`` by ``id`` on raw rows: a dimension too large to broadcast is joined with the
-    hot keys (counted on ``hot_from``) spread."""
-    if df.isStreaming:
-        return lookup(df, dim, {key: "id"}, take)
-    side = dim.select(F.col("id").alias(key), *[F.col(c).alias(a) for c, a in take.items()])
-    return skew_join(df, side, [key], "left", hot_from=hot_from)
+def lookups(df: DataFrame, *steps: tuple[DataFrame, str, dict[str, str]]) -> DataFrame:
+    """Lookups by ``id``, one after the other: (dimension, column of the rows, what to take).
 
-
-def chain(dim: DataFrame, key: str, next_dim: DataFrame, take: dict[str, str]) -> DataFrame:
-    """Widen a dimension by the one it points to, so the facts need only one join."""
-    return lookup(dim, next_dim, {key: "id"}, take)
+    Each dimension is joined by itself, so Spark judges each by its own size.  Joined among themselves
+    first, small dimensions would count as one as large as their product, and be shuffled."""
+    for dim, key, take in steps:
+        df = lookup(df, dim, {key: "id"}, take)
+    return df
 
 
 def fold_config(changes: DataFrame, order: list[str | Column]) -> DataFrame:

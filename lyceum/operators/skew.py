@@ -1,30 +1,35 @@
-"""Equi joins that stay balanced when a few keys hold much of the left side."""
+"""Equi joins for inputs in which a few keys hold much of the left side.
+
+The join is a plain one, whose oversized partitions Spark splits at run time.  A caller who knows that
+this is not enough (a split partition still meets the whole right side of its key in every task) asks for
+salting."""
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# A key is hot above this share of the rows, so there are at most 100,000 hot keys whatever the
-# size of the table: that bound is what makes the hot-key list safe to broadcast.
+# A salted key is hot above this share of the rows, so there are at most 100,000 hot keys whatever the
+# size of the table.
 HOT_SHARE = 1e-5
-# ... and never below this many rows, which one task handles easily.
-HOT_ROWS = 1_000_000
-# Inputs estimated below this size are joined as they are: a single task could take all of it.
-SMALL_BYTES = 256 * 1024 * 1024
+# Rows of a hot key that one slice takes.
+SLICE_ROWS = 1_000_000
+
 
+def key_hash(keys: list[str]) -> Column:
+    return F.xxhash64(*keys)
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``share`` of all rows and more than ``rows`` rows.
 
-    Counts are pre-aggregated in each map task and read the key columns only.
-    """
-    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows").alias("_total")).scalar()
-    # The cheap test first: it leaves few rows for the other one.
-    return counts.where((F.col("_rows") > rows) & (F.col("_rows") > total * share)).select(*keys)
+def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """(key_hash, slices) of the keys with more than ``share`` of all rows and more than one slice.
+
+    Counts are pre-aggregated in each map task and read the key columns only.  Keys go by their hash: 12
+    bytes for each of at most 1 / share keys.  Keys that share a hash are salted alike, which does no harm."""
+    counts = df.dropna(subset=keys).groupBy(key_hash(keys).alias("key_hash")).agg(F.count(F.lit(1)).alias("rows"))
+    total = counts.agg(F.sum("rows").alias("total")).scalar()
+    hot = counts.where((F.col("rows") > slice_rows) & (F.col("rows") > total * share))
+    return hot.select("key_hash", F.ceil(F.col("rows") / slice_rows).cast("int").alias("slices"))
 
 
 def skew_join(
@@ -32,57 +37,35 @@ def skew_join(
     right: DataFrame,
     keys: list[str],
     how: str = "inner",
-    hot_from: DataFrame | None = None,
-    slices: int | None = None,
+    salted: bool = False,
     share: float = HOT_SHARE,
-    rows: int = HOT_ROWS,
-    small_bytes: int = SMALL_BYTES,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Join on ``keys`` with the hot keys of ``left`` spread over ``slices`` tasks each.
+    """Join on ``keys``; ``salted`` spreads the hot keys of ``left`` over slices, by their counts.
 
     Rows of a hot key get a slice from a hash of their content, which a re-run task computes again
     exactly; the matching right rows are repeated once per slice.  Every pair meets in exactly one
-    slice, so the result equals the plain join.  ``how`` is ``inner`` or ``left``.
-
-    ``hot_from`` is a cheaper frame with the same keys to count on (default ``left``); which keys it
-    calls hot affects balance only.  The join is a plain one when ``hot_from`` is estimated below
-    ``small_bytes``, so that no key can be large, or when Spark will broadcast ``right`` anyway;
-    ``small_bytes=0`` always spreads.
-    """
+    slice, so the result equals the plain join.  ``how`` is ``inner`` or ``left``."""
     if how not in ("inner", "left"):
         raise ValueError("repeated right rows are only harmless in inner and left joins")
-    counted = left if hot_from is None else hot_from
-    broadcast_limit = _bytes(left.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    fits = small_bytes and estimated_bytes(right) <= broadcast_limit
-    if fits or estimated_bytes(counted) < small_bytes:
+    if not salted:
         return left.join(right, keys, how)
-    slices = slices or max(8, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    hot = F.broadcast(hot_keys(counted, keys, share, rows).withColumn("_hot", F.lit(True)))
+    # At most 1 / share rows of two numbers.
+    hot = F.broadcast(hot_keys(left, keys, share, slice_rows)
+                      .withColumnsRenamed({"key_hash": "_hash", "slices": "_slices"}))
     hashable = [f.name for f in left.schema if not _holds_map(f.dataType)]
-    spread = F.pmod(F.xxhash64(*hashable), F.lit(slices)).cast("int")
-    # Rows without a key match nothing, so they may go anywhere too.
+    # Rows without a key match nothing, so they may go anywhere.
     keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    sliced_left = left.join(hot, keys, "left").withColumn(
-        "_slice", F.when(F.col("_hot") | keyless, spread).otherwise(F.lit(0))
-    ).drop("_hot")
-    all_slices = F.sequence(F.lit(0), F.lit(slices - 1))
-    sliced_right = right.join(hot, keys, "left").withColumn(
-        "_slice", F.explode(F.when(F.col("_hot"), all_slices).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
+    content = F.xxhash64(*hashable)
+    sliced_left = left.withColumn("_hash", key_hash(keys)).join(hot, "_hash", "left").withColumn(
+        "_slice", F.when(keyless, content).otherwise(F.pmod(content, F.coalesce("_slices", F.lit(1)).cast("long")))
+    ).drop("_hash", "_slices")
+    sliced_right = right.withColumn("_hash", key_hash(keys)).join(hot, "_hash", "left").withColumn(
+        "_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_slices", F.lit(1)).cast("long") - 1))
+    ).drop("_hash", "_slices")
     return sliced_left.join(sliced_right, [*keys, "_slice"], how).drop("_slice")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate (file sizes for scans); costs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def _bytes(size: str) -> int:
-    """A Spark size setting such as ``10MB``, ``10485760b`` or ``-1`` in bytes."""
-    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", size.strip().lower()).groups()
-    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
-
-
 def _holds_map(kind: T.DataType) -> bool:
     if isinstance(kind, T.MapType):
         return True

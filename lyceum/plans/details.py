@@ -38,6 +38,11 @@ def simple_detail(changes: DataFrame, name: str) -> DataFrame:
     return rows_of(changes, table).select(*[computed.get(c, field(c)) for c in columns.split()])
 
 
+def version(given: Column | None) -> Column:
+    """When a row was changed; the clock of the run would give all rows of a batch the same version."""
+    return given if given is not None else from_epoch_seconds("ts")
+
+
 def order_pages(pages: DataFrame) -> DataFrame:
     return pages.where(F.col("page")["page_id"] == "order").select(
         F.col("common")["sid"].alias("log_session_id"),
@@ -47,9 +52,13 @@ def order_pages(pages: DataFrame) -> DataFrame:
 
 
 def dwd_trade_order_detail(
-    changes: DataFrame, pages: DataFrame, within: str | None = None, row_op_ts: Column | None = None
+    changes: DataFrame, pages: DataFrame, within: str | None = None, row_op_ts: Column | None = None,
+    with_source: bool = True,
 ) -> DataFrame:
-    """Order lines with their order's attributes and the traffic source of the order page."""
+    """Order lines with their order's attributes and the traffic source of the order page.
+
+    ``row_op_ts``, the version of a line, is the time of its change unless given.  Without
+    ``with_source`` the page log is not read and the source is null."""
     details = rows_of(changes, "order_detail").select(
         *[field(c) for c in ("id", "order_id", "user_id", "course_id")],
         date_id(F.col("data")["create_time"]).alias("date_id"),
@@ -71,15 +80,18 @@ def dwd_trade_order_detail(
         )
         joined = join_feeds(details, orders, "order_id", "info_id", "inner",
                             "detail_time", "order_time", within or ORDER_WITHIN)
-        joined = join_feeds(joined, sources, "session_id", "log_session_id", "left",
-                            "order_time", "log_time", within or ORDER_WITHIN)
+        if with_source:
+            joined = join_feeds(joined, sources, "session_id", "log_session_id", "left",
+                                "order_time", "log_time", within or ORDER_WITHIN)
     else:
         # The sink is keyed and keeps the last row written per line, so one order row per order and
         # one page row per order are enough; reducing them first keeps the joins one-to-many.
         # Orders get their source before they meet the many order lines: both left sides are then
         # plain scans, whose hot keys are cheap to find.
         orders = latest_per_key(orders, "info_id", ["order_time", "session_id"])
-        if within:
+        if not with_source:
+            sourced = orders
+        elif within:
             sourced = latest_within(orders, sources, "session_id", "log_session_id", "order_time", "log_time", within)
         else:
             sources = latest_per_key(sources, "log_session_id", ["log_time", "source_id"])
@@ -87,8 +99,9 @@ def dwd_trade_order_detail(
         joined = join_feeds(details, sourced, "order_id", "info_id", "inner")
         if within:
             joined = joined.where(near("detail_time", "order_time", within))
-    stamp = row_op_ts if row_op_ts is not None else F.current_timestamp()
-    return joined.withColumn("row_op_ts", stamp).select(*schemas.ORDER_DETAIL.names)
+    if not with_source:
+        joined = joined.withColumn("source_id", F.lit(None).cast("string"))
+    return joined.withColumn("row_op_ts", version(row_op_ts)).select(*schemas.ORDER_DETAIL.names)
 
 
 def dwd_trade_pay_suc_detail(
@@ -114,9 +127,7 @@ def dwd_trade_pay_suc_detail(
         joined = joined.where(F.col("paid_time").isNotNull())
     else:
         paid = latest_per_key(paid, "paid_order_id", ["paid_time", "alipay_trade_no"])
-        # Lines per order are counted on the raw feed, which is cheaper than the joined lines.
-        raw_lines = rows_of(changes, "order_detail").select(field("order_id"))
-        joined = join_feeds(lines, paid, "order_id", "paid_order_id", "inner", hot_from=raw_lines)
+        joined = join_feeds(lines, paid, "order_id", "paid_order_id", "inner")
     return joined.withColumn("ts", F.col("paid_ts")).withColumn(
         "original_amount", F.col("origin_amount")
     ).select(*schemas.PAY_SUC_DETAIL.names)
@@ -153,5 +164,4 @@ def dwd_user_user_register(
         else:
             devices = latest_per_key(devices, "log_user_id", ["log_time", *attributes.values()])
             joined = join_feeds(users, devices, "user_id", "log_user_id", "left")
-    stamp = row_op_ts if row_op_ts is not None else F.current_timestamp()
-    return joined.withColumn("row_op_ts", stamp).select(*schemas.USER_REGISTER.names)
+    return joined.withColumn("row_op_ts", version(row_op_ts)).select(*schemas.USER_REGISTER.names)

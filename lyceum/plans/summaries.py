@@ -19,12 +19,13 @@ from lyceum.functions.times import from_epoch_millis, from_epoch_seconds, millis
 from lyceum.functions.values import money, one_if, score_band, truncated
 from lyceum.operators import firsts
 from lyceum.operators.latest import latest_per_key
-from lyceum.operators.lookup import chain, lookup, lookup_rows
+from lyceum.operators.lookup import lookup, lookups
 from lyceum.operators.windows import WINDOW, sums, tumble, tumble_measures, watermark
 from lyceum.streaming import state
 
 Dims = dict[str, DataFrame]
 LOGIN_DELAY = "3 seconds"
+ARRIVAL = "arrival"
 KEYWORD_DELAY = "3 seconds"
 # A bounce is known 10 s after it happened; the joint watermark has to wait for it.
 TRAFFIC_DELAY = "15 seconds"
@@ -40,11 +41,13 @@ def _one(name: str):
 
 def newest(details: DataFrame, key: str, take: list[str]) -> DataFrame:
     """Newest version per key, cut to the columns a summary needs before anything is shuffled.
-    Versions of one instant are told apart by those columns."""
+
+    The version is the change time and, where the source tells it, the ``arrival`` (place in the topic).
+    Only versions alike in both are told apart by their columns, so that a run gives what the last gave."""
     if details.isStreaming:
         return details.select(key, *take)
-    rows = details.select("row_op_ts", key, *take)
-    return latest_per_key(rows, key, ["row_op_ts", *take]).drop("row_op_ts")
+    version = ["row_op_ts", *([ARRIVAL] if ARRIVAL in details.columns else [])]
+    return latest_per_key(details.select(*version, key, *take), key, [*version, *take]).drop(*version)
 
 
 def _timed(details: DataFrame, *columns, delay: str | None = None) -> DataFrame:
@@ -53,13 +56,12 @@ def _timed(details: DataFrame, *columns, delay: str | None = None) -> DataFrame:
     return watermark(rows, "ts", delay) if delay else watermark(rows, "ts")
 
 
-def course_chain(dims: Dims) -> DataFrame:
-    """Course with subject and category: one join for three lookups."""
-    subjects = chain(dims["dim_base_subject_info"], "category_id", dims["dim_base_category_info"],
-                     {"category_name": "category_name"})
-    return chain(dims["dim_course_info"], "subject_id", subjects,
-                 {"subject_name": "subject_name", "category_id": "category_id",
-                  "category_name": "category_name"})
+def with_subject(rows: DataFrame, dims: Dims) -> DataFrame:
+    """Name and category of ``subject_id``."""
+    return lookups(
+        rows,
+        (dims["dim_base_subject_info"], "subject_id", {"subject_name": "subject_name", "category_id": "category_id"}),
+        (dims["dim_base_category_info"], "category_id", {"category_name": "category_name"}))
 
 
 # --- examinations, reviews, plays -----------------------------------------------------------
@@ -68,11 +70,10 @@ def dws_examination_paper_exam_window(papers: DataFrame, dims: Dims, window: str
                   F.col("duration_sec").cast("long").alias("exam_total_during_sec"))
     out = tumble(rows, ["paper_id"], [F.count(F.lit(1)).alias("exam_taken_count"),
                                       *sums(["exam_total_score", "exam_total_during_sec"])], window)
-    paper_chain = chain(dims["dim_test_paper"], "course_id", dims["dim_course_info"],
-                        {"course_name": "course_name"})
-    return lookup(out, paper_chain, {"paper_id": "id"}, {
-        "paper_title": "paper_title", "course_id": "course_id", "course_name": "course_name",
-    }).select("stt", "edt", "paper_id", "paper_title", "course_id", "course_name",
+    return lookups(
+        out, (dims["dim_test_paper"], "paper_id", {"paper_title": "paper_title", "course_id": "course_id"}),
+        (dims["dim_course_info"], "course_id", {"course_name": "course_name"}),
+    ).select("stt", "edt", "paper_id", "paper_title", "course_id", "course_name",
               "exam_taken_count", "exam_total_score", "exam_total_during_sec")
 
 
@@ -117,10 +118,8 @@ def dws_learn_chapter_play_window(plays: DataFrame, dims: Dims, window: str = WI
     counted = rows.withColumn("play_count", F.lit(1).cast("long"))
     out = tumble_measures([counted, first], ["video_id"],
                           ["play_count", "play_total_sec", "play_uu_count"], window)
-    videos = chain(dims["dim_video_info"], "chapter_id", dims["dim_chapter_info"],
-                   {"chapter_name": "chapter_name"})
-    named = lookup(out, videos, {"video_id": "id"},
-                   {"chapter_id": "chapter_id", "chapter_name": "chapter_name"})
+    named = lookups(out, (dims["dim_video_info"], "video_id", {"chapter_id": "chapter_id"}),
+                    (dims["dim_chapter_info"], "chapter_id", {"chapter_name": "chapter_name"}))
     measures = ["play_count", "play_total_sec", "play_uu_count"]
     if by_chapter:
         named = named.groupBy("stt", "edt", "chapter_id", "chapter_name").agg(*sums(measures))
@@ -129,7 +128,7 @@ def dws_learn_chapter_play_window(plays: DataFrame, dims: Dims, window: str = WI
 
 def _first_play_of_day(rows: DataFrame) -> DataFrame:
     if rows.isStreaming:
-        picked = state.first_of_day(rows.select("user_id", "video_id", "ts"), ["user_id"])
+        picked = state.first_of_day(rows.select("user_id", "video_id", "ts"), ["user_id"], forget=True)
     else:
         earliest = F.min(F.struct("ts", "video_id")).alias("_first")
         picked = rows.groupBy("user_id", F.to_date("ts").alias("_day")).agg(earliest).select("_first.*")
@@ -145,9 +144,8 @@ def dws_trade_cart_add_window(carts: DataFrame, window: str = WINDOW) -> DataFra
 def dws_trade_course_order_window(details: DataFrame, dims: Dims, window: str = WINDOW) -> DataFrame:
     rows = _timed(newest(details, "id", ["course_id", "final_amount", "ts"]), "course_id", money("final_amount").alias("order_total_amount"))
     out = tumble(rows, ["course_id"], sums(["order_total_amount"]), window)
-    return lookup(out, course_chain(dims), {"course_id": "id"}, {
-        c: c for c in ("course_name", "subject_id", "subject_name", "category_id", "category_name")
-    }).select("stt", "edt", "course_id", "course_name", "subject_id", "subject_name", "category_id",
+    named = lookup(out, dims["dim_course_info"], {"course_id": "id"}, {"course_name": "course_name", "subject_id": "subject_id"})
+    return with_subject(named, dims).select("stt", "edt", "course_id", "course_name", "subject_id", "subject_name", "category_id",
               "category_name", "order_total_amount")
 
 
@@ -203,17 +201,12 @@ def dws_trade_source_order_window(details: DataFrame, dims: Dims, window: str =
 def dws_trade_subject_user_order_window(details: DataFrame, dims: Dims, window: str = WINDOW) -> DataFrame:
     """Orders and amounts per subject and user; an order counts once per subject."""
     lines = newest(details, "id", ["course_id", "user_id", "order_id", "final_amount", "ts"])
-    lines = lookup_rows(lines, dims["dim_course_info"], "course_id", {"subject_id": "subject_id"},
-                        details.select("course_id"))
+    lines = lookup(lines, dims["dim_course_info"], {"course_id": "id"}, {"subject_id": "subject_id"})
     rows = _timed(lines, "subject_id", "user_id", "order_id", money("final_amount").alias("order_total_amount"))
     measures = ["order_count", "order_total_amount"]
     out = tumble_measures([rows, _first_lines(rows, ["subject_id", "order_id"], ["subject_id", "user_id"])],
                           ["subject_id", "user_id"], measures, window)
-    subjects = chain(dims["dim_base_subject_info"], "category_id", dims["dim_base_category_info"],
-                     {"category_name": "category_name"})
-    return lookup(out, subjects, {"subject_id": "id"}, {
-        c: c for c in ("subject_name", "category_id", "category_name")
-    }).select("stt", "edt", "subject_id", "subject_name", "category_id", "category_name", "user_id", *measures)
+    return with_subject(out, dims).select("stt", "edt", "subject_id", "subject_name", "category_id", "category_name", "user_id", *measures)
 
 
 def _first_lines(rows: DataFrame, keys: list[str], take: list[str], forget: bool = False) -> DataFrame:

@@ -184,10 +184,10 @@ def split_exploded_words(spark, sf_dir):
 SELECT o_orderpriority AS priority, count(*) AS lines, round(sum(l_extendedprice), 2) AS price
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
 def join_lines_with_orders(spark, sf_dir):
-    """Inner join with the salted path forced, however small the input."""
+    """Inner join with hot keys salted."""
     lines = tables.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id"), "l_extendedprice", "l_linenumber")
     orders = tables.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"), "o_orderpriority")
-    joined = skew_join(lines, orders, ["order_id"], "inner", slices=4, share=1e-4, rows=3, small_bytes=0)
+    joined = skew_join(lines, orders, ["order_id"], "inner", salted=True, share=1e-4, slice_rows=3)
     return joined.groupBy(F.col("o_orderpriority").alias("priority")).agg(
         F.count(F.lit(1)).alias("lines"), F.round(F.sum("l_extendedprice"), 2).alias("price"))
 
@@ -237,12 +237,13 @@ SELECT c_mktsegment AS segment, n_name AS nation, r_name AS region, customers FR
   SELECT c_mktsegment, c_nationkey, count(*) AS customers FROM customer GROUP BY 1, 2)
 LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey""")
 def lookup_chain(spark, sf_dir):
-    """Aggregate first, then one lookup of a pre-joined chain."""
+    """Aggregate first, then look up one dimension by what the other says."""
     counted = tables.table(spark, sf_dir, "customer").groupBy(
         F.col("c_mktsegment").alias("segment"), "c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
     region = tables.table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("region"))
-    nations = lookup.chain(tables.table(spark, sf_dir, "nation"), "n_regionkey", region, {"region": "region"})
-    out = lookup.lookup(counted, nations, {"c_nationkey": "n_nationkey"}, {"n_name": "nation", "region": "region"})
+    nations = tables.table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "id")
+    out = lookup.lookups(counted, (nations, "c_nationkey", {"n_name": "nation", "n_regionkey": "n_regionkey"}),
+                         (region, "n_regionkey", {"region": "region"}))
     return out.select("segment", "nation", "region", "customers")
 
 
@@ -362,7 +363,7 @@ FROM (SELECT *, first_value(CASE WHEN is_new = '1' THEN CAST(ts AS DATE) ELSE CA
 def keyed_new_visitor_repair(spark, sf_dir):
     """With the salted join forced."""
     rows = events(spark, sf_dir).withColumn("is_new", F.when(F.col("event_type") == "signup", "1").otherwise("0"))
-    fixed = firsts.repair_new_visitor(rows, "user_id", ties=["event_id"], slices=4, rows=10, share=1e-3, small_bytes=0)
+    fixed = firsts.repair_new_visitor(rows, "user_id", ties=["event_id"], salted=True, slice_rows=10, share=1e-3)
     return fixed.select("event_id", "user_id", "is_new")
 
 
@@ -447,8 +448,7 @@ def aggregate_distinct_orders(spark, sf_dir):
     """Orders per part type, each counted once at its first line."""
     types = tables.table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("type"))
     lines = tables.table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", F.col("l_shipdate").alias("ts"))
-    types = types.withColumnRenamed("p_partkey", "id")
-    typed = lookup.lookup_rows(lines, types, "l_partkey", {"type": "type"}, lines)
+    typed = lookup.lookup(lines, types, {"l_partkey": "p_partkey"}, {"type": "type"})
     first = firsts.first_ever(typed, ["type", "l_orderkey"])
     return windows.tumble(first, ["type"], [F.count(F.lit(1)).alias("orders")], DAY)
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lyceum import schemas
-from lyceum.functions.times import from_epoch_seconds
 from lyceum.operators import routing
 from lyceum.plans import details, logs, summaries
 from lyceum.queries.oracle import bounds, newest, sql
@@ -22,19 +21,19 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.page_log(tables.behaviour_log(spark, sf_dir))
 
 
-def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_details(spark: SparkSession, sf_dir: str, with_source: bool = True) -> DataFrame:
     return details.dwd_trade_order_detail(
-        tables.change_feed(spark, sf_dir, "order_info", "order_detail"), pages(spark, sf_dir), row_op_ts=from_epoch_seconds("ts"))
+        tables.change_feed(spark, sf_dir, "order_info", "order_detail"), pages(spark, sf_dir), with_source=with_source)
 
 
-def pay_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pay_details(spark: SparkSession, sf_dir: str, with_source: bool = True) -> DataFrame:
     return details.dwd_trade_pay_suc_detail(
-        tables.change_feed(spark, sf_dir, "payment_info", "order_detail"), order_details(spark, sf_dir))
+        tables.change_feed(spark, sf_dir, "payment_info", "order_detail"), order_details(spark, sf_dir, with_source))
 
 
 def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return details.dwd_user_user_register(
-        tables.change_feed(spark, sf_dir, "user_info"), pages(spark, sf_dir), row_op_ts=from_epoch_seconds("ts"))
+        tables.change_feed(spark, sf_dir, "user_info"), pages(spark, sf_dir))
 
 
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,7 +313,7 @@ FROM (SELECT {bounds(DAY)}, course_id, CAST(sum(final_amount) AS DOUBLE) AS orde
       FROM {newest("details", "ts", "course_id", "final_amount")} GROUP BY 1, 2, 3) a {COURSE_DIMS}""", "details"))
 def dws_trade_course_order_window(spark, sf_dir):
     out = summaries.dws_trade_course_order_window(
-        order_details(spark, sf_dir), tables.dimensions(spark, sf_dir), DAY)
+        order_details(spark, sf_dir, with_source=False), tables.dimensions(spark, sf_dir), DAY)
     return as_double(out, "order_total_amount")
 
 
@@ -329,12 +328,12 @@ GROUP BY 1, 2""", source)
 
 @query(_users_sql("details", "ts", "order_uv_count", "new_order_user_count"))
 def dws_trade_order_window(spark, sf_dir):
-    return summaries.dws_trade_order_window(order_details(spark, sf_dir), HOUR)
+    return summaries.dws_trade_order_window(order_details(spark, sf_dir, with_source=False), HOUR)
 
 
 @query(_users_sql("pays", "op_ts", "pay_suc_uv_count", "pay_suc_new_user_count"))
 def dws_trade_pay_suc_window(spark, sf_dir):
-    return summaries.dws_trade_pay_suc_window(pay_details(spark, sf_dir), HOUR)
+    return summaries.dws_trade_pay_suc_window(pay_details(spark, sf_dir, with_source=False), HOUR)
 
 
 @query(sql(f"""
@@ -383,7 +382,7 @@ LEFT JOIN nation ON CAST(n_nationkey AS VARCHAR) = subject_id LEFT JOIN region O
            "details"))
 def dws_trade_subject_user_order_window(spark, sf_dir):
     out = summaries.dws_trade_subject_user_order_window(
-        order_details(spark, sf_dir), tables.dimensions(spark, sf_dir), DAY)
+        order_details(spark, sf_dir, with_source=False), tables.dimensions(spark, sf_dir), DAY)
     return as_double(out, "order_total_amount")
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +17,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Sizes seen at run time are compressed; a broadcast table is built whole on the driver.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "4m",
+    # The same before the run, where sizes are those of compressed files.
+    "spark.sql.autoBroadcastJoinThreshold": "4m",
     # Skip the sorts of a sort-merge join when every partition of one side is this small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # transformWithState needs the RocksDB provider; its state lives on disk, not on the heap.
@@ -22,6 +26,10 @@ RUNTIME = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Spark's own default, by which an unset number is told.
+DEFAULT_PARTITIONS = "200"
+SHIPPED: dict[str, str] = {}
+
 
 def build_session(app: str = "lyceum", master: str | None = None, **conf: str) -> SparkSession:
     """Create a session; ``conf`` keys use ``__`` for dots (``spark__driver__memory="8g"``)."""
@@ -36,31 +44,46 @@ def build_session(app: str = "lyceum", master: str | None = None, **conf: str) -
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session someone else created."""
+    """Apply the runtime settings to a session someone else created, and send it the package."""
     for key, value in RUNTIME.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    context = spark.sparkContext
-    if context.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        # The default suits a cluster; one machine needs no more state stores than it has cores.
-        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
+    if spark.conf.get("spark.sql.shuffle.partitions") == DEFAULT_PARTITIONS:
+        # Nobody has chosen a number: two tasks for each core that there is.
+        spark.conf.set("spark.sql.shuffle.partitions", str(2 * spark.sparkContext.defaultParallelism))
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: their Python workers import it, wherever
+    the driver was started."""
+    context = spark.sparkContext
+    if SHIPPED.get("application") == context.applicationId:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="lyceum-package-")  # on the driver, which serves the file itself
+    path = os.path.join(folder, "lyceum.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for top, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    out.write(full, os.path.join("lyceum", os.path.relpath(full, root)))
+    context.addPyFile(path)
+    SHIPPED["application"] = context.applicationId
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for stream checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only a local-mode session may fall back to a
-    folder of its own, since there every task runs on this machine.
-    """
+    A cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a folder in the warehouse is
+    taken, which the executors share as well."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = f"/tmp/lyceum-{os.getpid()}"
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lyceum import schemas
 from lyceum.functions.times import DATE_TIME
-from lyceum.operators.skew import estimated_bytes
 
 
 SCHEMAS = {
@@ -30,17 +29,12 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
-SPREAD_FROM, SPREAD_BELOW = 1 << 20, 128 << 20
 TIMES = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table; its time becomes a zoned timestamp, which windows and watermarks need."""
     df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    if SPREAD_FROM < estimated_bytes(df) < SPREAD_BELOW:
-        # A small file with a single row group would keep one core busy and the others idle.  Larger
-        # tables have splits enough and are read as they are.
-        df = df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
     return zoned(df, name)
 
 

@@ -23,8 +23,9 @@ def _pack(df: DataFrame, keys: list[str], ts: str, **extra: Column) -> DataFrame
     """Keys (as text), ``t`` in milliseconds, extra columns, and the row as JSON."""
     named = [F.col(k).cast("string").alias(f"key{i}") for i, k in enumerate(keys)]
     more = [column.alias(name) for name, column in extra.items()]
-    time = [F.col(ts)] if ts else []
-    return df.select(*named, *time, F.unix_millis(ts).alias("t"), *more,
+    time = [F.col(ts)]
+    # A row without a time belongs to no day and follows no other row.
+    return df.where(F.col(ts).isNotNull()).select(*named, *time, F.unix_millis(ts).alias("t"), *more,
                      F.to_json(F.struct(*df.columns), _JSON).alias("payload"))
 
 
@@ -46,32 +47,41 @@ class LastDay(StatefulProcessor):
 
     NEVER = -(10**6)
 
-    def __init__(self, away_days: int, ttl_ms: int | None, time: str | None = None):
+    def __init__(self, away_days: int, ttl_ms: int | None, time: str | None = None, forget: bool = False):
         self.away_days = away_days
         self.ttl_ms = ttl_ms
         self.time = time  # event-time column to pass on, for a stateful operator that follows
+        self.forget = forget  # drop a key's day when the watermark has passed its end
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("last_day", "day int", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         last = self.state.get()[0] if self.state.exists() else self.NEVER
-        for chunk in rows:
-            chunk = chunk.sort_values("t", kind="stable")
-            days = chunk["day"].to_numpy()
-            seen = np.maximum.accumulate(np.concatenate([[last], days]))
-            before, last = seen[:-1], int(seen[-1])
-            first = days > before
-            known = before != self.NEVER
-            yield pd.DataFrame({
-                **_key_columns(key),
-                **({self.time: chunk[self.time].array} if self.time else {}),
-                "payload": chunk["payload"].to_numpy(),
-                "is_first": first.astype("int64"),
-                "is_new": (first & ~known).astype("int64"),
-                "is_back": (first & known & (days - before >= self.away_days)).astype("int64"),
-            })
+        # All rows of the key in this micro-batch, however they are cut: the first is not known earlier.
+        chunk = pd.concat(list(rows), ignore_index=True).sort_values("t", kind="stable")
+        days = chunk["day"].to_numpy()
+        seen = np.maximum.accumulate(np.concatenate([[last], days]))
+        before, last = seen[:-1], int(seen[-1])
+        first = days > before
+        known = before != self.NEVER
         self.state.update((last,))
+        if self.forget:
+            self.handle.registerTimer((last + 2) * DAY_MS)
+        yield pd.DataFrame({
+            **_key_columns(key),
+            **({self.time: chunk[self.time].array} if self.time else {}),
+            "payload": chunk["payload"].to_numpy(),
+            "is_first": first.astype("int64"),
+            "is_new": (first & ~known).astype("int64"),
+            "is_back": (first & known & (days - before >= self.away_days)).astype("int64"),
+        })
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.state.exists() and (self.state.get()[0] + 2) * DAY_MS <= expiredTimerInfo.getExpiryTimeInMs():
+            self.state.clear()
+        return iter([])
 
 
 def flag_days(df: DataFrame, keys: list[str], ts: str = "ts", away_days: int = 8,
@@ -88,14 +98,18 @@ def flag_days(df: DataFrame, keys: list[str], ts: str = "ts", away_days: int = 8
     return _unpack(out, df.schema, "is_first", "is_new", "is_back")
 
 
-def first_of_day(df: DataFrame, keys: list[str], ts: str = "ts", away_days: int = 8) -> DataFrame:
+def first_of_day(df: DataFrame, keys: list[str], ts: str = "ts", away_days: int = 8,
+                 forget: bool = False) -> DataFrame:
     """The first row of each key and day, plus ``is_new`` and ``is_back``.
 
-    ``ts`` stays the stream's event time, so a window aggregate can follow in the same query.
+    ``ts`` stays the stream's event time, so a window aggregate can follow in the same query.  With
+    ``forget`` a key is dropped when the watermark passes the day after its last one, which is the end of
+    that day in any time zone; ``is_new`` and
+    ``is_back`` are then of no use.
     """
     packed = _pack(df, keys, ts, day=F.unix_date(F.to_date(ts)))
     out = packed.groupBy(*[f"key{i}" for i in range(len(keys))]).transformWithStateInPandas(
-        LastDay(away_days, None, ts),
+        LastDay(away_days, None, ts, forget),
         f"{_key_schema(keys)}, {ts} timestamp, payload string, is_first bigint, is_new bigint, is_back bigint",
         "append", "EventTime", eventTimeColumnName=ts)
     rest = [f"r.{c}" for c in df.columns if c != ts]
@@ -120,28 +134,28 @@ class FirstDate(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         first = self.state.get()[0] if self.state.exists() else None
-        known = first is not None
-        for chunk in rows:
-            chunk = chunk.sort_values(["t", "claims"], kind="stable")
-            days, claims = chunk["day"].to_numpy(), chunk["claims"].to_numpy()
-            if first is None:
-                first = int(days[0]) if claims[0] else int(days[0]) - 1
-            wrong = (claims == 1) & (days != first)
-            yield pd.DataFrame({
-                **_key_columns(key), "payload": chunk["payload"].to_numpy(), "wrong": wrong.astype("int64"),
-            })
-        if not known:
+        # The first row of the key is known when all its rows of this micro-batch are there.
+        chunk = pd.concat(list(rows), ignore_index=True)
+        days, claims = chunk["day"].to_numpy(), chunk["claims"].to_numpy()
+        if first is None:
+            at = np.lexsort((claims, chunk["t"].to_numpy()))[0]
+            first = int(days[at]) if claims[at] else int(days[at]) - 1
             self.state.update((first,))
+        wrong = (claims == 1) & (days != first)
+        yield pd.DataFrame({
+            **_key_columns(key), "payload": chunk["payload"].to_numpy(), "wrong": wrong.astype("int64"),
+        })
 
 
 def repair_new_visitor(df: DataFrame, visitor: str = "mid", flag: str = "is_new", ts: str = "ts") -> DataFrame:
-    """Clear a new-visitor flag on any date but the visitor's first."""
+    """Clear a new-visitor flag on any date but the visitor's first.  Rows without a time stay as they are."""
+    df, untimed = df.where(F.col(ts).isNotNull()), df.where(F.col(ts).isNull())
     claims = F.when(F.col(flag) == "1", 1).otherwise(0)
     packed = _pack(df, [visitor], ts, day=F.unix_date(F.to_date(ts)), claims=claims).drop(ts)
     out = packed.groupBy("key0").transformWithStateInPandas(
         FirstDate(), "key0 string, payload string, wrong bigint", "append", "None")
     fixed = _unpack(out, df.schema, "wrong")
-    return fixed.withColumn(flag, F.when(F.col("wrong") == 1, F.lit("0")).otherwise(F.col(flag))).drop("wrong")
+    return fixed.withColumn(flag, F.when(F.col("wrong") == 1, F.lit("0")).otherwise(F.col(flag))).drop("wrong").unionByName(untimed)
 
 
 # --- hold a key's best row -----------------------------------------------------------------------

@@ -7,14 +7,9 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
-from lyceum.operators import skew  # noqa: E402
 from lyceum.session import build_session  # noqa: E402
 
 
-def pytest_configure(config):
-    config.addinivalue_line("markers", "real_sizes: keep Spark's own size estimates")
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
@@ -27,14 +22,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@pytest.fixture(autouse=True)
-def known_small(request, monkeypatch):
-    """Hand-made frames carry no size estimate, which counts as huge.  Treat them as the small
-    inputs they are; tests of the spreading itself ask for ``small_bytes=0`` or real sizes."""
-    if "real_sizes" not in request.keywords:
-        monkeypatch.setattr(skew, "estimated_bytes", lambda df: 0)
-
-
 @pytest.fixture
 def frame(spark):
     """Rows and a DDL schema to a frame."""

@@ -109,7 +109,7 @@ REPAIR = [
 ]
 
 
-@pytest.mark.parametrize("options", [{}, {"small_bytes": 0, "rows": 1, "share": 0.1, "slices": 3}])
+@pytest.mark.parametrize("options", [{}, {"salted": True, "slice_rows": 1, "share": 0.1}])
 def test_new_visitor_repair(frame, options):
     rows = frame([(i, mid, flag, at(s)) for i, (mid, flag, s, _) in enumerate(REPAIR)],
                  "id int, mid string, is_new string, ts timestamp")

@@ -83,7 +83,7 @@ def test_salted_path_gives_the_same_details(changes, pages, monkeypatch):
 
 def _forced(join):
     def call(*args, **kwargs):
-        return join(*args, small_bytes=0, rows=1, share=0.1, slices=3, **kwargs)
+        return join(*args, salted=True, slice_rows=1, share=0.1, **kwargs)
     return call
 
 

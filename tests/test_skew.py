@@ -9,7 +9,7 @@ from conftest import ordered, tuples
 from pyspark.sql import functions as F
 
 from lyceum.operators import joins, sessions
-from lyceum.operators.skew import _bytes, hot_keys, skew_join
+from lyceum.operators.skew import hot_keys, skew_join
 
 
 @contextmanager
@@ -34,15 +34,15 @@ def skewed(frame, n=3000):
 
 
 def test_hot_keys_are_few(frame):
-    assert tuples(hot_keys(skewed(frame), ["k"], share=0.1, rows=100)) == [("hot",)]
-    assert hot_keys(skewed(frame), ["k"], share=0.001, rows=10).count() <= 1000
+    assert tuples(hot_keys(skewed(frame), ["k"], share=0.1, slice_rows=100), "slices") == [(10,)]
+    assert hot_keys(skewed(frame), ["k"], share=0.001, slice_rows=10).count() <= 1000
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_join_equals_plain_join(frame, how):
     left = skewed(frame)
     right = frame([("hot", 1), ("hot", 2), ("k1", 3), ("k2", 4), (None, 5)], "k string, v int")
-    salted = skew_join(left, right, ["k"], how, slices=7, share=0.05, rows=50, small_bytes=0)
+    salted = skew_join(left, right, ["k"], how, salted=True, share=0.05, slice_rows=150)
     assert tuples(salted, "id", "k", "v") == tuples(left.join(right, ["k"], how), "id", "k", "v")
     assert set(salted.columns) == {"id", "k", "v"}
 
@@ -51,7 +51,7 @@ def test_salted_join_spreads_the_hot_key(spark, frame):
     left = skewed(frame, 6000)
     right = frame([("hot", 1)], "k string, v int")
     with settings(spark):
-        joined = skew_join(left, right, ["k"], "inner", slices=16, share=0.05, rows=50, small_bytes=0)
+        joined = skew_join(left, right, ["k"], "inner", salted=True, share=0.05, slice_rows=125)
         per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         assert len(per_task) == 4 and max(per_task) < 0.6 * sum(per_task)
 
@@ -60,23 +60,31 @@ def test_rows_without_a_key_spread_too(spark, frame):
     left = frame([(i, None if i % 2 else "a") for i in range(4000)], "id int, k string")
     right = frame([("a", 1)], "k string, v int")
     with settings(spark):
-        joined = skew_join(left, right, ["k"], "left", slices=16, share=0.05, rows=50, small_bytes=0)
+        joined = skew_join(left, right, ["k"], "left", salted=True, share=0.05, slice_rows=125)
         missing = joined.where("v is null").groupBy(F.spark_partition_id()).count().collect()
         assert sum(r["count"] for r in missing) == 2000 and len(missing) == 4
 
 
-@pytest.mark.real_sizes
-@pytest.mark.parametrize("left_rows,right_rows,spread", [(10**3, 10**9, False), (10**9, 10**3, False), (10**9, 10**9, True)])
-def test_join_is_plain_when_a_side_is_small_enough(spark, left_rows, right_rows, spread):
-    left = spark.range(left_rows).withColumnRenamed("id", "k")
-    right = spark.range(right_rows).withColumnRenamed("id", "k").withColumn("v", F.lit(1))
-    plan = skew_join(left, right, ["k"], "left")._jdf.queryExecution().optimizedPlan().toString()
-    assert ("_slice" in plan) == spread
+@pytest.mark.parametrize("rows", [10**3, 10**9])
+def test_join_is_the_same_plan_at_every_size(spark, rows):
+    left = spark.range(rows).withColumnRenamed("id", "k")
+    right = spark.range(rows).withColumnRenamed("id", "k").withColumn("v", F.lit(1))
+    plans = [skew_join(left, right, ["k"], "left", salted)._jdf.queryExecution().optimizedPlan().toString()
+             for salted in (False, True)]
+    assert ["_slice" in plan for plan in plans] == [False, True]
 
 
-@pytest.mark.parametrize("text,size", [("10MB", 10 << 20), ("10485760b", 10 << 20), ("-1", -1), ("64m", 64 << 20), ("5", 5)])
-def test_size_settings(text, size):
-    assert _bytes(text) == size
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_within_time_matches_all_pairs(frame, how):
+    rows = _random_rows(8, 300)
+    lhs = frame([*rows, (-1, None, 5, True, 0)], "id int, k string, s int, start boolean, v int").select(
+        "id", "k", F.timestamp_seconds("s").alias("lt"))
+    rhs = frame(_random_rows(9, 300), "id int, k string, s int, start boolean, v int").select(
+        F.col("k").alias("rk"), F.timestamp_seconds("s").alias("rt"), F.col("id").alias("hit"))
+    out = joins.join_feeds(lhs, rhs, "k", "rk", how, "lt", "rt", "10 seconds")
+    close = (F.col("k") == F.col("rk")) & joins.near("lt", "rt", "10 seconds")
+    assert tuples(out, "id", "hit") == tuples(lhs.join(rhs, close, how), "id", "hit")
+    assert out.columns == ["id", "k", "lt", "rt", "hit"]
 
 
 def test_outer_sides_that_salting_would_break_are_refused(frame):
