@@ -69,6 +69,15 @@ def clean_log_records(spark, sf_dir):
     return clean.select("common.mid", F.col("err").isNotNull().cast("int").alias("has_error"), "ts")
 
 
+@query(sql("SELECT mid, ts FROM logs", "logs"))
+def clean_log_text_numbers(spark, sf_dir):
+    """Logs that write their time as text are as clean as others."""
+    log = tables.log_of(events(spark, sf_dir))
+    fields = [F.col(c).cast("string").alias(c) if c == "ts" else F.col(c) for c in log.columns]
+    clean, dirty = cleaning.clean_logs(log.select(F.to_json(F.struct(*fields)).alias("value")), schemas.BEHAVIOUR_LOG)
+    return clean.select("common.mid", "ts").unionByName(dirty.select(F.col("value").alias("mid"), F.lit(0).cast("long").alias("ts")))
+
+
 @query(sql("""
 SELECT CASE WHEN uid IS NULL THEN substr('{"common":{"mid":"' || mid || '","sid":"' || sid || '","sc":"' || sc || '","ar', 1, 40)
             ELSE substr('{"common":{"mid":"' || mid || '","uid":"' || uid || '","sid":"' || sid || '"', 1, 40) END AS value
@@ -440,6 +449,17 @@ def aggregate_bands(spark, sf_dir):
     return windows.tumble(rows, ["band"], [F.count(F.lit(1)).alias("events")], DAY)
 
 
+@query(f"""
+SELECT {bounds(DAY, 'ts')}, CASE WHEN event_id % 3 = 0 THEN NULL WHEN v < 60 THEN '[0, 60)' WHEN v < 80 THEN '[60, 80)'
+       WHEN v < 90 THEN '[80, 90)' WHEN v < 95 THEN '[90, 95)' ELSE '[95, 100]' END AS band, count(*) AS events
+FROM (SELECT ts, event_id, CAST(trunc(value) AS BIGINT) AS v FROM events) GROUP BY 1, 2, 3""")
+def aggregate_bands_with_nulls(spark, sf_dir):
+    """Scores that are no numbers have no band."""
+    score = F.when(F.col("event_id") % 3 == 0, F.lit("12,5")).otherwise(F.col("value").cast("string"))
+    rows = events(spark, sf_dir).withColumn("band", values.score_band(values.truncated(score)))
+    return windows.tumble(rows, ["band"], [F.count(F.lit(1)).alias("events")], DAY)
+
+
 @query(f"""
 SELECT {bounds(DAY, 'ts')}, p_type AS type, count(*) AS orders FROM (
   SELECT p_type, l_orderkey, min(l_shipdate) AS ts FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)

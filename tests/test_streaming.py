@@ -255,3 +255,70 @@ def test_unbounded_stream_join_is_refused_by_default_limit(spark, frame):
     right = windows.watermark(parts(spark, frame([("a", DAY0)], "rk string, rt timestamp"), "rk", 1, "jr"), "rt")
     joined = joins.join_feeds(left, right, "k", "rk", "inner", "lt", "rt", "10 seconds")
     assert joined.isStreaming and joined.columns == ["k", "lt", "rt"]
+
+
+@pytest.fixture
+def small_chunks(spark):
+    """A key's rows reach a state processor ten at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_state_does_not_depend_on_chunks_or_order(spark, frame, small_chunks):
+    """72 rows of one user in reverse order, in one micro-batch."""
+    rows = [(i, DAY0 + dt.timedelta(hours=i), "u", "1") for i in reversed(range(72))]
+    df = frame(rows, "id int, ts timestamp, user string, is_new string")
+    flagged = jobs.materialise(state.flag_days(parts(spark, df, F.desc("ts"), 1, "chunks").drop("is_new"), ["user"]), "chunks-out")
+    assert tuples(flagged.where("is_first = 1"), "id") == [(0,), (24,), (48,)]
+    assert tuples(flagged.where("is_new = 1"), "id") == [(0,)]
+    fixed = jobs.materialise(state.repair_new_visitor(parts(spark, df, F.desc("ts"), 1, "chunks-r"), "user"), "chunks-r-out")
+    assert tuples(fixed.where("is_new = '1'"), "id") == [(i,) for i in range(24)]
+
+
+def test_rows_without_a_time(spark, frame):
+    df = frame([(1, DAY0, "u", "1"), (2, None, "u", "1"), (3, None, None, None)],
+               "id int, ts timestamp, user string, is_new string")
+    flagged = jobs.materialise(state.flag_days(parts(spark, df, "id", 1, "untimed").drop("is_new"), ["user"]), "untimed-out")
+    assert tuples(flagged, "id", "is_first") == [(1, 1)]
+    fixed = jobs.materialise(state.repair_new_visitor(parts(spark, df, "id", 1, "untimed-r"), "user"), "untimed-r-out")
+    assert tuples(fixed, "id", "is_new") == [(1, "1"), (2, "1"), (3, None)]
+
+
+def test_day_state_is_dropped_after_the_day(spark, frame):
+    """400 users of one day each, over 40 days: the state holds those of the last days only."""
+    rows = [(i, DAY0 + dt.timedelta(days=i // 10, minutes=i % 10), f"u{i}") for i in range(400)]
+    df = frame(rows, "id int, ts timestamp, user string")
+    stream = parts(spark, df, "ts", 8, "forget")
+    first = firsts.first_sightings(windows.watermark(stream), ["user"])
+    query = first.writeStream.format("parquet").option("path", scratch_path(spark, "forget-out")).option(
+        "checkpointLocation", scratch_path(spark, "forget-cp")).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    state_rows = [o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]]
+    assert max(state_rows) <= 150 and state_rows[-1] <= 80
+
+
+def test_package_reaches_executors_from_any_folder(tmp_path):
+    """A stream with keyed state, started elsewhere and with the package on the driver's path only."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from lyceum.session import build_session, prepare
+spark = prepare(build_session("elsewhere", "local[2]", spark__ui__enabled="false",
+    spark__sql__shuffle__partitions="1", spark__checkpoint__dir={str(tmp_path / "shared")!r}))
+from lyceum.streaming import jobs, state
+rows = spark.sql("select timestamp'2024-01-01 10:00:00' as ts, 'u' as user")
+rows.write.parquet({str(tmp_path / "in")!r})
+stream = spark.readStream.schema(rows.schema).parquet({str(tmp_path / "in")!r})
+print("FOUND", jobs.materialise(state.flag_days(stream, ["user"]), "out").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "FOUND 1" in done.stdout, done.stderr[-2000:]
