@@ -71,6 +71,9 @@ def ship(spark: SparkSession) -> None:
                     full = os.path.join(top, name)
                     out.write(full, os.path.join("lyceum", os.path.relpath(full, root)))
     context.addPyFile(path)
+    # The driver's own workers, which start streams with keyed state, take no added files.
+    paths = [path, context.environment.get("PYTHONPATH", "")]
+    context.environment["PYTHONPATH"] = os.pathsep.join(p for p in paths if p)
     SHIPPED["application"] = context.applicationId
 
 
