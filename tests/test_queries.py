@@ -5,9 +5,10 @@ import pytest
 from check import TABLES, compare
 
 import __spark_entry__ as entry_points
+from lyceum.queries import catalog
 
 SF = "/root/testdata/sf0.001"
-BATCH = [n for n in entry_points.queries() if not n.startswith("stream_")]
+BATCH = [n for n in catalog.QUERIES if not n.startswith("stream_")]
 # The others are run by tools/check.py; tests/test_streaming.py covers their operators.
 STREAMS = ["stream_learn_play", "stream_dimension_upsert", "stream_bounces"]
 
@@ -58,4 +59,16 @@ def test_entry_is_the_flagship(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(entry_points.queries())
+
+
+def test_order_summaries_do_not_read_the_page_log(spark):
+    for name in ("dws_trade_order_window", "dws_trade_course_order_window"):
+        assert "events.parquet" not in plan_of(entry_points.queries()[name](spark, SF))
+
+
+def test_dimensions_are_joined_one_by_one(spark):
+    plan = plan_of(entry_points.queries()["dws_trade_course_order_window"](spark, SF))
+    joins = [line for line in plan.split("\n") if "Join" in line and ("subject_id" in line or "category_id" in line)]
+    assert joins and all("BroadcastHashJoin" in line for line in joins)
