@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,6 +24,20 @@ def materialise(stream: DataFrame, name: str, partition_by: list[str] = ()) -> D
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def replay(spark: SparkSession, pieces: Iterable[DataFrame], build: Callable[[DataFrame], DataFrame], name: str,
+           partition_by: list[str] = ()) -> DataFrame:
+    """Feed a stream piece by piece: each is added to the input folder and processed by a run of its own,
+    which goes on from the checkpoint of the last.  Returns the table that ``build(input)`` wrote."""
+    feed, path, checkpoint = (scratch_path(spark, f"{name}-{part}") for part in ("feed", "out", "checkpoint"))
+    schema = None
+    for piece in pieces:
+        piece.write.mode("append").parquet(feed)
+        stream = build(spark.readStream.schema(piece.schema).parquet(feed))
+        run_available(to_files(stream, path, checkpoint, partition_by))
+        schema = stream.schema
+    return spark.read.schema(schema).parquet(path)
+
+
 def for_each_batch(stream: DataFrame, write: BatchWriter, checkpoint: str) -> StreamingQuery:
     """Process all data present with a ``foreachBatch`` function."""
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
