@@ -21,6 +21,8 @@ RUNTIME = {
     "spark.sql.autoBroadcastJoinThreshold": "4m",
     # Skip the sorts of a sort-merge join when every partition of one side is this small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Rows that go to a Python worker at a time; texts may be long.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # transformWithState needs the RocksDB provider; its state lives on disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
