@@ -20,16 +20,19 @@ from lyceum.session import prepare, scratch_path
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a rule rejects go."""
+    prepare(spark)
     return drop_failing(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the largest id stays."""
+    prepare(spark)
     return drop_exact_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: five words, 0.8."""
+    prepare(spark)
     return drop_near_copies(spark, docs)
 
 
@@ -43,6 +46,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens."""
+    prepare(spark)
     return pack(spark, docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -54,7 +58,6 @@ ORACLE_SQL = None  # the token ids of the last stage are beyond SQL; tests/llm c
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name)

@@ -267,13 +267,14 @@ def ranked(pieces: DataFrame, groups: int) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0,
-         id_col: str = "doc_id", text_col: str = "text", groups: int = 256) -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", groups: int | None = None) -> DataFrame:
     """Pack all documents into sequences of at most ``size`` tokens.
 
     Returns per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.  Only documents
     longer than ``size`` are cut.  Null and empty texts are one piece with the end id; null ids and
     repeated rows are packed like any other row (pieces alike in all columns may swap places); an empty
-    table gives no rows; extra columns are not read.  Pieces are written to the shared folder once, so
+    table gives no rows; extra columns are not read.  Ranks are counted in ``groups`` groups a length (by
+    default the number of shuffle partitions).  Pieces are written to the shared folder once, so
     that the histogram and the placing see the same rows even if tasks are run again."""
     written = scratch_path(spark, "pieces")
     tokenize_pieces(docs, tokenizer, size, end_id, id_col, text_col).write.parquet(written)
@@ -281,7 +282,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, size: int = 2048,
     # At most ``size`` rows come to the driver.
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     table = places(pack_histogram(counts, size))
-    rows = ranked(pieces, groups)
+    rows = ranked(pieces, groups or int(spark.conf.get("spark.sql.shuffle.partitions")))
     kind = dict(rows.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
