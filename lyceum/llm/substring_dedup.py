@@ -23,7 +23,7 @@ from lyceum.llm.words import WORD, Hashes, hashed, ragged, rolled, slices, start
 
 # Perfect difference sets, period to elements.
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
-FLUSH = 2_000_000  # entries that a task holds before it sends them on
+FLUSH = 1_000_000  # entries that a task holds before it sends them on
 
 
 def cover_for(width: int) -> int:
@@ -43,11 +43,41 @@ def spread(entries: np.ndarray, key: str, buckets: int) -> Iterator[tuple[int, n
 
 
 ANCHOR = np.dtype([("hash", "<u8"), ("doc", "<i4"), ("at", "<i4")])
-WINDOW = np.dtype([("hash", "<u8"), ("more", "<u8"), ("doc", "<i4"), ("at", "<i4")])
+WINDOW = np.dtype([("hash", "<u8"), ("more", "<u4"), ("doc", "<i4"), ("at", "<i4")])  # 96 bits of hash
 SENT = "bucket int, docs array<struct<id:{id},tie:bigint>>, entries binary"
 HITS = "doc_id {id}, tie bigint, places binary"
 
 
+def packed(entries: np.ndarray) -> bytes:
+    """Entries, in order of document and place, column by column.  Steps between documents and places are
+    small, so their bytes are laid out by significance and compress to little; hashes do not."""
+    import zstandard
+
+    parts = [np.int64(len(entries)).tobytes()]
+    for name in ("doc", "at"):
+        steps = np.diff(entries[name], prepend=np.int32(0)).astype("<i4")
+        parts.append(steps.view(np.uint8).reshape(-1, 4).T.tobytes())
+    parts += [entries[name].tobytes() for name in entries.dtype.names if name not in ("doc", "at")]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+
+
+def unpacked(blob: bytes, dtype: np.dtype) -> np.ndarray:
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n, at = int(np.frombuffer(raw, "<i8", 1)[0]), 8
+    entries = np.empty(n, dtype)
+    for name in ("doc", "at"):
+        steps = np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n).T.copy().view("<i4").ravel()
+        entries[name] = np.cumsum(steps, dtype=np.int32)
+        at += 4 * n
+    for name in dtype.names:
+        if name not in ("doc", "at"):
+            entries[name] = np.frombuffer(raw, dtype[name], n, at)
+            at += dtype[name].itemsize * n
+    return entries
+
+
 def by_document(doc: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """Places of each document as bytes."""
     order = np.lexsort((at, doc))
@@ -89,7 +119,7 @@ class Sender:
                 part["doc"] = local
                 buckets.append(bucket)
                 docs.append([{"id": self.docs[d][0], "tie": self.docs[d][1]} for d in used])
-                blobs.append(part.tobytes())
+                blobs.append(packed(part))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(buckets, pa.int32()),
                  pa.array(docs, pa.list_(pa.struct([("id", self.kind), ("tie", pa.int64())]))),
@@ -105,7 +135,7 @@ class Anchors(Sender):
 
     def settle(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         _, first, inverse, counts = np.unique(entries["hash"], return_index=True, return_inverse=True, return_counts=True)
-        return entries[first], entries[counts[inverse] > 1]
+        return entries[np.sort(first)], entries[counts[inverse] > 1]
 
 
 class Windows(Sender):
@@ -113,8 +143,7 @@ class Windows(Sender):
 
     def settle(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order, first, same = first_of_each(entries, self.docs)
-        entries = entries[order]
-        return entries[first], entries[~first & ~same]
+        return entries[np.sort(order[first])], entries[np.sort(order[~first & ~same])]
 
 
 def rank_of(docs: list[tuple]) -> np.ndarray:
@@ -141,7 +170,7 @@ def received(batches: Iterable[pa.RecordBatch], dtype: np.dtype) -> tuple[np.nda
     parts, settled, docs = [], [], []
     for batch in batches:
         for bucket, own, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "docs", "entries")), strict=True):
-            part = np.frombuffer(blob, dtype).copy()
+            part = unpacked(blob, dtype)
             part["doc"] += len(docs)
             docs += [(d["id"], d["tie"]) for d in own]
             parts.append(part)
