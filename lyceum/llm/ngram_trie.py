@@ -201,12 +201,14 @@ class Trie:
 
 @dataclass
 class Read:
-    """Tokens of some texts: ids, counts, and where each text ends; ``first`` marks first tokens."""
+    """Tokens of some texts: ids, counts, and where each text ends; ``first`` marks first tokens, ``left`` is
+    what tokens leave as contexts, if asked for."""
 
     ids: np.ndarray
     counts: np.ndarray
     bounds: np.ndarray
     first: np.ndarray
+    left: np.ndarray
 
 
 def token_hashes(texts: list[bytes | None], table: Hashes) -> tuple[np.ndarray, np.ndarray]:
@@ -214,13 +216,16 @@ def token_hashes(texts: list[bytes | None], table: Hashes) -> tuple[np.ndarray,
     return np.insert(flat, bounds[1:], END), bounds + np.arange(len(bounds))
 
 
-def read(trie: Trie, texts: list[bytes | None], table: Hashes) -> Read:
+def read(trie: Trie, texts: list[bytes | None], table: Hashes, with_left: bool = False) -> Read:
     flat, bounds = token_hashes(texts, table)
     distinct, inverse = np.unique(flat, return_inverse=True)
     ids, counts = trie.tokens(distinct)
     first = np.zeros(len(flat), bool)
     first[bounds[:-1]] = True
-    return Read(ids[inverse], counts[inverse], bounds, first)
+    left = np.zeros(len(distinct))
+    if with_left:
+        left[ids >= 0] = trie.left(1, ids[ids >= 0])
+    return Read(ids[inverse], counts[inverse], bounds, first, left[inverse])
 
 
 def contexts_of(trie: Trie, text: Read, level: int, min_count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -240,11 +245,15 @@ def contexts_of(trie: Trie, text: Read, level: int, min_count: int) -> tuple[np.
     return at, nodes
 
 
-def found_nodes(trie: Trie, level: int, context: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``Trie.find``, asked once for each distinct pair."""
+def found_nodes(trie: Trie, level: int, context: np.ndarray, token: np.ndarray,
+                with_left: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``Trie.find``, asked once for each distinct pair, and what the nodes leave, if asked for."""
     keys, first, inverse = np.unique(trie.keys(context, token), return_index=True, return_inverse=True)
     nodes, logs = trie.find(level, context[first], token[first])
-    return nodes[inverse], logs[inverse]
+    left = np.zeros(len(nodes))
+    if with_left:
+        left[nodes >= 0] = trie.left(level, nodes[nodes >= 0])
+    return nodes[inverse], logs[inverse], left[inverse]
 
 
 def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -388,7 +397,7 @@ def log_probability(trie: Trie, level: int, context: np.ndarray, token: np.ndarr
         return trie.unigram(trie.of_nodes(1, "counts", token, "counts"))
     # The last token of each context, a context of level 1 itself; above level 3 this would be its suffix.
     suffix = trie.of_nodes(level, "level", context, "followers")
-    nodes, logs = found_nodes(trie, 2, suffix, token)
+    nodes, logs, _ = found_nodes(trie, 2, suffix, token)
     shorter = trie.left(1, suffix) + trie.unigram(trie.of_nodes(1, "counts", token, "counts"))
     return np.where(nodes >= 0, logs, shorter)
 
@@ -405,23 +414,23 @@ def score(docs: DataFrame, shape: Shape, min_count: int = 2, id_col: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, table = Trie(shape), Hashes()
         for part in slices(batches, "text", SLICE):
-            text = read(trie, part.column("text").to_pylist(), table)
+            text = read(trie, part.column("text").to_pylist(), table, with_left=order > 1)
             base = trie.unigram(text.counts)
             logs = base.copy()
             often = text.counts >= min_count
             at = np.flatnonzero(~text.first & np.concatenate([[False], often[:-1]])) if order > 1 else np.empty(0, np.int64)
-            nodes = text.ids[at - 1]
+            nodes, left = text.ids[at - 1], text.left[at - 1]
             for level in range(2, order + 1):
-                # Tokens behind a known context: the stored probability, or what the context leaves.
-                known = text.ids[at] >= 0
-                found, stored = np.full(len(at), -1), np.zeros(len(at))
-                found[known], stored[known] = found_nodes(trie, level, nodes[known], text.ids[at[known]])
-                distinct, inverse = np.unique(nodes, return_inverse=True)
-                logs[at] = np.where(found >= 0, stored, logs[at] + trie.left(level - 1, distinct)[inverse])
-                place = np.full(len(text.ids) + 1, -1)
-                place[at] = found
-                at = np.flatnonzero((place[:-2] >= 0) & ~text.first[1:]) + 1 if len(text.ids) > 1 else at[:0]
-                nodes = place[at - 1]
+                # Tokens behind a known context: the stored probability, or what the context leaves.  Only
+                # tokens counted often enough can end a kept n-gram.
+                ask = often[at]
+                found, stored, leaves = np.full(len(at), -1), np.zeros(len(at)), np.zeros(len(at))
+                found[ask], stored[ask], leaves[ask] = found_nodes(trie, level, nodes[ask], text.ids[at[ask]], level < order)
+                logs[at] = np.where(found >= 0, stored, logs[at] + left)
+                place, left_of = np.full(len(text.ids), -1), np.zeros(len(text.ids))
+                place[at], left_of[at] = found, leaves
+                at = np.flatnonzero((place[:-1] >= 0) & ~text.first[1:]) + 1
+                nodes, left = place[at - 1], left_of[at - 1]
             ends = text.bounds[:-1]
             known_tokens = np.add.reduceat((text.counts > 0).astype(np.int64), ends)
             yield pa.RecordBatch.from_arrays(
