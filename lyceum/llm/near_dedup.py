@@ -26,7 +26,7 @@ from lyceum.llm.words import Hashes, mixed, slices
 from lyceum.session import scratch_path
 
 KEYS = 10      # keys in each collection
-SKETCH = 128   # smallest members of a set, by which hopeless pairs are told
+SKETCH = 256   # smallest members of a set, by which hopeless pairs are told; smaller sets are compared whole
 
 
 def table_keys(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -37,8 +37,8 @@ def table_keys(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def features(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, tie, n_shingles, set_a, set_b, keys and sketch of every document; the last four are null or
-    empty where the set is empty."""
+    """doc_id, tie, n_shingles, set_a, set_b and keys of every document; the last three are null where the
+    set is empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Hashes()
         for part in slices(batches, "text"):
@@ -51,30 +51,30 @@ def features(docs: DataFrame, width: int) -> DataFrame:
             place = np.full(len(sizes), -1)
             place[some] = np.arange(len(some))
             at = pa.array(np.maximum(place, 0), mask=place < 0)
-            sketches = [(values[s:min(e, s + SKETCH)] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                        for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("tie"), pa.array(sizes, pa.int64()),
                  pa.array(a.view(np.int64)).take(at), pa.array(b.view(np.int64)).take(at),
-                 pa.array([None if p < 0 else keys[p] for p in place], pa.list_(pa.int32())),
-                 pa.array(sketches, pa.list_(pa.int32()))],
-                names=["doc_id", "tie", "n_shingles", "set_a", "set_b", "keys", "sketch"])
+                 pa.array([None if p < 0 else keys[p] for p in place], pa.list_(pa.int32()))],
+                names=["doc_id", "tie", "n_shingles", "set_a", "set_b", "keys"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(run, f"doc_id {kind}, tie long, n_shingles long, set_a long, set_b long, keys array<int>, sketch array<int>")
+    return docs.mapInArrow(run, f"doc_id {kind}, tie long, n_shingles long, set_a long, set_b long, keys array<int>")
 
 
 def whole_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, members): sorted 64-bit members as bytes."""
+    """(doc_id, n_shingles, sketch, members): 16 bits of each of the smallest members, and all members as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Hashes()
         for part in slices(batches, "text"):
             values, bounds = shingle_sets(part.column("text").to_pylist(), width, table)
-            blobs = [values[s:e].tobytes() for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
+            cuts = list(zip(bounds[:-1], bounds[1:], strict=True))
+            sketches = [(values[s:min(e, s + SKETCH)] & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16) for s, e in cuts]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(blobs, pa.binary())], names=["doc_id", "members"])
+                [part.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(sketches, pa.list_(pa.int16())),
+                 pa.array([values[s:e].tobytes() for s, e in cuts], pa.binary())],
+                names=["doc_id", "n_shingles", "sketch", "members"])
 
-    return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, members binary")
+    return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, sketch array<smallint>, members binary")
 
 
 def like_sizes(n: Column, m: Column, percent: int) -> Column:
@@ -82,21 +82,26 @@ def like_sizes(n: Column, m: Column, percent: int) -> Column:
 
 
 def may_link(n: Column, m: Column, sketch: Column, other: Column, percent: int) -> Column:
-    """False if the sketches have so few members in common that sets this alike would have with a
-    probability below 2e-5.  Of k smallest members, sets of sizes p >= q that are just alike enough are
-    expected to share s / (1 + s) (1 + q / p) k; 4.2 standard deviations are allowed."""
+    """False if the sketches have too few members in common.
+
+    Sets of sizes p >= q that are just alike enough have r p members in common, r = s / (1 + s) (1 + q / p),
+    and of the k smallest of the larger set r k are expected to be among them, drawn without replacement.
+    4.2 standard deviations are allowed, what the other sketch may end earlier, and four members that share
+    their 16 bits with another one: a pair alike enough is lost with a probability below 1e-4."""
     s = percent / 100
-    k = F.least(F.size(sketch), F.size(other)).cast("double")
-    expected = F.lit(s / (1 + s)) * (1 + F.least(n, m) / F.greatest(n, m)) * k
-    spread = F.sqrt(F.greatest(expected * (1 - expected / k), F.lit(0.0)))
-    return F.size(F.array_intersect(sketch, other)) >= expected - 4.2 * spread - 1
+    p = F.greatest(n, m).cast("double")
+    k = F.greatest(F.size(sketch), F.size(other)).cast("double")
+    r = F.least(F.lit(s / (1 + s)) * (1 + F.least(n, m) / p), F.lit(1.0))
+    rest = 1 - k / p
+    slack = 4.2 * F.sqrt(k * r * (1 - r) * rest) + F.sqrt(2 * k * (1 - r) * rest) + 4
+    return F.size(F.array_intersect(sketch, other)) >= r * k - slack
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are alike enough."""
     one = sets.select(F.col("doc_id").alias("a"), F.col("members").alias("x"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("members").alias("y"))
-    both = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
+    both = pairs.join(one.hint("merge"), "a").join(two.hint("merge"), "b").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,7 +140,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     classes = saved(found.filter("n_shingles > 0").groupBy(*sets_of).agg(F.min("doc_id").alias("rep"))
                     .filter("rep is not null"), folder, "classes")
     own = F.col("doc_id") == F.col("rep")
-    reps = found.join(classes, sets_of).filter(own).select("rep", "n_shingles", "keys", "sketch")
+    reps = found.join(classes, sets_of).filter(own).select("rep", "keys")
 
     tables = (reps.select("rep", F.posexplode(F.slice("keys", 1, KEYS)).alias("i", "x"), F.slice("keys", KEYS + 1, KEYS).alias("ys"))
               .select("rep", "i", "x", F.posexplode("ys").alias("j", "y"))
@@ -144,14 +149,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     shared = tables.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
     live = saved(tables.join(shared.select("bucket", "low"), "bucket"), folder, "live")
     members = saved(live.select("rep").distinct(), folder, "members")
-    sketches = saved(reps.join(members, "rep", "left_semi"), folder, "sketches")
+    keys = saved(reps.join(members, "rep", "left_semi"), folder, "keys")
     sets = saved(whole_sets(texts.drop("tie").join(members, F.col("doc_id") == F.col("rep"), "left_semi"), width), folder, "sets")
 
     # Each member with the smallest of its bucket.
+    sketches = sets.select(F.col("doc_id").alias("rep"), "n_shingles", "sketch")
     one = sketches.select(F.col("rep").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("s"))
     two = sketches.select(F.col("rep").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("t"))
     stars = live.filter("rep > low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct()
-    hopeful = (stars.join(one, "a").join(two, "b")
+    # Tables that grow with the documents are joined by sorting, at every size.
+    hopeful = (stars.join(one.hint("merge"), "a").join(two.hint("merge"), "b")
                .filter(like_sizes(F.col("n"), F.col("m"), percent) & may_link(F.col("n"), F.col("m"), F.col("s"), F.col("t"), percent))
                .select("a", "b"))
     links = saved(confirmed(hopeful, sets, percent), folder, "star_links")
@@ -162,7 +169,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
                 .withColumn("component", F.coalesce("component", "rep")))
     mixed_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
     rows = (labelled.join(mixed_buckets.select("bucket"), "bucket", "left_semi")
-            .join(sketches, "rep").select("bucket", "i", "j", "rep", "component", "n_shingles", "sketch",
+            .join(keys.hint("merge"), "rep").join(sketches.hint("merge"), "rep").select("bucket", "i", "j", "rep", "component", "n_shingles", "sketch",
                                           *[F.get("keys", F.lit(k)).alias(f"k{k}") for k in range(2 * KEYS)]))
     left = rows.select(*[F.col(c).alias(f"{c}_a") for c in rows.columns])
     right = rows.select(*[F.col(c).alias(f"{c}_b") for c in rows.columns])
