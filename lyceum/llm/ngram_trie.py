@@ -1,8 +1,8 @@
 """Language-model scores from an n-gram trie of Elias-Fano levels.
 
 Level 1 holds every training token, sorted by hash, with its exact count; a token's place is its id.  Level k
-holds the n-grams of k tokens counted twice or more, as (context, token): the context is the id of an n-gram
-of level k - 1.  A level is cut into shards by a hash of (context, token), so no context, however frequent,
+holds the n-grams of k tokens counted ``min_count`` times or more (1: all of them), as (context, token): the
+context is the id of an n-gram of level k - 1.  A level is cut into shards by a hash of (context, token), so no context, however frequent,
 is in one shard.  In a shard, contexts and the pointers to their followers are monotone sequences in
 Elias-Fano form; followers are sorted within their context and found there by successor search; smoothed
 probabilities are quantised.  Shards are files of the shared folder that tasks map into memory; pages that
@@ -23,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lyceum.llm.elias_fano import EliasFano
@@ -45,6 +46,16 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return (((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Values of eight bytes, laid out by significance: most of those bytes are alike and compress to little."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def unpacked(blob: bytes, kind: str) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view(kind).ravel()
+
+
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, with the sums of their counts."""
     order = np.argsort(keys, kind="stable")
@@ -85,12 +96,13 @@ class Tally:
 
 
 def sent(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Keys in order and their counts, a row for each shard; of the keys the steps between them are sent."""
     order = np.argsort(shard, kind="stable")
     cuts = np.flatnonzero(np.diff(shard[order])) + 1
     for at in np.split(order, cuts) if len(order) else []:
         yield pa.RecordBatch.from_arrays(
-            [pa.array([int(shard[at[0]])], pa.int32()), pa.array([keys[at].tobytes()], pa.binary()),
-             pa.array([counts[at].tobytes()], pa.binary())], names=["shard", "keys", "counts"])
+            [pa.array([int(shard[at[0]])], pa.int32()), pa.array([packed(np.diff(keys[at], prepend=np.uint64(0)))], pa.binary()),
+             pa.array([packed(counts[at])], pa.binary())], names=["shard", "keys", "counts"])
 
 
 def by_shard(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -98,7 +110,7 @@ def by_shard(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[tuple[int
     parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     for batch in batches:
         for shard, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("shard", "keys", "counts")), strict=True):
-            parts.setdefault(shard, []).append((np.frombuffer(keys, "<u8"), np.frombuffer(counts, kind)))
+            parts.setdefault(shard, []).append((np.cumsum(unpacked(keys, "<u8"), dtype=np.uint64), unpacked(counts, kind)))
     for shard in sorted(parts):
         own = parts.pop(shard)
         yield shard, *summed(*(np.concatenate(x) for x in zip(*own, strict=True)))
@@ -114,6 +126,7 @@ class Shape:
     bases: list[np.ndarray]  # per level, the first id of each shard, and the end
     tokens: int = 0          # N
     bits: int = 0            # for the ids of tokens, in keys (context, token)
+    min_count: int = 2       # of the n-grams kept in levels above the first
 
     @property
     def distinct(self) -> int:
@@ -192,7 +205,7 @@ class Trie:
             same = lo < end
             same[same] = followers[lo[same]] == own[same]
             nodes[at[same]] = lo[same] + bases[shard]
-            logs[at[same]] = data["codes"][lo[same]] * -STEP
+            logs[at[same]] = self.file(f"codes{level}-{shard}")["codes"][lo[same]] * -STEP
         return nodes, logs
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
@@ -231,7 +244,7 @@ def read(trie: Trie, texts: list[bytes | None], table: Hashes, with_left: bool =
 def contexts_of(trie: Trie, text: Read, level: int, min_count: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of tokens that may end an n-gram of ``level``, and the node of the tokens in front of them.
 
-    An n-gram is counted twice only if its parts are, so others need not be counted or looked for."""
+    An n-gram is counted ``min_count`` times only if its parts are, so others need not be counted or looked for."""
     often = text.counts >= min_count
     at = np.flatnonzero(~text.first & often & np.concatenate([[False], often[:-1]]))
     nodes = text.ids[at - 1]
@@ -282,7 +295,7 @@ def build(spark: SparkSession, train: DataFrame, order: int = 3, min_count: int
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     uri = scratch_path(spark, "ngrams")
     texts = text_rows(train, id_col, text_col)
-    shape = Shape(uri, shards, discount, [])
+    shape = Shape(uri, shards, discount, [], min_count=min_count)
 
     def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, tally = Hashes(), Tally(shards, lambda keys: shard_of(keys, shards))
@@ -321,13 +334,20 @@ def add_level(spark: SparkSession, texts: DataFrame, shape: Shape, level: int, m
         yield from tally.rows()
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Write the counts of a shard; pass on its size (a row without keys) and what its n-grams take
-        from their contexts, by the shard of the context."""
+        """Write the trie of a shard (contexts, pointers, followers) and its counts; pass on its size (a row
+        without keys) and what its n-grams take from their contexts, by the shard of the context."""
         bases = shape.bases[level - 2]
         for shard, keys, counts in by_shard(batches, "<u8"):
             kept = counts >= min_count
             keys, counts = keys[kept], counts[kept]
-            Store(uri).write(f"counts{level}-{shard}", {"keys": keys, "counts": counts})
+            if len(keys):
+                context, token = keys >> np.uint64(shape.bits), keys & np.uint64((1 << shape.bits) - 1)
+                distinct, first = np.unique(context, return_index=True)
+                Store(uri).write(f"counts{level}-{shard}", {"counts": counts.astype(np.min_scalar_type(int(counts.max())))})
+                Store(uri).write(f"level{level}-{shard}", {
+                    **EliasFano.of(distinct, int(bases[-1])).arrays("contexts"),
+                    **EliasFano.of(np.append(first, len(keys)), len(keys) + 1).arrays("pointers"),
+                    "followers": token.astype(np.uint32 if shape.bits <= 32 else np.uint64)})
             yield pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int32()), pa.array([None], pa.binary()), pa.array([None], pa.binary()),
                  pa.array([len(keys)], pa.int64())], names=["shard", "keys", "counts", "n"])
@@ -365,26 +385,21 @@ def add_level(spark: SparkSession, texts: DataFrame, shape: Shape, level: int, m
     exchanged(counted.filter("keys is not null").drop("n"), shards).mapInArrow(write_left, "shard int").count()
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The trie of a shard: contexts, pointers, followers and quantised probabilities."""
+        """The quantised probabilities of a shard."""
         for batch in batches:
             for shard in batch.column("shard").to_pylist():
                 if bases[shard + 1] == bases[shard]:
                     continue
                 trie = Trie(shape)
-                raw = trie.file(f"counts{level}-{shard}")
-                keys, counts = np.array(raw["keys"]), np.array(raw["counts"])
-                context = (keys >> np.uint64(shape.bits)).astype(np.int64)
-                token = (keys & np.uint64((1 << shape.bits) - 1)).astype(np.int64)
+                data, counts = trie.file(f"level{level}-{shard}"), trie.file(f"counts{level}-{shard}")["counts"]
+                contexts, pointers = EliasFano.loaded(data, "contexts"), EliasFano.loaded(data, "pointers")
+                context = np.repeat(contexts.at(np.arange(contexts.n)).astype(np.int64),
+                                    np.diff(pointers.at(np.arange(pointers.n)).astype(np.int64)))
+                token = data["followers"].astype(np.int64)
                 below = log_probability(trie, level - 1, context, token)
                 p = (counts - discount) / trie.of_nodes(level - 1, "counts", context, "counts") + 10.0 ** (
                     trie.left(level - 1, context) + below)
-                distinct, first = np.unique(context, return_index=True)
-                ends = np.append(first, len(keys))
-                small = np.uint32 if shape.bits <= 32 else np.uint64
-                Store(uri).write(f"level{level}-{shard}", {
-                    **EliasFano.of(distinct, int(shape.bases[level - 2][-1])).arrays("contexts"),
-                    **EliasFano.of(ends, len(keys) + 1).arrays("pointers"),
-                    "followers": token.astype(small), "codes": quantised(np.log10(np.minimum(p, 1.0)))})
+                Store(uri).write(f"codes{level}-{shard}", {"codes": quantised(np.log10(np.minimum(p, 1.0)))})
             yield batch
 
     every.repartition(shards, "shard").mapInArrow(finish, "shard int").count()
@@ -402,12 +417,13 @@ def log_probability(trie: Trie, level: int, context: np.ndarray, token: np.ndarr
     return np.where(nodes >= 0, logs, shorter)
 
 
-def score(docs: DataFrame, shape: Shape, min_count: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, shape: Shape, min_count: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score of every whole text; both scores are log10.
 
     One row per input row; a null or empty text is its end only; texts alike get scores alike; ids may be
     null; an empty table gives no rows; extra columns are not read.  A model without training texts knows
-    no token and gives each of them 1 / 1."""
+    no token and gives each of them 1 / 1.  ``min_count`` is that of the model."""
+    min_count = shape.min_count if min_count is None else min_count
     rows = text_rows(docs, id_col, text_col)
     order = len(shape.bases)
 

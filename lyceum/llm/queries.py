@@ -134,7 +134,7 @@ def op7_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    model = ngram_trie.build(spark, documents.filter(fold(7) != 2))
+    model = ngram_trie.build(spark, documents.filter(fold(7) != 2), min_count=1)
     scores = ngram_trie.score(documents, model)
     return scores.select("doc_id", (fold(7) == 2).alias("held_out"), "n_tokens", "n_known",
                          F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
