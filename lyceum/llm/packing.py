@@ -128,10 +128,10 @@ def best_pair(left: Lengths, own: int, room: int) -> tuple[int, int] | None:
     free = lambda s: left.count[s] - (s == own)
     while low <= high:
         a, b = sizes[low], sizes[high]
-        if a + b > room:
+        if a + b > room or not free(b):
             high -= 1
             continue
-        if a + b > total and free(a) >= 1 and free(b) >= 1 and (a != b or free(a) >= 2):
+        if a + b > total and free(a) >= 1 and (a != b or free(a) >= 2):
             best, total = (b, a), a + b
         low += 1
     return best
@@ -141,9 +141,10 @@ def reduce_by_dominance(left: Lengths, capacity: int, plan: Plan) -> None:
     """Fix sets of up to three pieces that dominate every other set with the same longest piece.
 
     Longest first: alone, if nothing fits beside it; with the largest fitting piece, if that fills the
-    sequence, if no two others fit, or if it is as long as the best fitting pair; with the best pair, if
-    its longer piece is the largest fitting one and no pair of pieces just below it can do better.  Sets
-    are fixed for as many pieces as have them at once.  What passes none of the tests is left alone."""
+    sequence, if no two others fit, or if no three others fit and it is as long as the best fitting pair;
+    with the best pair, if its longer piece is the largest fitting one, no three others fit, and no two that
+    are both longer than its shorter one.  Sets are fixed for as many pieces as have them at once.  What
+    passes none of the tests is left alone."""
     again = True
     while again:
         again = False
@@ -162,7 +163,8 @@ def reduce_by_dominance(left: Lengths, capacity: int, plan: Plan) -> None:
                     again = True
                     continue
                 pair = best_pair(left, own, room) if sum_of_smallest(left, own, 2) <= room else None
-                if mate == room or pair is None or mate >= sum(pair):
+                three = sum_of_smallest(left, own, 3) <= room
+                if mate == room or pair is None or (not three and mate >= sum(pair)):
                     if mate == own:
                         n = left.count[own] // 2
                         left.take(own, 2 * n)
@@ -174,9 +176,7 @@ def reduce_by_dominance(left: Lengths, capacity: int, plan: Plan) -> None:
                         plan.add(n, ((own, 1), (mate, 1)))
                     again = True
                     continue
-                if pair[0] == mate and sum_of_smallest(left, own, 3) > room and (
-                        sum_of_smallest(left, own, 2, above=pair[1]) > room):
-                    # No three others fit, and no two that are both longer than the pair's shorter piece.
+                if pair[0] == mate and not three and sum_of_smallest(left, own, 2, above=pair[1]) > room:
                     need: dict[int, int] = {}
                     for s in (own, *pair):
                         need[s] = need.get(s, 0) + 1
