@@ -13,10 +13,11 @@ once per task, however often it occurs.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Generator, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from lyceum.llm.words import WORD, Hashes, hashed, ragged, rolled, slices, starts_inside
@@ -31,9 +32,9 @@ def cover_for(width: int) -> int:
     return max(v for v in COVERS if width - v + 1 >= max(1, width // 3))
 
 
-def spread(entries: np.ndarray, key: str, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Entries by bucket of their key; the bucket is taken from the upper bits."""
-    bucket = ((entries[key] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+def spread(entries: np.ndarray, keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Entries by bucket of their keys; the bucket is taken from the upper bits."""
+    bucket = ((keys >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     entries, bucket = entries[order], bucket[order]
     cuts = np.flatnonzero(np.diff(bucket)) + 1
@@ -92,7 +93,8 @@ class Sender:
     """Collects entries of a task and the documents they are from; sends them on by bucket.
 
     A sent row has the entries of one bucket and the documents they mention; a row with bucket -1 - k
-    carries places that need no answer, dealt over the buckets as well."""
+    carries places that need no answer, which no other entry has to meet: their bucket is that of the
+    document, so that a passage of many documents is spread over all tasks."""
 
     def __init__(self, kind: pa.DataType, dtype: np.dtype, buckets: int):
         self.kind, self.dtype, self.buckets = kind, dtype, buckets
@@ -109,8 +111,9 @@ class Sender:
     def rows(self) -> Iterator[pa.RecordBatch]:
         entries = np.concatenate(self.parts) if self.parts else np.empty(0, self.dtype)
         out, known = self.settle(entries)
-        rows = [(bucket, part) for bucket, part in spread(out, "hash", self.buckets)]
-        rows += [(-1 - bucket, part) for bucket, part in spread(known, "hash", self.buckets)]
+        own = np.array([xxhash.xxh3_64_intdigest(repr(d).encode()) for d in self.docs], np.uint64)
+        rows = [(bucket, part) for bucket, part in spread(out, out["hash"], self.buckets)]
+        rows += [(-1 - bucket, part) for bucket, part in spread(known, own[known["doc"]], self.buckets)]
         for at in range(0, len(rows), 64):
             buckets, docs, blobs = [], [], []
             for bucket, part in rows[at:at + 64]:
@@ -165,19 +168,20 @@ def first_of_each(entries: np.ndarray, docs: list[tuple]) -> tuple[np.ndarray, n
     return order, first, (rank == rank[lead]) & (e["at"] == e["at"][lead]) & ~first
 
 
-def received(batches: Iterable[pa.RecordBatch], dtype: np.dtype) -> tuple[np.ndarray, np.ndarray, list[tuple]]:
-    """All entries of the buckets of a task, whether they are settled, and their documents."""
-    parts, settled, docs = [], [], []
+def received(batches: Iterable[pa.RecordBatch], dtype: np.dtype,
+             kind: pa.DataType) -> Generator[pa.RecordBatch, None, tuple[np.ndarray, list[tuple]]]:
+    """Passes settled places on as they come; gives back all other entries of a task and their documents."""
+    parts, docs = [], []
     for batch in batches:
-        for bucket, own, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "docs", "entries")), strict=True):
-            part = unpacked(blob, dtype)
+        for bucket, some, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "docs", "entries")), strict=True):
+            part, own = unpacked(blob, dtype), [(d["id"], d["tie"]) for d in some]
+            if bucket < 0:
+                yield from hits(part["doc"], part["at"], own, kind)
+                continue
             part["doc"] += len(docs)
-            docs += [(d["id"], d["tie"]) for d in own]
+            docs += own
             parts.append(part)
-            settled.append(np.full(len(part), bucket < 0))
-    if not parts:
-        return np.empty(0, dtype), np.empty(0, bool), docs
-    return np.concatenate(parts), np.concatenate(settled), docs
+    return np.concatenate(parts) if parts else np.empty(0, dtype), docs
 
 
 def hits(doc: np.ndarray, at: np.ndarray, docs: list[tuple], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
@@ -244,13 +248,10 @@ def repeated_windows(docs: DataFrame, width: int = 20, id_col: str = "doc_id", t
         yield from sender.rows()
 
     def repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries, settled, documents = received(batches, ANCHOR)
-        _, inverse, counts = np.unique(entries["hash"][~settled], return_inverse=True, return_counts=True)
-        known = entries[settled]
-        open_ones = entries[~settled]
-        found = open_ones[counts[inverse] > 1]
-        doc = np.concatenate([known["doc"], found["doc"]])
-        yield from hits(doc, np.concatenate([known["at"], found["at"]]), documents, id_type)
+        entries, documents = yield from received(batches, ANCHOR, id_type)
+        _, inverse, counts = np.unique(entries["hash"], return_inverse=True, return_counts=True)
+        found = entries[counts[inverse] > 1]
+        yield from hits(found["doc"], found["at"], documents, id_type)
 
     def find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, sender = Hashes(), Windows(id_type, WINDOW, buckets)
@@ -275,11 +276,10 @@ def repeated_windows(docs: DataFrame, width: int = 20, id_col: str = "doc_id", t
         yield from sender.rows()
 
     def later_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries, settled, documents = received(batches, WINDOW)
-        known, entries = entries[settled], entries[~settled]
+        entries, documents = yield from received(batches, WINDOW, id_type)
         order, first, same = first_of_each(entries, documents)
         later = entries[order][~first & ~same]
-        yield from hits(np.concatenate([known["doc"], later["doc"]]), np.concatenate([known["at"], later["at"]]), documents, id_type)
+        yield from hits(later["doc"], later["at"], documents, id_type)
 
     sent, back = SENT.format(id=kind), HITS.format(id=kind)
     anchors = exchanged(texts.mapInArrow(find_anchors, sent), buckets).mapInArrow(repeated_anchors, back)
