@@ -12,7 +12,15 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span "
     "strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style template noscript head title svg math iframe object select textarea".split())
+SILENT = frozenset("script style template noscript head title svg math iframe select textarea".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title head html".split())
+DRAWN = frozenset(("svg", "math"))  # what is inside is not HTML, but for what stands in one of POINTS
+POINTS = frozenset("foreignobject desc mi mo mn ms mtext annotation-xml".split())
+ENDS_DRAWN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+ENDS_SELECT = frozenset("input keygen textarea select".split())
+TABLE_PARTS = frozenset("caption table tbody tfoot thead tr td th".split())
 CLOSES_ITSELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
                  "th": ("td", "th"), "option": ("option",)}
 NAMES = re.compile(r"[a-z]+")
@@ -33,12 +41,16 @@ class Element:
     tag: str
     names: tuple[str, ...]
     label: int | None = None
+    before: int = 0  # blocks found before this element
 
 
 @dataclass
 class Reader(HTMLParser):
     """Blocks of one page.  Elements left open are closed as browsers do it: a new paragraph, list item or
-    cell ends the one before, any block ends a paragraph, and an end tag ends what is open inside."""
+    cell ends the one before, any block ends a paragraph, and an end tag ends what is open inside.  A head
+    ends at the first tag or text that may not stand in it, a drawing or formula at the first tag that only
+    HTML has, a list of options at the next control.  What an object holds is shown in its place if it cannot
+    be: it is left out if the object has an end tag, else nobody knows where the object ends, and it is read."""
 
     blocks: list[Block] = field(default_factory=list)
     open: list[Element] = field(default_factory=list)
@@ -46,6 +58,7 @@ class Reader(HTMLParser):
     linked: int = 0
     silent: int = 0
     links: int = 0
+    headed: bool = False  # a head was seen, or what comes behind it
 
     def __post_init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -74,7 +87,40 @@ class Reader(HTMLParser):
                 return None
         return None
 
+    def end_head(self) -> None:
+        if self.open and self.open[-1].tag == "head":
+            self.shut(len(self.open) - 1)
+        self.headed = True
+
+    def end_drawn(self) -> None:
+        first = None
+        for place in range(len(self.open) - 1, -1, -1):
+            if self.open[place].tag in POINTS:
+                break
+            if self.open[place].tag in DRAWN:
+                first = place
+        if first is not None:
+            self.shut(first)
+
+    def end_select(self, tag: str) -> bool:
+        """Ends the list of options that a tag may not stand in; true if there was one."""
+        tags = [e.tag for e in self.open]
+        if "select" not in tags or not (tag in ENDS_SELECT or (tag in TABLE_PARTS and "table" in tags)):
+            return False
+        self.shut(tags.index("select"))
+        return True
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in ENDS_DRAWN or (tag == "font" and any(key in ("color", "face", "size") for key, _ in attrs)):
+            self.end_drawn()
+        if tag == "head" and self.headed:
+            return
+        if tag == "head":
+            self.headed = True
+        elif tag not in IN_HEAD:
+            self.end_head()
+        if self.end_select(tag) and tag == "select":
+            return
         if tag == "br":
             self.parts.append(" ")
         if tag in INLINE and tag not in VOID:
@@ -95,21 +141,28 @@ class Reader(HTMLParser):
                 found += NAMES.findall(value.lower())
             elif key == "data-label":
                 label = int(value or 0)
-        self.open.append(Element(tag, tuple(found), label))
+        self.open.append(Element(tag, tuple(found), label, len(self.blocks)))
         self.silent += tag in SILENT
 
     def handle_endtag(self, tag: str) -> None:
+        if tag in ("p", "br"):
+            self.end_drawn()
         if tag not in INLINE:
             self.flush()
         for place in range(len(self.open) - 1, -1, -1):
             if self.open[place].tag == tag:
+                if tag == "object":
+                    del self.blocks[self.open[place].before:]
                 return self.shut(place)
             if tag in INLINE and self.open[place].tag not in INLINE:
                 return None
         return None
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1].tag == "head" and data.strip():
+            self.end_head()
         if not self.silent:
+            self.headed = self.headed or bool(data.strip())
             self.parts.append(data)
             if self.links:
                 self.linked += len(data.strip())
