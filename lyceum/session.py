@@ -28,8 +28,6 @@ RUNTIME = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-# Spark's own default, by which an unset number is told.
-DEFAULT_PARTITIONS = "200"
 SHIPPED: dict[str, str] = {}
 
 
@@ -50,7 +48,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    if spark.conf.get("spark.sql.shuffle.partitions") == DEFAULT_PARTITIONS:
+    if "spark.sql.shuffle.partitions" not in spark.conf.getAll:
         # Nobody has chosen a number: two tasks for each core that there is.
         spark.conf.set("spark.sql.shuffle.partitions", str(2 * spark.sparkContext.defaultParallelism))
     ship(spark)
@@ -86,8 +84,8 @@ def scratch_root(spark: SparkSession) -> str:
     taken, which the executors share as well."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        # Only named here: a live session takes no such setting any more.
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-        spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import ordered, tuples
+from helpers import ordered, tuples
 from pyspark.sql import functions as F
 
 from lyceum import schemas

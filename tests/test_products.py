@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import tuples
+from helpers import tuples
 from pyspark.sql import functions as F
 
 from lyceum import schemas

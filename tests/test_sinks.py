@@ -2,7 +2,7 @@
 
 import json
 
-from conftest import tuples
+from helpers import tuples
 from pyspark.sql import functions as F, types as T
 
 from lyceum import schemas

@@ -5,7 +5,7 @@ from collections import defaultdict
 from contextlib import contextmanager
 
 import pytest
-from conftest import ordered, tuples
+from helpers import ordered, tuples
 from pyspark.sql import functions as F
 
 from lyceum.operators import joins, sessions
