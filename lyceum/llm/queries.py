@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lyceum.llm import compression_classifier, ngram_trie
+from lyceum.llm import byte_bpe_codec, compression_classifier, ngram_trie
 from lyceum.llm.exact_dedup import exact_dedup
 from lyceum.llm.html_extraction import extract
 from lyceum.llm.near_dedup import near_duplicates
@@ -143,3 +143,9 @@ def op8_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe_codec.digests(table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
