@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -12,6 +13,7 @@ from lyceum.llm.exact_dedup import exact_dedup
 from lyceum.llm.html_extraction import extract
 from lyceum.llm.near_dedup import near_duplicates
 from lyceum.llm.packing import pack
+from lyceum.llm.periodic_runs import periodic_runs
 from lyceum.llm.pseudonyms import pseudonymise
 from lyceum.llm.quality_rules import quality_rules
 from lyceum.llm.sentencepiece_codec import digests
@@ -149,3 +151,29 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_codec.digests(table(spark, sf_dir, "documents"),
                                   public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def made_periodic(doc_id: int | None, words: list[str]) -> list[str]:
+    """Every tenth document, by the checksum of its id, repeats one period from some word on.  A null id
+    counts as an empty text."""
+    drawn, n = zlib.crc32(b"" if doc_id is None else str(doc_id).encode()), len(words)
+    if drawn % 10 or not n:
+        return words
+    rest = drawn // 10
+    start = rest % n
+    period = 1 + (n - start) // (3 + rest % 8)
+    return words[:start] + [words[start + (i - start) % period] for i in range(start, n)]
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(table(spark, sf_dir, "documents"), rewrite=made_periodic)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(F.lit(""))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
