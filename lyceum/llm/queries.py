@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lyceum.llm import byte_bpe_codec, compression_classifier, ngram_trie
+from lyceum.llm.cross_alignment import link_digests
 from lyceum.llm.exact_dedup import exact_dedup
 from lyceum.llm.html_extraction import extract
 from lyceum.llm.near_dedup import near_duplicates
@@ -153,6 +154,12 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query()
+def op11_cross_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_digests(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def made_periodic(doc_id: int | None, words: list[str]) -> list[str]:
     """Every tenth document, by the checksum of its id, repeats one period from some word on.  A null id
     counts as an empty text."""
