@@ -16,6 +16,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator, Sequence
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -25,12 +26,17 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from lyceum.llm import sentencepiece_codec
 from lyceum.llm.byte_bpe_codec import WHITE
-from lyceum.llm.chunk_table import ChunkTable
 from lyceum.llm.words import ragged, slices
 from lyceum.session import scratch_path
 
-# A byte-level tokenizer cuts before white space that follows something else, so chunks may be cut there.
-CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+# A byte-level tokenizer cuts before white space that follows something else, and no piece of a sentencepiece
+# model that ``Codec`` takes crosses a space or a line feed.  So a chunk ends, for both, where one of these
+# two follows something that is no white space.
+OTHER = WHITE.replace("\t-\r ", "\t\v-\r")
+CHUNK = re.compile(f"(?:[{WHITE}]+[^{WHITE}]*|[^{WHITE}]+)(?:[{OTHER}][{WHITE}]*[^{WHITE}]*)*")
+LIMIT = 400_000  # chunks remembered
+JOINED = 256  # chunks encoded at a time
+SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{WHITE}]", c))
 SHIFT = 15  # bits of the second id in a pair
 SLICE = 4 << 20  # bytes of text in a row
 
@@ -51,17 +57,10 @@ class Vocabulary:
     def __init__(self, tokens: Sequence[bytes]):
         self.tokens = list(tokens)
         self.lengths = np.array([len(t) for t in tokens], np.int64)
-        self.digits = [str(i) for i in range(len(tokens))]
-
-    def joined(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
     def ends(self, ids: np.ndarray) -> np.ndarray:
         return np.cumsum(self.lengths[ids])
 
-    def names(self, ids: np.ndarray) -> list[str]:
-        return list(map(self.digits.__getitem__, ids.tolist()))
-
 
 class ByteLevel(Vocabulary):
     """A byte-level BPE file of the tokenizers library; strings of special tokens are ordinary text."""
@@ -79,13 +78,23 @@ class ByteLevel(Vocabulary):
         names = [self.library.id_to_token(i) or "" for i in range(self.library.get_vocab_size())]
         special = set(self.library.get_added_tokens_decoder())
         super().__init__([t.encode() if i in special else bytes(letters[c] for c in t) for i, t in enumerate(names)])
-        self.table = ChunkTable(self.segment)
 
-    def segment(self, chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch(chunks, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [ids.astype(np.int64) for ids in self.table([CHUNK.findall(t) for t in texts])]
+    def segment(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks, one after the other, and how many each has.  Chunks from white space to something
+        else are encoded many at a time, since such joints are cut anyway."""
+        proper = [c[0] in SPACES and c[-1] not in SPACES for c in chunks]
+        jobs, at = [], 0
+        while at < len(chunks):
+            to = at + 1
+            while to < len(chunks) and to - at < JOINED and proper[to] and proper[at]:
+                to += 1
+            jobs.append((at, to))
+            at = to
+        found = self.library.encode_batch(["".join(chunks[s:e]) for s, e in jobs], add_special_tokens=False)
+        flat = np.array([i for e in found for i in e.ids], np.uint32)
+        sizes = np.array([len(c.encode()) for c in chunks], np.int64)
+        cuts = np.searchsorted(self.ends(flat), np.cumsum(sizes), side="right")
+        return flat, np.diff(cuts, prepend=0)
 
 
 class Pieces(Vocabulary):
@@ -98,8 +107,57 @@ class Pieces(Vocabulary):
         super().__init__([bytes([int(n[3:5], 16)]) if library.is_byte(i) else n.replace(sentencepiece_codec.MARK, " ").encode()
                           for i, n in enumerate(names)])
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [ids[1:-1].astype(np.int64) for ids in self.codec.encode(texts)]
+    def segment(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.codec.segment(chunks)
+        counts = np.array([len(x) for x in found], np.int64)
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
+
+
+class PairedChunks:
+    """Ids of the chunks seen lately in both vocabularies, and whether their bytes are those of the chunk."""
+
+    def __init__(self, *sides: ByteLevel | Pieces):
+        self.sides = sides
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.ids = [np.empty(0, np.uint32) for _ in self.sides]
+        self.starts = [np.zeros(1, np.int64) for _ in self.sides]
+        self.exact = np.empty(0, bool)
+
+    def learn(self, chunks: list[str]) -> None:
+        first, exact = len(self.index), np.ones(len(chunks), bool)
+        self.index.update(zip(chunks, range(first, first + len(chunks)), strict=True))
+        for k, side in enumerate(self.sides):
+            flat, counts = side.segment(chunks)
+            ends = np.cumsum(counts)
+            tokens = list(map(side.tokens.__getitem__, flat.tolist()))
+            exact &= [b"".join(tokens[e - n : e]) == c.encode()
+                      for c, e, n in zip(chunks, ends.tolist(), counts.tolist(), strict=True)]
+            self.ids[k] = np.concatenate([self.ids[k], flat])
+            self.starts[k] = np.concatenate([self.starts[k], self.starts[k][-1] + ends])
+        self.exact = np.concatenate([self.exact, exact])
+
+    def __call__(self, texts: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of each text, given as its chunks, in both vocabularies; none where a chunk's bytes change."""
+        distinct = set(chain.from_iterable(texts))
+        if len(distinct) + len(self.index) > LIMIT:
+            self.forget()
+        new = sorted(distinct.difference(self.index))
+        if new:
+            self.learn(new)
+        bounds = np.cumsum([0, *map(len, texts)])
+        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(texts)), np.int64, int(bounds[-1]))
+        wrong = np.concatenate([[0], np.cumsum(~self.exact[at])])
+        right = wrong[bounds[1:]] == wrong[bounds[:-1]]
+        both = []
+        for ids, starts in zip(self.ids, self.starts, strict=True):
+            counts = np.where(np.repeat(right, np.diff(bounds)), starts[at + 1] - starts[at], 0)
+            ends = np.concatenate([[0], np.cumsum(counts)])[bounds[1:]]
+            flat = ids[ragged(starts[at], counts)].astype(np.int64)
+            both.append(np.split(flat, ends[:-1]) if len(texts) else [])
+        return list(zip(*both, strict=True))
 
 
 class Alignment(NamedTuple):
@@ -110,60 +168,65 @@ class Alignment(NamedTuple):
     link_b: np.ndarray
 
 
-def equal_run(a: bytes, b: bytes, i: int, j: int, limit: int) -> int:
-    """How many entries from i and j on are equal, ``limit`` at most: blocks that double, then halves."""
-    same, step = 0, 1
-    while same < limit:
-        to = min(same + step, limit)
-        if a[4 * (i + same) : 4 * (i + to)] != b[4 * (j + same) : 4 * (j + to)]:
-            break
-        same, step = to, 2 * step
-    else:
-        return same
-    while to - same > 1:  # the first that differs is in same .. to - 1
-        half = (same + to) // 2
-        if a[4 * (i + same) : 4 * (i + half)] == b[4 * (j + same) : 4 * (j + half)]:
+def ended(ends: np.ndarray, mark: int) -> bytes:
+    """An end array as bytes, with a last entry that no entry of the other array equals."""
+    return np.append(ends, 0xFFFF_FFFF - mark).astype("<u4").tobytes()
+
+
+def equal_run(a: bytes, b: bytes, i: int, j: int) -> int:
+    """How many entries are equal from i in a and j in b on: blocks that double until one differs, then halves."""
+    i, j, size = 4 * i, 4 * j, 32
+    while a[i : i + size] == b[j : j + size]:
+        size += size
+    same = size // 2 if size > 32 else 0
+    while size - same > 4:
+        half = (same + size) // 8 * 4
+        if a[i + same : i + half] == b[j + same : j + half]:
             same = half
         else:
-            to = half
-    return same
+            size = half
+    return same // 4
 
 
 def align(ends_a: np.ndarray, ends_b: np.ndarray) -> Alignment:
     """Groups and links of two token sequences over the same bytes, given where their tokens end."""
-    a, b = ends_a.astype("<u4").tobytes(), ends_b.astype("<u4").tobytes()
+    a, b = ended(ends_a, 0), ended(ends_b, 1)
     list_a, list_b = ends_a.tolist(), ends_b.tolist()
-    n, m, i, j = len(list_a), len(list_b), 0, 0
-    runs: list[tuple[int, int, int]] = []  # one-to-one stretches
-    odd: list[tuple[int, int]] = []  # ends of irregular groups
-    odd_a: list[int] = []
-    odd_b: list[int] = []
+    n, i, j = len(list_a), 0, 0
+    run_a, run_b, counts = [], [], []  # one-to-one stretches
+    odd_a, odd_b, last_odd = [], [], []  # links of irregular groups; which of them end their group
     while i < n:
         end_a, end_b = list_a[i], list_b[j]
         if end_a == end_b:
-            same = equal_run(a, b, i, j, min(n - i, m - j))
-            runs.append((i, j, same))
+            same = equal_run(a, b, i, j)
+            run_a.append(i)
+            run_b.append(j)
+            counts.append(same)
             i, j = i + same, j + same
             continue
-        while True:
+        while end_a != end_b:
             odd_a.append(i)
             odd_b.append(j)
-            if end_a == end_b:
-                break
             if end_a < end_b:
                 i += 1
                 end_a = list_a[i]
             else:
                 j += 1
                 end_b = list_b[j]
+        last_odd.append(len(odd_a))
+        odd_a.append(i)
+        odd_b.append(j)
         i, j = i + 1, j + 1
-        odd.append((i, j))
-    starts_a, starts_b, counts = np.array(runs, np.int64).reshape(-1, 3).T
-    straight_a, straight_b = ragged(starts_a, counts), ragged(starts_b, counts)
-    odd_ends = np.array(odd, np.int64).reshape(-1, 2)
-    return Alignment(
-        np.sort(np.concatenate([straight_a + 1, odd_ends[:, 0]])), np.sort(np.concatenate([straight_b + 1, odd_ends[:, 1]])),
-        np.concatenate([straight_a, np.array(odd_a, np.int64)]), np.concatenate([straight_b, np.array(odd_b, np.int64)]))
+    sizes, last = np.array(counts, np.int64), np.array(last_odd, np.int64)
+    straight_a, straight_b = ragged(np.array(run_a, np.int64), sizes), ragged(np.array(run_b, np.int64), sizes)
+    link_a, link_b = (np.concatenate([x, np.array(y, np.int64)]) for x, y in ((straight_a, odd_a), (straight_b, odd_b)))
+    closing = np.concatenate([np.arange(len(straight_a)), last + len(straight_a)])
+    groups = []
+    for links, ends in ((link_a, ends_a), (link_b, ends_b)):
+        closes = np.zeros(len(ends), bool)
+        closes[links[closing]] = True
+        groups.append(np.flatnonzero(closes) + 1)
+    return Alignment(*groups, link_a, link_b)
 
 
 class Aligned(NamedTuple):
@@ -177,30 +240,31 @@ class Aligner:
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
         if len(self.b.tokens) > 1 << SHIFT or len(self.a.tokens) > 1 << (32 - SHIFT):
             raise ValueError("ids do not fit a pair of 32 bits")
+        self.chunks = PairedChunks(self.a, self.b)
+        # Ids with what follows them in a listing, in fields of one width.
+        self.named = np.concatenate([np.array([f"{i}{mark}" for i in range(len(side.tokens))], "S7")
+                                     for side, marks in ((self.a, ",|"), (self.b, ",;")) for mark in marks])
 
     def __call__(self, texts: list[str | None]) -> list[Aligned]:
         """Ids and alignment of each text; a text whose bytes either tokenizer changes has no tokens."""
-        spaced = [" " + t if t else "" for t in texts]
-        found = []
-        none = np.empty(0, np.int64)
-        for text, own_a, own_b in zip(spaced, self.a.encode(spaced), self.b.encode([t or "" for t in texts]), strict=True):
-            raw = text.encode()
-            if not text or self.a.joined(own_a) != raw or self.b.joined(own_b) != raw:
-                own_a = own_b = none
-            found.append(Aligned(own_a, own_b, align(self.a.ends(own_a), self.b.ends(own_b))))
-        return found
-
-    def listed(self, one: Aligned) -> str:
+        chunks = [CHUNK.findall(" " + t) if t else [] for t in texts]
+        return [Aligned(a, b, align(self.a.ends(a), self.b.ends(b))) for a, b in self.chunks(chunks)]
+
+    def listed(self, one: Aligned) -> bytes:
         """Groups as text: ``a1,a2|b1;a3|b2,b3``."""
-        a, b = self.a.names(one.ids_a), self.b.names(one.ids_b)
-        out, i, j = [], 0, 0
-        for to_a, to_b in zip(one.found.group_a.tolist(), one.found.group_b.tolist(), strict=True):
-            if to_a - i == 1 and to_b - j == 1:
-                out.append(f"{a[i]}|{b[j]}")
-            else:
-                out.append(f"{','.join(a[i:to_a])}|{','.join(b[j:to_b])}")
-            i, j = to_a, to_b
-        return ";".join(out)
+        n, m, (group_a, group_b, _, _) = len(one.ids_a), len(one.ids_b), one.found
+        if not n:
+            return b""
+        out = np.empty(n + m, np.int64)
+        # A token stands behind the tokens of its own side and those of the groups before, or up to its own.
+        place_a = np.arange(n) + np.repeat(np.concatenate([[0], group_b[:-1]]), np.diff(group_a, prepend=0))
+        place_b = np.arange(m) + np.repeat(group_a, np.diff(group_b, prepend=0))
+        sizes = len(self.a.tokens), len(self.b.tokens)
+        name_a, name_b = one.ids_a.copy(), one.ids_b + 2 * sizes[0]
+        name_a[group_a - 1] += sizes[0]
+        name_b[group_b - 1] += sizes[1]
+        out[place_a], out[place_b] = name_a, name_b
+        return self.named[out].tobytes().replace(b"\0", b"")[:-1]
 
     def pairs(self, one: Aligned) -> np.ndarray:
         """Id pairs of all links as numbers."""
@@ -266,7 +330,7 @@ def packed_links(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 pairs.append(distinct)
                 times.append(often)
                 numbers += [len(one.ids_a), len(one.ids_b), len(one.found.group_a), len(one.found.link_a)]
-                digests.append(hashlib.sha256(own.listed(one).encode()).hexdigest() if len(one.ids_a) else "")
+                digests.append(hashlib.sha256(own.listed(one)).hexdigest() if len(one.ids_a) else "")
             asked, places, held = np.unique(np.concatenate(pairs), return_inverse=True, return_counts=True)
             raw = np.concatenate([places.astype("<u4"), np.concatenate(times).astype("<u4")])
             blob = squeeze.compress(raw.view(np.uint8).reshape(-1, 4).T.tobytes())  # bytes by significance

@@ -11,7 +11,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_points
-from lyceum.llm.cross_alignment import align, alignments, equal_run, link_digests
+from lyceum.llm.cross_alignment import align, alignments, ended, equal_run, link_digests
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
@@ -120,11 +120,13 @@ def test_run_skipping():
                     if start_a[i] < ends_b[j] and start_b[j] < ends_a[i]}
         assert len(found.link_a) == len(expected) and set(zip(found.link_a.tolist(), found.link_b.tolist())) == expected
     for first in range(70):  # wherever the first difference lies
-        a = np.arange(70, dtype="<u4")
+        a = np.arange(70)
         b = a.copy()
         b[first:] += 1
-        assert equal_run(a.tobytes(), b.tobytes(), 0, 0, 70) == first
-    assert equal_run(a.tobytes(), a.tobytes(), 0, 0, 70) == 70
+        assert equal_run(ended(a, 0), ended(b, 1), 0, 0) == first
+    assert equal_run(ended(a, 0), ended(a, 1), 0, 0) == 70
+    assert equal_run(ended(a, 0), ended(a[3:], 1), 3, 0) == 67
+    assert equal_run(ended(a, 0), ended(a[:9], 1), 0, 0) == 9
 
 
 def test_long_text_and_empty_tables(spark, table, by_hand):
