@@ -17,6 +17,7 @@ from collections.abc import Generator, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -45,6 +46,7 @@ def spread(entries: np.ndarray, keys: np.ndarray, buckets: int) -> Iterator[tupl
 
 ANCHOR = np.dtype([("hash", "<u8"), ("doc", "<i4"), ("at", "<i4")])
 WINDOW = np.dtype([("hash", "<u8"), ("more", "<u4"), ("doc", "<i4"), ("at", "<i4")])  # 96 bits of hash
+PLACE = np.dtype([("doc", "<i4"), ("at", "<i4")])
 SENT = "bucket int, docs array<struct<id:{id},tie:bigint>>, entries binary"
 HITS = "doc_id {id}, tie bigint, places binary"
 
@@ -89,6 +91,32 @@ def by_document(doc: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, bytes]]:
             yield int(doc[first]), places.tobytes()
 
 
+def by_bucket_of_document(doc: np.ndarray, at: np.ndarray, docs: list[tuple], buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places by the bucket of their document."""
+    places = np.empty(len(doc), PLACE)
+    places["doc"], places["at"] = doc, at
+    own = np.array([xxhash.xxh3_64_intdigest(repr(d).encode()) for d in docs], np.uint64)
+    return spread(places, own[places["doc"]], buckets)
+
+
+def sealed(rows: Iterable[tuple[int, np.ndarray]], docs: list[tuple], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Rows to send: bucket, the documents that its entries mention, and the entries, packed."""
+    rows = list(rows)
+    for first in range(0, len(rows), 64):
+        buckets, mentioned, blobs = [], [], []
+        for bucket, part in rows[first:first + 64]:
+            used, local = np.unique(part["doc"], return_inverse=True)
+            part = part.copy()
+            part["doc"] = local
+            buckets.append(bucket)
+            mentioned.append([{"id": docs[d][0], "tie": docs[d][1]} for d in used])
+            blobs.append(packed(part))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(buckets, pa.int32()),
+             pa.array(mentioned, pa.list_(pa.struct([("id", kind), ("tie", pa.int64())]))),
+             pa.array(blobs, pa.binary())], names=["bucket", "docs", "entries"])
+
+
 class Sender:
     """Collects entries of a task and the documents they are from; sends them on by bucket.
 
@@ -111,22 +139,9 @@ class Sender:
     def rows(self) -> Iterator[pa.RecordBatch]:
         entries = np.concatenate(self.parts) if self.parts else np.empty(0, self.dtype)
         out, known = self.settle(entries)
-        own = np.array([xxhash.xxh3_64_intdigest(repr(d).encode()) for d in self.docs], np.uint64)
-        rows = [(bucket, part) for bucket, part in spread(out, out["hash"], self.buckets)]
-        rows += [(-1 - bucket, part) for bucket, part in spread(known, own[known["doc"]], self.buckets)]
-        for at in range(0, len(rows), 64):
-            buckets, docs, blobs = [], [], []
-            for bucket, part in rows[at:at + 64]:
-                used, local = np.unique(part["doc"], return_inverse=True)
-                part = part.copy()
-                part["doc"] = local
-                buckets.append(bucket)
-                docs.append([{"id": self.docs[d][0], "tie": self.docs[d][1]} for d in used])
-                blobs.append(packed(part))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(buckets, pa.int32()),
-                 pa.array(docs, pa.list_(pa.struct([("id", self.kind), ("tie", pa.int64())]))),
-                 pa.array(blobs, pa.binary())], names=["bucket", "docs", "entries"])
+        yield from sealed(spread(out, out["hash"], self.buckets), self.docs, self.kind)
+        dealt = by_bucket_of_document(known["doc"], known["at"], self.docs, self.buckets)
+        yield from sealed(((-1 - bucket, part) for bucket, part in dealt), self.docs, self.kind)
         self.docs, self.parts, self.size = [], [], 0
 
     def settle(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,42 +183,61 @@ def first_of_each(entries: np.ndarray, docs: list[tuple]) -> tuple[np.ndarray, n
     return order, first, (rank == rank[lead]) & (e["at"] == e["at"][lead]) & ~first
 
 
-def received(batches: Iterable[pa.RecordBatch], dtype: np.dtype,
-             kind: pa.DataType) -> Generator[pa.RecordBatch, None, tuple[np.ndarray, list[tuple]]]:
-    """Passes settled places on as they come; gives back all other entries of a task and their documents."""
+def received(batches: Iterable[pa.RecordBatch], dtype: np.dtype) -> Generator[pa.RecordBatch, None, tuple[np.ndarray, list[tuple]]]:
+    """Passes settled places on as they come, still packed; gives back all other entries of a task and
+    their documents."""
     parts, docs = [], []
     for batch in batches:
-        for bucket, some, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "docs", "entries")), strict=True):
-            part, own = unpacked(blob, dtype), [(d["id"], d["tie"]) for d in some]
-            if bucket < 0:
-                yield from hits(part["doc"], part["at"], own, kind)
-                continue
+        buckets = batch.column("bucket").to_numpy()
+        settled = pa.array(buckets < 0)
+        passed = batch.filter(settled)
+        if passed.num_rows:
+            own = pa.array(-1 - buckets[buckets < 0], pa.int32())
+            yield pa.RecordBatch.from_arrays([own, passed.column("docs"), passed.column("entries")], names=batch.schema.names)
+        for some, blob in opened(batch.filter(pc.invert(settled))):
+            part = unpacked(blob, dtype)
             part["doc"] += len(docs)
-            docs += own
+            docs += some
             parts.append(part)
     return np.concatenate(parts) if parts else np.empty(0, dtype), docs
 
 
-def hits(doc: np.ndarray, at: np.ndarray, docs: list[tuple], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-    rows = list(by_document(doc, at))
-    for k in range(0, len(rows), 10_000):
-        some = rows[k:k + 10_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([docs[d][0] for d, _ in some], kind), pa.array([docs[d][1] for d, _ in some], pa.int64()),
-             pa.array([p for _, p in some], pa.binary())], names=["doc_id", "tie", "places"])
+def opened(batch: pa.RecordBatch) -> Iterator[tuple[list[tuple], bytes]]:
+    for some, blob in zip(batch.column("docs").to_pylist(), batch.column("entries").to_pylist(), strict=True):
+        yield [(d["id"], d["tie"]) for d in some], blob
 
 
 def exchanged(sent: DataFrame, buckets: int) -> DataFrame:
     return sent.repartition(buckets, F.when(F.col("bucket") < 0, -1 - F.col("bucket")).otherwise(F.col("bucket")))
 
 
-def gathered(found: DataFrame) -> DataFrame:
-    """All places of a document in one value; no more than it has words."""
-    return found.groupBy("doc_id", "tie").agg(F.collect_list("places").alias("places"))
+def gathered(answers: DataFrame, buckets: int, kind: str) -> DataFrame:
+    """All places of a document in one row: doc_id, tie, places.  Answers come packed, a row from each task
+    to each bucket of documents, so that no row is made for each document and task."""
+    id_type = arrow_type(kind)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[tuple, int] = {}
+        doc, at = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+        for batch in batches:
+            for some, blob in opened(batch):
+                part = unpacked(blob, PLACE)
+                own = np.array([known.setdefault(d, len(known)) for d in some], np.int64)
+                doc.append(own[part["doc"]])
+                at.append(part["at"])
+        docs = list(known)
+        rows = list(by_document(np.concatenate(doc), np.concatenate(at)))
+        for k in range(0, len(rows), 10_000):
+            some = rows[k:k + 10_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([docs[d][0] for d, _ in some], id_type), pa.array([docs[d][1] for d, _ in some], pa.int64()),
+                 pa.array([p for _, p in some], pa.binary())], names=["doc_id", "tie", "places"])
+
+    return answers.repartition(buckets, "bucket").mapInArrow(merge, HITS.format(id=kind))
 
 
 def with_places(docs: DataFrame, found: DataFrame) -> DataFrame:
-    own = gathered(found).select(F.col("doc_id").alias("own_id"), F.col("tie").alias("own_tie"), "places")
+    own = found.select(F.col("doc_id").alias("own_id"), F.col("tie").alias("own_tie"), "places")
     return docs.join(own, docs["doc_id"].eqNullSafe(own["own_id"]) & (docs["tie"] == own["own_tie"]), "left").select(
         "doc_id", "tie", "text", "places")
 
@@ -212,13 +246,13 @@ def arrow_type(ddl: str) -> pa.DataType:
     return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[ddl]
 
 
-def places_of(values: list[bytes]) -> np.ndarray:
-    return np.unique(np.frombuffer(b"".join(values), "<i4"))
+def places_of(value: bytes) -> np.ndarray:
+    return np.unique(np.frombuffer(value, "<i4"))
 
 
 def repeated_windows(docs: DataFrame, width: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents with the starts of their windows that also start earlier: (doc_id, tie, text, places)
-    with ``text`` in UTF-8 and ``places`` a list of binary arrays (little-endian 32-bit word positions), null if there are none.
+    with ``text`` in UTF-8 and ``places`` a binary array (little-endian 32-bit word positions), null if there are none.
 
     Earlier is a smaller id (null ids come first), or the same document and an earlier word.  Rows with
     one id and different texts count as different documents, in an order fixed by a hash of the text
@@ -248,10 +282,10 @@ def repeated_windows(docs: DataFrame, width: int = 20, id_col: str = "doc_id", t
         yield from sender.rows()
 
     def repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries, documents = yield from received(batches, ANCHOR, id_type)
+        entries, documents = yield from received(batches, ANCHOR)
         _, inverse, counts = np.unique(entries["hash"], return_inverse=True, return_counts=True)
         found = entries[counts[inverse] > 1]
-        yield from hits(found["doc"], found["at"], documents, id_type)
+        yield from sealed(by_bucket_of_document(found["doc"], found["at"], documents, buckets), documents, id_type)
 
     def find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, sender = Hashes(), Windows(id_type, WINDOW, buckets)
@@ -276,16 +310,16 @@ def repeated_windows(docs: DataFrame, width: int = 20, id_col: str = "doc_id", t
         yield from sender.rows()
 
     def later_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries, documents = yield from received(batches, WINDOW, id_type)
+        entries, documents = yield from received(batches, WINDOW)
         order, first, same = first_of_each(entries, documents)
         later = entries[order][~first & ~same]
-        yield from hits(later["doc"], later["at"], documents, id_type)
+        yield from sealed(by_bucket_of_document(later["doc"], later["at"], documents, buckets), documents, id_type)
 
-    sent, back = SENT.format(id=kind), HITS.format(id=kind)
-    anchors = exchanged(texts.mapInArrow(find_anchors, sent), buckets).mapInArrow(repeated_anchors, back)
-    suspects = with_places(texts, anchors).filter(F.col("places").isNotNull())
-    windows = exchanged(suspects.mapInArrow(find_windows, sent), buckets).mapInArrow(later_windows, back)
-    return with_places(texts, windows)
+    sent = SENT.format(id=kind)
+    anchors = exchanged(texts.mapInArrow(find_anchors, sent), buckets).mapInArrow(repeated_anchors, sent)
+    suspects = with_places(texts, gathered(anchors, buckets, kind)).filter(F.col("places").isNotNull())
+    windows = exchanged(suspects.mapInArrow(find_windows, sent), buckets).mapInArrow(later_windows, sent)
+    return with_places(texts, gathered(windows, buckets, kind))
 
 
 def removed_mask(n: int, starts: np.ndarray, width: int) -> np.ndarray:

@@ -1,4 +1,4 @@
-"""A passage of very many documents is dealt over all buckets."""
+"""A passage of very many documents is dealt over all buckets, and answers are bounded by documents."""
 
 import collections
 
@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lyceum.llm.substring_dedup import ANCHOR, WINDOW, Anchors, Windows, received
+from lyceum.llm.substring_dedup import ANCHOR, WINDOW, PLACE, Anchors, Windows, opened, received, repeated_windows, unpacked
 
 
 @pytest.mark.parametrize("sender,dtype", [(Anchors, ANCHOR), (Windows, WINDOW)])
@@ -24,14 +24,38 @@ def test_settled_places_are_spread(sender, dtype, kind):
             load[-1 - bucket if bucket < 0 else bucket] += len(own)
     assert max(load.values()) < 1.3 * n / buckets
 
-    passed = received(batches, dtype, kind)
+    passed = received(batches, dtype)
     while True:
         try:
             batch = next(passed)
         except StopIteration as end:
             left, _ = end.value
             break
-        places += zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tie", "places")), strict=True)
+        for some, blob in opened(batch):
+            part = unpacked(blob, PLACE)
+            places += [(*some[d], at) for d, at in zip(part["doc"], part["at"], strict=True)]
     assert len(left) == 1  # one goes out, to meet those of other tasks
     settled = docs if sender is Anchors else docs[1:]
-    assert sorted(places) == sorted((*d, np.int32(3).tobytes()) for d in settled)
+    assert sorted(places) == sorted((*d, 3) for d in settled)
+
+
+@pytest.mark.parametrize("parts", [2, 12])
+def test_answers_do_not_grow_with_the_partitions(spark, parts):
+    """One row of places for each document, wherever its windows and the answers to them were."""
+    draw = np.random.default_rng(4)
+    passages = [" ".join(f"w{k}" for k in draw.integers(0, 5000, 25)) for _ in range(8)]
+    rows = [(i, " ".join([f"own{i}", *draw.permutation(passages)[:4], f"end{i}"])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        found = repeated_windows(docs).where("places is not null").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(found) == len({r.doc_id for r in found}) <= 300
+    first_of = {}
+    for i, text in rows:
+        for passage in passages:
+            if passage in text:
+                first_of.setdefault(passage, i)
+    assert {r.doc_id for r in found} >= {i for i, t in rows if any(p in t and first_of[p] != i for p in passages)}
