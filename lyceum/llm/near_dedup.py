@@ -5,10 +5,14 @@ first with key j of the second.  So t x t tables take the minhashes of 2 t keys.
 minhashes in each collection, two documents at the threshold of 0.8 share none of the 100 tables with a
 probability below 1e-4, and the more alike the less.
 
-Documents with equal sets are one class and compared once.  In every bucket of a table the members are
-compared with its smallest one first; links found so far make components, and then only pairs from
-different components that share a bucket are compared, each in the first bucket that it shares.  All links
-are confirmed on whole sets.
+Documents with equal sets are one class and compared once.  A key that one document has leads nowhere, so
+tables are made of keys that two have.  Pairs are compared in rounds, and what links is merged before the
+next one.  A member of a bucket is the more central, the more other members it meets in all its buckets:
+the text that others were copied from more so than its copies.  Each bucket names its most central members,
+and each member is compared with those that most of its buckets name, in two rounds; then, of two components
+that share a bucket, the most central members there; at last all pairs of different components, each in the
+first bucket that it shares.  Pairs inside a component are not compared any more, so a group of copies
+costs about as many comparisons as it has members.  All links are confirmed on whole sets.
 """
 
 from __future__ import annotations
@@ -26,14 +30,15 @@ from lyceum.llm.words import Hashes, mixed, slices
 from lyceum.session import scratch_path
 
 KEYS = 10      # keys in each collection
+HUBS = 3       # central members that a bucket names in a round, and that a member is compared with
 SKETCH = 256   # smallest members of a set, by which hopeless pairs are told; smaller sets are compared whole
 
 
 def table_keys(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """2 x KEYS keys per set, each of two minhashes."""
+    """2 x KEYS keys per set, each of two minhashes and its place."""
     found = minhashes(values, bounds, 4 * KEYS)
     with np.errstate(over="ignore"):
-        return mixed(found[:, 0::2] * np.uint64(0x9E3779B97F4A7C15) + found[:, 1::2], 5).astype(np.uint32).view(np.int32)
+        return mixed(found[:, 0::2] * np.uint64(0x9E3779B97F4A7C15) + found[:, 1::2] + np.arange(2 * KEYS, dtype=np.uint64), 5).view(np.int64)
 
 
 def features(docs: DataFrame, width: int) -> DataFrame:
@@ -54,11 +59,11 @@ def features(docs: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("tie"), pa.array(sizes, pa.int64()),
                  pa.array(a.view(np.int64)).take(at), pa.array(b.view(np.int64)).take(at),
-                 pa.array([None if p < 0 else keys[p] for p in place], pa.list_(pa.int32()))],
+                 pa.array([None if p < 0 else keys[p] for p in place], pa.list_(pa.int64()))],
                 names=["doc_id", "tie", "n_shingles", "set_a", "set_b", "keys"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(run, f"doc_id {kind}, tie long, n_shingles long, set_a long, set_b long, keys array<int>")
+    return docs.mapInArrow(run, f"doc_id {kind}, tie long, n_shingles long, set_a long, set_b long, keys array<long>")
 
 
 def whole_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -116,6 +121,54 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def shared_buckets(reps: DataFrame) -> DataFrame:
+    """(rep, i, j, bucket, n): the buckets of table (i, j) with n members, two at least."""
+    keys = reps.select("rep", F.posexplode("keys").alias("k", "x"))
+    common = keys.groupBy("x").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high").select("x")
+    kept = keys.join(common, "x", "left_semi").groupBy("rep").agg(F.collect_list(F.struct("k", "x")).alias("kept"))  # 2 x KEYS at most
+    one, two = F.filter("kept", lambda e: e.k < KEYS), F.filter("kept", lambda e: e.k >= KEYS)
+    tables = (kept.select("rep", F.explode(one).alias("p"), two.alias("qs")).select("rep", "p", F.explode("qs").alias("q"))
+              .select("rep", F.col("p.k").cast("byte").alias("i"), (F.col("q.k") - KEYS).cast("byte").alias("j"),
+                      F.xxhash64("p.x", "q.x").alias("bucket")))
+    shared = tables.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    return tables.join(shared, "bucket")
+
+
+def hubs_of(live: DataFrame, central: DataFrame, turn: int) -> DataFrame:
+    """(bucket, hubs): a bucket's most central member, and the most central after draws that lower each
+    member's value by up to a third, as signatures do not tell the very middle of a group."""
+    def drawn(k: int) -> Column:
+        part = F.pmod(F.xxhash64("rep", F.lit(turn), F.lit(k)), F.lit(1000)) / 3000
+        return F.max(F.struct((F.col("met") * (1 - part if turn + k else F.lit(1.0))).alias("m"), "rep"))["rep"]
+
+    named = live.join(central.hint("merge"), "rep").groupBy("bucket").agg(*[drawn(k).alias(f"h{k}") for k in range(HUBS)])
+    return named.select("bucket", F.array_distinct(F.array(*[f"h{k}" for k in range(HUBS)])).alias("hubs"))
+
+
+def best_hubs(stars: DataFrame) -> DataFrame:
+    """(a, b): each member with the ones that most of its buckets name."""
+    counted = stars.select("rep", "hub").repartition("rep").groupBy("rep", "hub").agg(F.count("*").alias("times"))
+    best = counted.groupBy("rep").agg(F.collect_list(F.struct("times", "hub")).alias("named"))  # at most HUBS a bucket
+    best = best.select(F.col("rep").alias("a"), F.explode(F.slice(F.sort_array("named", asc=False), 1, HUBS)).alias("b"))
+    return best.select("a", F.col("b.hub").alias("b"))
+
+
+def mixed_buckets(marked: DataFrame) -> DataFrame:
+    """The rows of buckets that hold members of two components."""
+    mixed = marked.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    return marked.join(mixed.select("bucket"), "bucket", "left_semi")
+
+
+def hopeful(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches do not rule out."""
+    one = sketches.select(F.col("rep").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("s"))
+    two = sketches.select(F.col("rep").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("t"))
+    # Tables that grow with the documents are joined by sorting, at every size.
+    return (pairs.join(one.hint("merge"), "a").join(two.hint("merge"), "b")
+            .filter(like_sizes(F.col("n"), F.col("m"), percent) & may_link(F.col("n"), F.col("m"), F.col("s"), F.col("t"), percent))
+            .select("a", "b"))
+
+
 def saved(df: DataFrame, folder: str, name: str) -> DataFrame:
     df.write.parquet(f"{folder}/{name}")
     return df.sparkSession.read.parquet(f"{folder}/{name}")
@@ -142,35 +195,45 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     own = F.col("doc_id") == F.col("rep")
     reps = found.join(classes, sets_of).filter(own).select("rep", "keys")
 
-    tables = (reps.select("rep", F.posexplode(F.slice("keys", 1, KEYS)).alias("i", "x"), F.slice("keys", KEYS + 1, KEYS).alias("ys"))
-              .select("rep", "i", "x", F.posexplode("ys").alias("j", "y"))
-              .select("rep", F.col("i").cast("byte").alias("i"), F.col("j").cast("byte").alias("j"),
-                      F.xxhash64("i", "j", "x", "y").alias("bucket")))
-    shared = tables.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
-    live = saved(tables.join(shared.select("bucket", "low"), "bucket"), folder, "live")
+    live = saved(shared_buckets(reps), folder, "live")
     members = saved(live.select("rep").distinct(), folder, "members")
-    keys = saved(reps.join(members, "rep", "left_semi"), folder, "keys")
     sets = saved(whole_sets(texts.drop("tie").join(members, F.col("doc_id") == F.col("rep"), "left_semi"), width), folder, "sets")
-
-    # Each member with the smallest of its bucket.
     sketches = sets.select(F.col("doc_id").alias("rep"), "n_shingles", "sketch")
-    one = sketches.select(F.col("rep").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("s"))
-    two = sketches.select(F.col("rep").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("t"))
-    stars = live.filter("rep > low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct()
-    # Tables that grow with the documents are joined by sorting, at every size.
-    hopeful = (stars.join(one.hint("merge"), "a").join(two.hint("merge"), "b")
-               .filter(like_sizes(F.col("n"), F.col("m"), percent) & may_link(F.col("n"), F.col("m"), F.col("s"), F.col("t"), percent))
-               .select("a", "b"))
-    links = saved(confirmed(hopeful, sets, percent), folder, "star_links")
-    groups = saved(components(spark, links), folder, "star_groups")
-
-    # Pairs of different groups in one bucket, each in the first bucket that it shares.
-    labelled = (live.drop("low").join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
-                .withColumn("component", F.coalesce("component", "rep")))
-    mixed_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-    rows = (labelled.join(mixed_buckets.select("bucket"), "bucket", "left_semi")
-            .join(keys.hint("merge"), "rep").join(sketches.hint("merge"), "rep").select("bucket", "i", "j", "rep", "component", "n_shingles", "sketch",
-                                          *[F.get("keys", F.lit(k)).alias(f"k{k}") for k in range(2 * KEYS)]))
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        return saved(confirmed(hopeful(pairs, sketches, percent), sets, percent), folder, name)
+
+    def merged(links: DataFrame, name: str) -> DataFrame:
+        """``live`` with the component of each member."""
+        groups = saved(components(spark, links), folder, name).select(F.col("node").alias("rep"), "component")
+        return live.join(groups, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+    # Each member with the most central ones of its buckets, then with those of other components.
+    central = saved(live.groupBy("rep").agg(F.sum("n").alias("met")), folder, "central")
+    stars = live.join(hubs_of(live, central, 0).hint("merge"), "bucket").select("rep", F.explode("hubs").alias("hub")).filter("rep != hub")
+    links = linked(best_hubs(stars), "first_links")
+    marked = mixed_buckets(merged(links, "first_groups"))
+    known = marked.groupBy("rep").agg(F.first("component").alias("other")).withColumnRenamed("rep", "hub")
+    named = hubs_of(marked, central, 1).select("bucket", F.explode("hubs").alias("hub")).join(known.hint("merge"), "hub")
+    stars = marked.join(named.hint("merge"), "bucket").filter("component != other")
+    links = links.union(linked(best_hubs(stars), "second_links"))
+
+    # The most central members of each two components that share a bucket.
+    marked = mixed_buckets(merged(links, "second_groups"))
+    one = (marked.join(central.hint("merge"), "rep").groupBy("bucket", "component").agg(F.max(F.struct("met", "rep"))["rep"].alias("rep"))
+           .join(sketches.hint("merge"), "rep"))
+    left, right = (one.select(*[F.col(c).alias(f"{c}_{x}") for c in one.columns]) for x in "ab")
+    alike = like_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"), percent) & may_link(
+        F.col("n_shingles_a"), F.col("n_shingles_b"), F.col("sketch_a"), F.col("sketch_b"), percent)
+    pairs = left.join(right, (F.col("bucket_a") == F.col("bucket_b")) & (F.col("component_a") > F.col("component_b")) & alike)
+    pairs = pairs.groupBy("component_a", "component_b").agg(F.min(F.struct(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))).alias("p"))
+    links = links.union(saved(confirmed(pairs.select("p.*"), sets, percent), folder, "component_links"))
+
+    # All pairs of different components in a bucket, each in the first bucket that it shares.
+    marked = merged(links, "component_groups")
+    keys = reps.join(members, "rep", "left_semi")
+    rows = mixed_buckets(marked).join(keys.hint("merge"), "rep").join(sketches.hint("merge"), "rep").select(
+        "bucket", "i", "j", "rep", "component", "n_shingles", "sketch", *[F.get("keys", F.lit(k)).alias(f"k{k}") for k in range(2 * KEYS)])
     left = rows.select(*[F.col(c).alias(f"{c}_a") for c in rows.columns])
     right = rows.select(*[F.col(c).alias(f"{c}_b") for c in rows.columns])
     first = (F.col("bucket_a") == F.col("bucket_b")) & (F.col("rep_a") > F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
