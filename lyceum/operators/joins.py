@@ -40,6 +40,28 @@ def join_feeds(
     return joined if left_key == right_key else joined.drop(right_key)
 
 
+# When the partner of a row was seen; null in the row that came first, without one.
+MATCHED = "matched_at"
+
+
+def left_with_updates(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_ts: str, right_ts: str, within: str
+) -> DataFrame:
+    """Changelog of a left join of two streams.
+
+    Each left row comes at once without partner, and again, as a later version, for each partner found at
+    most ``within`` away in time, whichever of the two arrives first.  ``matched_at`` is the partner's time.
+    A keyed sink that takes the newest version, then the newest ``matched_at`` (nulls last), holds what a
+    left join with the newest partner gives, at any moment and in any order of arrival; nothing is held
+    back until a watermark rules a partner out.  Each side's state ends when the watermark passes the limit."""
+    found = [f for f in right.schema if f.name != right_key]
+    alone = left.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in found])
+    matched = join_feeds(left, right, left_key, right_key, "inner", left_ts, right_ts, within)
+    stamped = [alone.withColumn(MATCHED, F.lit(None).cast("timestamp")),
+               matched.withColumn(MATCHED, F.timestamp_micros(F.unix_micros(right_ts)))]
+    return stamped[0].unionByName(stamped[1]).drop(right_ts)
+
+
 def latest_within(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_ts: str, right_ts: str, within: str
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lyceum import schemas
 from lyceum.functions.times import date_id, from_epoch_millis, from_epoch_seconds
-from lyceum.operators.joins import join_feeds, latest_within, near
+from lyceum.operators.joins import MATCHED, join_feeds, latest_within, left_with_updates, near
 from lyceum.operators.latest import latest_per_key
 from lyceum.operators.windows import watermark
 
@@ -53,12 +53,14 @@ def order_pages(pages: DataFrame) -> DataFrame:
 
 def dwd_trade_order_detail(
     changes: DataFrame, pages: DataFrame, within: str | None = None, row_op_ts: Column | None = None,
-    with_source: bool = True,
+    with_source: bool = True, changelog: bool = False, page_within: str | None = None,
 ) -> DataFrame:
     """Order lines with their order's attributes and the traffic source of the order page.
 
     ``row_op_ts``, the version of a line, is the time of its change unless given.  Without
-    ``with_source`` the page log is not read and the source is null."""
+    ``with_source`` the page log is not read and the source is null.  A stream with ``changelog`` gives each
+    line at once and again for each page of its order (``left_with_updates``), with ``matched_at``; the page
+    may be ``page_within`` away."""
     details = rows_of(changes, "order_detail").select(
         *[field(c) for c in ("id", "order_id", "user_id", "course_id")],
         date_id(F.col("data")["create_time"]).alias("date_id"),
@@ -78,9 +80,12 @@ def dwd_trade_order_detail(
         details, orders, sources = (
             watermark(details, "detail_time"), watermark(orders, "order_time"), watermark(sources, "log_time")
         )
+        if changelog:
+            orders = left_with_updates(orders, sources, "session_id", "log_session_id", "order_time", "log_time",
+                                       page_within or within or ORDER_WITHIN)
         joined = join_feeds(details, orders, "order_id", "info_id", "inner",
                             "detail_time", "order_time", within or ORDER_WITHIN)
-        if with_source:
+        if with_source and not changelog:
             joined = join_feeds(joined, sources, "session_id", "log_session_id", "left",
                                 "order_time", "log_time", within or ORDER_WITHIN)
     else:
@@ -101,7 +106,8 @@ def dwd_trade_order_detail(
             joined = joined.where(near("detail_time", "order_time", within))
     if not with_source:
         joined = joined.withColumn("source_id", F.lit(None).cast("string"))
-    return joined.withColumn("row_op_ts", version(row_op_ts)).select(*schemas.ORDER_DETAIL.names)
+    extra = [MATCHED] if MATCHED in joined.columns else []
+    return joined.withColumn("row_op_ts", version(row_op_ts)).select(*schemas.ORDER_DETAIL.names, *extra)
 
 
 def dwd_trade_pay_suc_detail(
@@ -134,9 +140,11 @@ def dwd_trade_pay_suc_detail(
 
 
 def dwd_user_user_register(
-    changes: DataFrame, pages: DataFrame, within: str | None = None, row_op_ts: Column | None = None
+    changes: DataFrame, pages: DataFrame, within: str | None = None, row_op_ts: Column | None = None,
+    changelog: bool = False,
 ) -> DataFrame:
-    """Registrations with the device attributes seen in the user's page log."""
+    """Registrations with the device attributes seen in the user's page log.  A stream with ``changelog``
+    gives each at once and again for each page (``left_with_updates``), with ``matched_at``."""
     users = rows_of(changes, "user_info").select(
         F.col("data")["id"].alias("user_id"),
         F.col("data")["create_time"].alias("register_time"),
@@ -154,8 +162,9 @@ def dwd_user_user_register(
     )
     if changes.isStreaming:
         users, devices = watermark(users, "user_time"), watermark(devices, "log_time")
-        joined = join_feeds(users, devices, "user_id", "log_user_id", "left", "user_time", "log_time",
-                            within or ORDER_WITHIN)
+        join = left_with_updates if changelog else join_feeds
+        joined = join(users, devices, "user_id", "log_user_id", *([] if changelog else ["left"]), "user_time", "log_time",
+                      within or ORDER_WITHIN)
     else:
         # The sink keeps one row per user: reduce to that before joining.
         users = latest_per_key(users, "user_id", ["user_time", "register_time"])
@@ -164,4 +173,18 @@ def dwd_user_user_register(
         else:
             devices = latest_per_key(devices, "log_user_id", ["log_time", *attributes.values()])
             joined = join_feeds(users, devices, "user_id", "log_user_id", "left")
-    return joined.withColumn("row_op_ts", version(row_op_ts)).select(*schemas.USER_REGISTER.names)
+    extra = [MATCHED] if MATCHED in joined.columns else []
+    return joined.withColumn("row_op_ts", version(row_op_ts)).select(*schemas.USER_REGISTER.names, *extra)
+
+
+def paid_changes(changes: DataFrame, versions: DataFrame, within: str | None = None) -> DataFrame:
+    """Changelog of the paid lines, from payments and the keyed order detail read as versions.
+
+    ``versions`` (``feeds.keyed_versions``) has new versions of lines and, with ``deleted``, their ends.  Each
+    version meets the payments at most ``within`` away, whichever comes first; an end passes as it is.  The
+    newest ``row_op_ts`` of an id tells what holds now; a keyed sink reads it (``read_keyed`` with
+    ``deleted``).  Both sides' state ends when the watermark passes the limit."""
+    paid = dwd_trade_pay_suc_detail(changes, versions.where(~F.col("deleted")).select(*schemas.ORDER_DETAIL.names), within)
+    paid = paid.withColumn("deleted", F.lit(False))
+    ended = versions.where("deleted").select("id", "row_op_ts", "deleted")
+    return paid.unionByName(ended, allowMissingColumns=True)

@@ -149,9 +149,9 @@ def dws_trade_course_order_window(details: DataFrame, dims: Dims, window: str =
               "category_name", "order_total_amount")
 
 
-def _users_of_day(details: DataFrame, uv: str, new: str, window: str) -> DataFrame:
+def _users_of_day(details: DataFrame, uv: str, new: str, window: str, delay: str | None = None) -> DataFrame:
     """Users of the day, and among them users never seen before."""
-    rows = _timed(newest(details, "id", ["user_id", "ts"]), "user_id")
+    rows = _timed(newest(details, "id", ["user_id", "ts"]), "user_id", delay=delay)
     if rows.isStreaming:
         days = state.first_of_day(rows, ["user_id"])
         return tumble_measures([days.select("ts", _one(uv), F.col("is_new").alias(new))], [], [uv, new], window)
@@ -160,12 +160,14 @@ def _users_of_day(details: DataFrame, uv: str, new: str, window: str) -> DataFra
     return tumble_measures([days.select("ts", _one(uv)), ever.select("ts", _one(new))], [], [uv, new], window)
 
 
-def dws_trade_order_window(details: DataFrame, window: str = WINDOW) -> DataFrame:
-    return _users_of_day(details, "order_uv_count", "new_order_user_count", window)
+def dws_trade_order_window(details: DataFrame, window: str = WINDOW, delay: str | None = None) -> DataFrame:
+    """A stream passes lines that ``streaming.state.hold_latest`` has let go, and the hold as more ``delay``."""
+    return _users_of_day(details, "order_uv_count", "new_order_user_count", window, delay)
 
 
-def dws_trade_pay_suc_window(details: DataFrame, window: str = WINDOW) -> DataFrame:
-    return _users_of_day(details, "pay_suc_uv_count", "pay_suc_new_user_count", window)
+def dws_trade_pay_suc_window(details: DataFrame, window: str = WINDOW, delay: str | None = None) -> DataFrame:
+    """As ``dws_trade_order_window``, for paid lines."""
+    return _users_of_day(details, "pay_suc_uv_count", "pay_suc_new_user_count", window, delay)
 
 
 def dws_trade_province_order_window(changes: DataFrame, dims: Dims, window: str = WINDOW) -> DataFrame:

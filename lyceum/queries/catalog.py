@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from lyceum.queries import building_blocks, products, streams  # noqa: F401
+from lyceum.queries import building_blocks, live, products, streams  # noqa: F401
 from lyceum.queries.registry import ORACLES, QUERIES  # noqa: F401

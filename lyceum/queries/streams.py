@@ -162,12 +162,15 @@ def stream_routed_logs(spark, sf_dir):
 @query(sql("""
 SELECT user_id, event_type, event_id FROM (
   SELECT *, min(ts) OVER (PARTITION BY user_id, event_type) AS first_ts FROM ev)
-WHERE first_ts + INTERVAL 5 SECOND <= (SELECT max(ts) FROM ev) - INTERVAL 5 SECOND
+WHERE ts <= first_ts + INTERVAL 1 DAY
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""", "ev"))
 def stream_latest_versions(spark, sf_dir):
-    rows = watermark(events_stream(spark, sf_dir), "ts")
-    held = state.hold_latest(rows, ["user_id", "event_type"], "ts", event_time=True)
-    return jobs.materialise(held, "latest").select("user_id", "event_type", "event_id")
+    """The newest version within a day of a key's first row; those after the hold are lost."""
+    def held(events):
+        return state.hold_latest(watermark(events, "ts"), ["user_id", "event_type"], "ts", hold_ms=state.DAY_MS,
+                                 keep_ms=100 * state.DAY_MS, event_time=True)
+
+    return replayed(spark, sf_dir, "latest", held).select("user_id", "event_type", "event_id")
 
 
 @query(sql("""

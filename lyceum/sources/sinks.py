@@ -57,11 +57,14 @@ def keyed_writer(path: str, keys: list[str], order: list[str]) -> BatchWriter:
     return write
 
 
-def read_keyed(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: list[str]) -> DataFrame:
-    """Current rows: newest version per key; of equal versions the later batch wins."""
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: list[str],
+               deleted: str | None = None) -> DataFrame:
+    """Current rows: newest version per key; of equal versions the later batch wins.  Where the newest
+    version of a key is marked by the column ``deleted``, the key has no row."""
     with_batch = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])
     versions = spark.read.schema(with_batch).parquet(path)
-    return latest_per_key(versions, keys, [*order, "batch_id"]).drop("batch_id")
+    current = latest_per_key(versions, keys, [*order, "batch_id"]).drop("batch_id")
+    return current.where(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted) if deleted else current
 
 
 def compact(spark: SparkSession, path: str, target: str, schema: T.StructType, keys: list[str],

@@ -105,9 +105,13 @@ def order_detail_of(lines: DataFrame) -> DataFrame:
 
 
 def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payment_info_of(table(spark, sf_dir, "orders"))
+
+
+def payment_info_of(orders: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
     status = F.when(F.col("o_orderstatus") == "F", F.lit("1602")).otherwise(F.lit("1601"))
-    return _record(table(spark, sf_dir, "orders"), "payment_info", _seconds("o_orderdate") + 600, {
+    return _record(orders, "payment_info", _seconds("o_orderdate") + 600, {
         "alipay_trade_no": F.concat(F.lit("A"), text(key)), "trade_body": F.col("o_orderpriority"),
         "order_id": key, "payment_type": F.lit("1101"), "payment_status": status,
         "callback_time": _time_text("o_orderdate"), "callback_content": F.col("o_orderstatus"),
@@ -127,7 +131,11 @@ def cart_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _record(_of_type(spark, sf_dir, "signup"), "user_info", _seconds("ts"), {
+    return user_info_of(events(spark, sf_dir))
+
+
+def user_info_of(rows: DataFrame) -> DataFrame:
+    return _record(rows.where(F.col("event_type") == "signup"), "user_info", _seconds("ts"), {
         "id": F.col("user_id"), "create_time": _time_text("ts"),
     })
 

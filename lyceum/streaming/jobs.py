@@ -12,7 +12,7 @@ from lyceum.operators import routing
 from lyceum.operators.windows import watermark
 from lyceum.plans.logs import BOUNCE_SECONDS, login_rows
 from lyceum.session import scratch_path
-from lyceum.sources.sinks import BatchWriter, run_available, to_files
+from lyceum.sources.sinks import BatchWriter, keyed_writer, read_keyed, run_available, to_files, version_folder
 from lyceum.streaming import state
 
 
@@ -38,6 +38,76 @@ def replay(spark: SparkSession, pieces: Iterable[DataFrame], build: Callable[[Da
     return spark.read.schema(schema).parquet(path)
 
 
+def replay_feeds(spark: SparkSession, pieces: Iterable[dict[str, DataFrame]], run: Callable[[dict[str, DataFrame]], None],
+                 name: str) -> None:
+    """Feed several streams piece by piece.  Each piece holds rows by feed; they are added to the feeds'
+    folders, and ``run(streams)`` processes what is there, from checkpoints of its own."""
+    folder = scratch_path(spark, f"{name}-feeds")
+    for piece in pieces:
+        for feed, rows in piece.items():
+            rows.write.mode("append").parquet(f"{folder}/{feed}")
+        run({feed: spark.readStream.schema(rows.schema).parquet(f"{folder}/{feed}") for feed, rows in piece.items()})
+
+
+class KeyedTable:
+    """A keyed table that a stream fills, run after run, from one checkpoint."""
+
+    def __init__(self, spark: SparkSession, name: str, keys: list[str], order: list[str]):
+        self.spark, self.keys, self.order, self.schema = spark, keys, order, None
+        self.path, self.checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
+
+    def fill(self, stream: DataFrame) -> None:
+        self.schema = stream.schema
+        for_each_batch(stream, keyed_writer(self.path, self.keys, self.order), self.checkpoint)
+
+    def read(self, deleted: str | None = None) -> DataFrame:
+        return read_keyed(self.spark, self.path, self.schema, self.keys, self.order, deleted)
+
+
+def append(stream: DataFrame, path: str) -> DataFrame:
+    """Process all data present into the table at ``path``, from the checkpoint beside it, and give the table
+    as a stream for the next stage."""
+    run_available(to_files(stream, path, f"{path}-checkpoint"))
+    return table_as_stream(stream.sparkSession, path, stream)
+
+
+class LateRows:
+    """Splits a stream into rows in time and rows behind the watermark, each a table of its own.
+
+    The watermark of a micro-batch is the latest event time of all batches before it, less ``delay``; a row
+    without a time is late.  One number per batch is kept beside the tables.  A replayed batch reads the
+    numbers of earlier batches only and overwrites its own folders, so the split does not change."""
+
+    def __init__(self, spark: SparkSession, name: str, ts: str, delay: str):
+        self.spark, self.ts, self.delay, self.schema = spark, ts, delay, None
+        self.root = scratch_path(spark, name)
+        self.marks = f"{self.root}/marks"
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        before = self.spark.read.schema("latest timestamp, batch_id bigint").parquet(self.marks)
+        passed = before.where(F.col("batch_id") < batch_id).agg(
+            (F.max("latest") - F.expr(f"INTERVAL {self.delay}")).alias("mark")).first()["mark"]
+        late = F.col(self.ts).isNull() | (F.lit(False) if passed is None else F.col(self.ts) < F.lit(passed))
+        for folder, rows in (("in_time", batch.where(~late)), ("late", batch.where(late))):
+            rows.write.mode("overwrite").parquet(version_folder(f"{self.root}/{folder}", batch_id))
+        batch.agg(F.max(self.ts).alias("latest")).write.mode("overwrite").parquet(version_folder(self.marks, batch_id))
+
+    def split(self, stream: DataFrame) -> None:
+        self.schema = stream.schema
+        self.spark.createDataFrame([], "latest timestamp").write.mode("ignore").parquet(version_folder(self.marks, -1))
+        for_each_batch(stream, self.write, f"{self.root}/checkpoint")
+
+    def in_time(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/in_time")
+
+    def late(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/late")
+
+    def in_time_stream(self) -> DataFrame:
+        """The rows in time as a stream, for windows with the same delay, which then drop none."""
+        return self.spark.readStream.schema(self.schema).parquet(f"{self.root}/in_time")
+
+
 def for_each_batch(stream: DataFrame, write: BatchWriter, checkpoint: str) -> StreamingQuery:
     """Process all data present with a ``foreachBatch`` function."""
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -160,43 +160,53 @@ def repair_new_visitor(df: DataFrame, visitor: str = "mid", flag: str = "is_new"
 
 # --- hold a key's best row -----------------------------------------------------------------------
 class HoldBest(StatefulProcessor):
-    """Keeps the best row of a key, emits it once after a hold, and forgets the key later."""
+    """Keeps the best row of a key, emits it once after a hold, and forgets the key later.
+
+    By event time the hold starts at the earliest row of the micro-batch that brings the key, and rows
+    later than its end do not count, in whatever batch they come."""
 
     def __init__(self, newest: bool, hold_ms: int, keep_ms: int, event_time: bool):
         self.newest, self.hold_ms, self.keep_ms, self.event_time = newest, hold_ms, keep_ms, event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("best", "rank bigint, payload string, emitted boolean")
+        self.state = handle.getValueState("best", "rank bigint, payload string, emitted boolean, until bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = self.state.get() if self.state.exists() else None
-        best = None if held is None else (held[0], held[1])
-        timer = None
+        held = self.state.get()
+        best = None if held is None or held[1] is None else (held[0], held[1])
+        if self.event_time:
+            # The chunks of a new key are kept until its earliest row is known.
+            rows = list(rows) if held is None else rows
+            until = held[3] if held else min(int(chunk["t"].min()) for chunk in rows) + self.hold_ms
+        else:
+            until = held[3] if held else timerValues.getCurrentProcessingTimeInMs() + self.hold_ms
         for chunk in rows:
+            if self.event_time:
+                chunk = chunk[chunk["t"] <= until]
+                if not len(chunk):
+                    continue
             rank = chunk["rank"].to_numpy()
             # Of equal versions the later arrival wins; of equal first rows the earlier one stays.
             at = len(rank) - 1 - int(np.argmax(rank[::-1])) if self.newest else int(np.argmin(rank))
             found = (int(rank[at]), str(chunk["payload"].iloc[at]))
             better = best is None or (found[0] >= best[0] if self.newest else found[0] < best[0])
             best = found if better else best
-            first = int(chunk["t"].iloc[0])
-            timer = first if timer is None else timer
         if held is None:
-            now = timer if self.event_time else timerValues.getCurrentProcessingTimeInMs()
-            self.handle.registerTimer(now + self.hold_ms)
+            self.handle.registerTimer(until)
         if held is None or not held[2]:
-            self.state.update((best[0], best[1], False))
+            self.state.update((best[0], best[1], False, until))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.state.exists():
+        held = self.state.get()
+        if held is None:
             return
-        rank, payload, emitted = self.state.get()
+        rank, payload, emitted, until = held
         if emitted:
             self.state.clear()
             return
-        self.state.update((rank, payload, True))
+        self.state.update((rank, "", True, until))
         self.handle.registerTimer(expiredTimerInfo.getExpiryTimeInMs() + self.keep_ms)
         yield pd.DataFrame({**_key_columns(key), "payload": [payload]})
 
@@ -214,8 +224,10 @@ def hold_latest(df: DataFrame, keys: list[str], version: str, ts: str = "ts", ho
                 keep_ms: int = 60_000, event_time: bool = False) -> DataFrame:
     """The newest version that arrives within ``hold_ms`` of a key's first row.
 
-    By default the hold is wall-clock time, which needs a running trigger.  With ``event_time`` it
-    ends when the watermark passes.
+    By default the hold is wall-clock time, which needs a running trigger.  With ``event_time`` it counts the
+    rows' own times and ends when the watermark passes; later versions are lost for ``keep_ms``.  Rows leave
+    when the watermark has passed them, so a stage that follows in event time reads them from a detail table,
+    with a watermark delay longer by ``hold_ms``.
     """
     return _hold(df, keys, ts, F.unix_micros(version), True, hold_ms, keep_ms, event_time)
 
