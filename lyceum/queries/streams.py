@@ -1,8 +1,7 @@
 """Streaming forms, replayed over the whole tables until no data is left.
 
-Window summaries replay the events in pieces, restarting from the checkpoint for each, and then one late
-closing row of each kind of event, so that every window is written.  The other streams read one file and
-hold back what their watermark has not passed; their SQL leaves the same rows out.
+What waits for a watermark replays the rows in pieces, restarting from the checkpoint for each, and then late
+closing rows, so that every window, session and hold is written.  The others read one file.
 """
 
 from __future__ import annotations
@@ -34,8 +33,8 @@ def events_stream(spark, sf_dir):
     return stream_of(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 
-def pages_stream(spark, sf_dir):
-    return routing.page_log(tables.log_of(events_stream(spark, sf_dir)))
+def pages_of(events):
+    return routing.page_log(tables.log_of(events))
 
 
 def event_pieces(spark, sf_dir, pieces=3):
@@ -86,29 +85,23 @@ def stream_cart_add_window(spark, sf_dir):
 
 
 @query(sql(f"""
-SELECT * FROM (
   SELECT {bounds(HOUR)}, CAST(sum(CASE WHEN page_id = 'home' THEN 1 ELSE 0 END) AS BIGINT) AS home_uv_count,
          CAST(sum(CASE WHEN page_id = 'course_list' THEN 1 ELSE 0 END) AS BIGINT) AS list_uv_count,
          CAST(sum(CASE WHEN page_id = 'course_detail' THEN 1 ELSE 0 END) AS BIGINT) AS detail_uv_count
   FROM (SELECT page_id, min(t) AS t FROM pages WHERE page_id IN ('home', 'course_list', 'course_detail')
-        GROUP BY mid, page_id, CAST(t AS DATE)) GROUP BY 1, 2)
-WHERE CAST(edt AS TIMESTAMP) <= (SELECT max(t) FROM pages WHERE page_id IN ('home', 'course_list', 'course_detail'))
-                                - INTERVAL 5 SECOND""", "pages"))
+        GROUP BY mid, page_id, CAST(t AS DATE)) GROUP BY 1, 2""", "pages"))
 def stream_page_view_window(spark, sf_dir):
-    return jobs.materialise(summaries.dws_traffic_page_view_window(pages_stream(spark, sf_dir), HOUR), "page-view")
+    return replayed(spark, sf_dir, "page-view", lambda events: summaries.dws_traffic_page_view_window(pages_of(events), HOUR))
 
 
 @query(sql(f"""
-SELECT * FROM (
   SELECT {bounds(HOUR)}, 'SEARCH' AS source, keyword, count(*) AS keyword_count
   FROM (SELECT date_trunc('second', t) AS t, unnest(string_split_regex(lower(item), '[^\\p{{L}}\\p{{N}}]+')) AS keyword
         FROM pages WHERE item IS NOT NULL AND item_type = 'keyword')
-  WHERE keyword <> '' GROUP BY 1, 2, 4)
-WHERE CAST(edt AS TIMESTAMP) <= (SELECT max(date_trunc('second', t)) FROM pages WHERE item_type = 'keyword')
-                                - INTERVAL 3 SECOND""", "pages"))
+  WHERE keyword <> '' GROUP BY 1, 2, 4""", "pages"))
 def stream_keyword_window(spark, sf_dir):
-    out = summaries.dws_traffic_source_keyword_page_view_window(pages_stream(spark, sf_dir), HOUR)
-    return jobs.materialise(out, "keywords")
+    return replayed(spark, sf_dir, "keywords",
+                    lambda events: summaries.dws_traffic_source_keyword_page_view_window(pages_of(events), HOUR))
 
 
 @query(sql("""
@@ -127,12 +120,12 @@ SELECT user_id, events, total, last_type FROM (
   FROM (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS n
         FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 30 MINUTE
                              THEN 0 ELSE 1 END AS opens FROM ev))
-  GROUP BY user_id, n)
-WHERE last_ts + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM ev) - INTERVAL 5 SECOND""", "ev"))
+  GROUP BY user_id, n)""", "ev"))
 def stream_sessions(spark, sf_dir):
-    rows = watermark(events_stream(spark, sf_dir), "ts")
-    out = session_rollup(rows, ["user_id"], 1800, {"total": "value"}, [], ["event_type"], "ts", ["event_id"])
-    out = jobs.materialise(out, "sessions")
+    def rolled(events):
+        return session_rollup(watermark(events, "ts"), ["user_id"], 1800, {"total": "value"}, [], ["event_type"], "ts", ["event_id"])
+
+    out = replayed(spark, sf_dir, "sessions", rolled)
     return out.select("user_id", "events", F.round("total", 4).alias("total"), F.col("event_type").alias("last_type"))
 
 
@@ -175,18 +168,16 @@ def stream_latest_versions(spark, sf_dir):
 
 @query(sql("""
 SELECT user_id, login_time, mid_id, ts FROM (
-  SELECT uid AS user_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS login_time, mid AS mid_id, ts, t FROM logins)
-WHERE t + INTERVAL 10 SECOND <= (SELECT max(t) FROM pages) - INTERVAL 5 SECOND""", "logins"))
+  SELECT uid AS user_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS login_time, mid AS mid_id, ts, t FROM logins)""", "logins"))
 def stream_first_logins(spark, sf_dir):
-    out = jobs.materialise(jobs.user_login(pages_stream(spark, sf_dir)), "logins")
+    out = replayed(spark, sf_dir, "logins", lambda events: jobs.user_login(pages_of(events), 100 * state.DAY_MS))
     return out.select("user_id", "login_time", "mid_id", "ts")
 
 
 @query(sql("""
-SELECT mid, page_id, ts FROM jumps
-WHERE t + INTERVAL 600 SECOND <= (SELECT max(t) FROM pages) OR next_ts IS NOT NULL""", "jumps"))
+SELECT mid, page_id, ts FROM jumps""", "jumps"))
 def stream_bounces(spark, sf_dir):
-    out = jobs.materialise(jobs.user_jump_detail(pages_stream(spark, sf_dir), 600), "bounces")
+    out = replayed(spark, sf_dir, "bounces", lambda events: jobs.user_jump_detail(pages_of(events), 600))
     return out.select("common.mid", "page.page_id", "ts")
 
 
@@ -266,45 +257,51 @@ SELECT source_id, nullif(uid0, '') AS user_id, session_id, play_sec, position_se
       SELECT *, sum(opens) OVER (PARTITION BY sid ORDER BY ts, event_id) AS n
       FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY sid ORDER BY ts, event_id) <= 86400000
                            THEN 0 ELSE 1 END AS opens FROM plays)) GROUP BY sid, n) e
-  ON e.sid = session_id AND e.first_ts = ts)
-WHERE last_ts + 86400000 <= (SELECT max(ts) FROM plays) - 5000""", "plays", "play_sessions"))
+  ON e.sid = session_id AND e.first_ts = ts)""", "plays", "play_sessions"))
 def stream_learn_play(spark, sf_dir):
-    plays = routing.play_log(tables.log_of(events_stream(spark, sf_dir)))
-    out = jobs.materialise(logs.dwd_learn_play(plays, 86400), "plays")
+    out = replayed(spark, sf_dir, "plays", lambda events: logs.dwd_learn_play(routing.play_log(tables.log_of(events)), 86400))
     return out.select("source_id", "user_id", "session_id", "play_sec", "position_sec", "video_id", "ts")
 
 
 @query(sql(f"""
-SELECT * FROM (
   SELECT {bounds(HOUR, 'ts')}, CAST(sum(back) AS BIGINT) AS back_count, count(*) AS uv_count
   FROM (SELECT ts, CASE WHEN CAST(ts AS DATE) - lag(CAST(ts AS DATE)) OVER (PARTITION BY user_id ORDER BY ts) >= 8
                         THEN 1 ELSE 0 END AS back
         FROM (SELECT user_id, min(ts) AS ts FROM ev GROUP BY user_id, CAST(ts AS DATE)))
-  GROUP BY 1, 2)
-WHERE CAST(edt AS TIMESTAMP) <= (SELECT max(ts) FROM (SELECT min(ts) AS ts FROM ev GROUP BY user_id, CAST(ts AS DATE)))
-                                - INTERVAL 3 SECOND""", "ev"))
+  GROUP BY 1, 2""", "ev"))
 def stream_login_window(spark, sf_dir):
     """Two stages with a detail table between them: users of the day, then windows."""
-    days = state.returning_users(events_stream(spark, sf_dir).select("user_id", "ts"), "user_id")
-    path, checkpoint = scratch_path(spark, "login-days"), scratch_path(spark, "login-days-checkpoint")
-    sinks.run_available(sinks.to_files(days, path, checkpoint))
-    again = jobs.table_as_stream(spark, path, days)
-    return jobs.materialise(summaries.dws_user_login_window(again, HOUR), "login-window")
+    days_path, out_path, made = scratch_path(spark, "login-days"), scratch_path(spark, "login-window"), []
+
+    def run(feed):
+        days = jobs.append(state.returning_users(feed["events"].select("user_id", "ts"), "user_id"), days_path)
+        made.append(jobs.append(summaries.dws_user_login_window(days, HOUR), out_path))
+
+    jobs.replay_feeds(spark, ({"events": piece} for piece in event_pieces(spark, sf_dir)), run, "login-window")
+    return spark.read.schema(made[-1].schema).parquet(out_path)
 
 
 @query(sql(f"""
-SELECT * FROM (
   SELECT {bounds(HOUR)}, province_id, count(*) AS order_count,
          CAST(sum(CASE WHEN rn = 1 THEN 1 ELSE 0 END) AS BIGINT) AS order_uu_count,
          CAST(sum(final_amount) AS DOUBLE) AS order_total_amount
   FROM (SELECT *, make_timestamp(ts * 1000000) AS t,
                row_number() OVER (PARTITION BY province_id, user_id, CAST(make_timestamp(ts * 1000000) AS DATE)
                                   ORDER BY ts) AS rn FROM infos)
-  GROUP BY 1, 2, 3)
-WHERE CAST(edt AS TIMESTAMP) <= (SELECT max(make_timestamp(ts * 1000000)) FROM infos) - INTERVAL 5 SECOND""", "infos"))
+  GROUP BY 1, 2, 3""", "infos"))
 def stream_province_orders(spark, sf_dir):
     """Plain measures and users of the day meet in one window aggregate; static lookup at the end."""
-    changes = tables.order_info_of(stream_of(spark, sf_dir, "orders"))
-    out = summaries.dws_trade_province_order_window(changes, tables.dimensions(spark, sf_dir), HOUR)
-    out = jobs.materialise(out, "province-orders").withColumn("order_total_amount", F.col("order_total_amount").cast("double"))
+    out_path, made = scratch_path(spark, "province-orders"), []
+
+    def run(feed):
+        made.append(jobs.append(summaries.dws_trade_province_order_window(
+            tables.order_info_of(feed["orders"]), tables.dimensions(spark, sf_dir), HOUR), out_path))
+
+    orders = tables.table(spark, sf_dir, "orders")
+    day, cuts = F.col("o_orderdate"), [F.lit(d).cast("timestamp") for d in ("1997-03-01", "1999-07-01")]
+    closing = orders.limit(1).withColumn("o_orderdate", F.lit("2030-01-01").cast("timestamp").cast(orders.schema["o_orderdate"].dataType))
+    pieces = [orders.where(day < cuts[0]), orders.where((day >= cuts[0]) & (day < cuts[1])), orders.where(day >= cuts[1]), closing]
+    jobs.replay_feeds(spark, ({"orders": piece} for piece in pieces), run, "province-orders")
+    out = spark.read.schema(made[-1].schema).parquet(out_path)
+    out = out.withColumn("order_total_amount", F.col("order_total_amount").cast("double"))
     return out.drop("province_name")

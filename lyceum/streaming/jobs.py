@@ -135,10 +135,11 @@ def user_jump_detail(pages: DataFrame, within_seconds: int = BOUNCE_SECONDS) ->
     return left.select(*pages.columns)
 
 
-def user_login(pages: DataFrame) -> DataFrame:
+def user_login(pages: DataFrame, keep_ms: int = state.DAY_MS) -> DataFrame:
+    """The first login of each session; a session is forgotten ``keep_ms`` after it."""
     rows = pages.withColumn("_sid", F.col("common.sid")).withColumn("_uid", F.col("common.uid"))
     rows = watermark(rows.withColumn("_time", from_epoch_millis("ts")), "_time")
-    return login_rows(state.first_login(rows, "_sid", "_uid", "_time"))
+    return login_rows(state.first_login(rows, "_sid", "_uid", "_time", keep_ms=keep_ms))
 
 
 def table_as_stream(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
