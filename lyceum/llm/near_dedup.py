@@ -9,10 +9,10 @@ Documents with equal sets are one class and compared once.  A key that one docum
 tables are made of keys that two have.  Pairs are compared in rounds, and what links is merged before the
 next one.  A member of a bucket is the more central, the more other members it meets in all its buckets:
 the text that others were copied from more so than its copies.  Each bucket names its most central members,
-and each member is compared with those that most of its buckets name, in two rounds; then, of two components
-that share a bucket, the most central members there; at last all pairs of different components, each in the
-first bucket that it shares.  Pairs inside a component are not compared any more, so a group of copies
-costs about as many comparisons as it has members.  All links are confirmed on whole sets.
+and each member is compared with those that most of its buckets name, in two rounds; at last all pairs of
+different components are, each in the first bucket that it shares.  Pairs inside a component are not compared
+any more, so a group of copies costs about as many comparisons as it has members.  All links are confirmed
+on whole sets.
 """
 
 from __future__ import annotations
@@ -218,33 +218,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     stars = marked.join(named.hint("merge"), "bucket").filter("component != other")
     links = links.union(linked(best_hubs(stars), "second_links"))
 
-    # The most central members of each two components that share a bucket.
-    marked = mixed_buckets(merged(links, "second_groups"))
-    one = (marked.join(central.hint("merge"), "rep").groupBy("bucket", "component").agg(F.max(F.struct("met", "rep"))["rep"].alias("rep"))
-           .join(sketches.hint("merge"), "rep"))
-    left, right = (one.select(*[F.col(c).alias(f"{c}_{x}") for c in one.columns]) for x in "ab")
-    alike = like_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"), percent) & may_link(
-        F.col("n_shingles_a"), F.col("n_shingles_b"), F.col("sketch_a"), F.col("sketch_b"), percent)
-    pairs = left.join(right, (F.col("bucket_a") == F.col("bucket_b")) & (F.col("component_a") > F.col("component_b")) & alike)
-    pairs = pairs.groupBy("component_a", "component_b").agg(F.min(F.struct(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))).alias("p"))
-    links = links.union(saved(confirmed(pairs.select("p.*"), sets, percent), folder, "component_links"))
-
     # All pairs of different components in a bucket, each in the first bucket that it shares.
-    marked = merged(links, "component_groups")
-    keys = reps.join(members, "rep", "left_semi")
-    rows = mixed_buckets(marked).join(keys.hint("merge"), "rep").join(sketches.hint("merge"), "rep").select(
-        "bucket", "i", "j", "rep", "component", "n_shingles", "sketch", *[F.get("keys", F.lit(k)).alias(f"k{k}") for k in range(2 * KEYS)])
-    left = rows.select(*[F.col(c).alias(f"{c}_a") for c in rows.columns])
-    right = rows.select(*[F.col(c).alias(f"{c}_b") for c in rows.columns])
+    second = merged(links, "second_groups")
+    rows = (mixed_buckets(second).join(reps.join(members, "rep", "left_semi").hint("merge"), "rep").join(sketches.hint("merge"), "rep")
+            .select("bucket", "i", "j", "rep", "component", "n_shingles", "sketch", "keys"))
+    left, right = (rows.select(*[F.col(c).alias(f"{c}_{x}") for c in rows.columns]) for x in "ab")
     first = (F.col("bucket_a") == F.col("bucket_b")) & (F.col("rep_a") > F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
     first = first & like_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"), percent)
-    for k in range(KEYS):
-        first = first & ((F.lit(k) >= F.col("i_a")) | (F.col(f"k{k}_a") != F.col(f"k{k}_b")))
-        first = first & ((F.lit(k) >= F.col("j_a")) | (F.col(f"k{KEYS + k}_a") != F.col(f"k{KEYS + k}_b")))
     first = first & may_link(F.col("n_shingles_a"), F.col("n_shingles_b"), F.col("sketch_a"), F.col("sketch_b"), percent)
+    # Keys in front of the table's own two, which an earlier table would share.
+    earlier = (F.slice(F.col(f"keys_{x}"), F.lit(start), F.col(f"{k}_{x}").cast("int")) for k, start in (("i", 1), ("j", KEYS + 1)) for x in "ab")
+    of_a, of_b, more_a, more_b = earlier
+    first = first & ~F.exists(F.zip_with(of_a, of_b, lambda x, y: x == y), lambda same: same)
+    first = first & ~F.exists(F.zip_with(more_a, more_b, lambda x, y: x == y), lambda same: same)
     others = left.join(right, first).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     more = saved(confirmed(others, sets, percent), folder, "more_links")
-    ends = components(spark, links.union(more)).select(F.col("node").alias("rep"), "component")
+    if more.isEmpty():
+        ends = spark.read.parquet(f"{folder}/second_groups").select(F.col("node").alias("rep"), "component")
+    else:
+        ends = components(spark, links.union(more)).select(F.col("node").alias("rep"), "component")
 
     named = classes.join(ends, "rep", "left").select(*sets_of, F.coalesce("component", "rep").alias("component_id"))
     result = found.select("doc_id", "tie", "n_shingles", *sets_of).join(named, sets_of, "left")
