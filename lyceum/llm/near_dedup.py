@@ -221,16 +221,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     # All pairs of different components in a bucket, each in the first bucket that it shares.
     second = merged(links, "second_groups")
     rows = (mixed_buckets(second).join(reps.join(members, "rep", "left_semi").hint("merge"), "rep").join(sketches.hint("merge"), "rep")
-            .select("bucket", "i", "j", "rep", "component", "n_shingles", "sketch", "keys"))
+            .select("bucket", "i", "j", "rep", "component", "n_shingles", "sketch", *[F.get("keys", F.lit(k)).alias(f"k{k}") for k in range(2 * KEYS)]))
     left, right = (rows.select(*[F.col(c).alias(f"{c}_{x}") for c in rows.columns]) for x in "ab")
     first = (F.col("bucket_a") == F.col("bucket_b")) & (F.col("rep_a") > F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
     first = first & like_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"), percent)
+    for k in range(KEYS):
+        first = first & ((F.lit(k) >= F.col("i_a")) | (F.col(f"k{k}_a") != F.col(f"k{k}_b")))
+        first = first & ((F.lit(k) >= F.col("j_a")) | (F.col(f"k{KEYS + k}_a") != F.col(f"k{KEYS + k}_b")))
     first = first & may_link(F.col("n_shingles_a"), F.col("n_shingles_b"), F.col("sketch_a"), F.col("sketch_b"), percent)
-    # Keys in front of the table's own two, which an earlier table would share.
-    earlier = (F.slice(F.col(f"keys_{x}"), F.lit(start), F.col(f"{k}_{x}").cast("int")) for k, start in (("i", 1), ("j", KEYS + 1)) for x in "ab")
-    of_a, of_b, more_a, more_b = earlier
-    first = first & ~F.exists(F.zip_with(of_a, of_b, lambda x, y: x == y), lambda same: same)
-    first = first & ~F.exists(F.zip_with(more_a, more_b, lambda x, y: x == y), lambda same: same)
     others = left.join(right, first).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     more = saved(confirmed(others, sets, percent), folder, "more_links")
     if more.isEmpty():
