@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -43,40 +44,59 @@ def _key_columns(key: tuple) -> dict[str, object]:
 
 # --- first of day, first ever, returning ---------------------------------------------------------
 class LastDay(StatefulProcessor):
-    """Remembers the last day a key was seen and flags each row against it."""
+    """Remembers the last day a key was seen and flags each row against it.
+
+    A key's rows of a micro-batch come chunk by chunk.  Only the earliest row found so far of each day waits
+    for the end; every other row leaves with its chunk, so memory holds a row per day, not per event."""
 
     NEVER = -(10**6)
 
-    def __init__(self, away_days: int, ttl_ms: int | None, time: str | None = None, forget: bool = False):
+    def __init__(self, away_days: int, ttl_ms: int | None, time: str | None = None, forget: bool = False,
+                 only_first: bool = False):
         self.away_days = away_days
         self.ttl_ms = ttl_ms
         self.time = time  # event-time column to pass on, for a stateful operator that follows
         self.forget = forget  # drop a key's day when the watermark has passed its end
+        self.only_first = only_first  # other rows are left out
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("last_day", "day int", self.ttl_ms)
 
+    def _flagged(self, key, rows: pd.DataFrame, first, new, back) -> pd.DataFrame:
+        return pd.DataFrame({
+            **_key_columns(key),
+            **({self.time: rows[self.time].array} if self.time else {}),
+            "payload": rows["payload"].to_numpy(),
+            "is_first": np.broadcast_to(first, len(rows)).astype("int64"),
+            "is_new": np.broadcast_to(new, len(rows)).astype("int64"),
+            "is_back": np.broadcast_to(back, len(rows)).astype("int64"),
+        })
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         last = self.state.get()[0] if self.state.exists() else self.NEVER
-        # All rows of the key in this micro-batch, however they are cut: the first is not known earlier.
-        chunk = pd.concat(list(rows), ignore_index=True).sort_values("t", kind="stable")
-        days = chunk["day"].to_numpy()
-        seen = np.maximum.accumulate(np.concatenate([[last], days]))
-        before, last = seen[:-1], int(seen[-1])
-        first = days > before
-        known = before != self.NEVER
-        self.state.update((last,))
+        firsts = None  # the earliest row of each day after the last one
+        for chunk in rows:
+            old = chunk["day"].to_numpy() <= last
+            # Of equal times the earlier arrival is the first, so the rows found before come before the chunk.
+            fresh = chunk[~old] if firsts is None else pd.concat([firsts, chunk[~old]])
+            fresh = fresh.sort_values("t", kind="stable", ignore_index=True)
+            taken = fresh.duplicated("day").to_numpy()
+            firsts = fresh[~taken]
+            if not self.only_first:
+                rest = pd.concat([chunk[old], fresh[taken]])
+                if len(rest):
+                    yield self._flagged(key, rest, 0, 0, 0)
+        if len(firsts):
+            firsts = firsts.sort_values("day", ignore_index=True)
+            days = firsts["day"].to_numpy()
+            before = np.concatenate([[last], days[:-1]])
+            known = before != self.NEVER
+            last = int(days[-1])
+            self.state.update((last,))
+            yield self._flagged(key, firsts, 1, ~known, known & (days - before >= self.away_days))
         if self.forget:
             self.handle.registerTimer((last + 2) * DAY_MS)
-        yield pd.DataFrame({
-            **_key_columns(key),
-            **({self.time: chunk[self.time].array} if self.time else {}),
-            "payload": chunk["payload"].to_numpy(),
-            "is_first": first.astype("int64"),
-            "is_new": (first & ~known).astype("int64"),
-            "is_back": (first & known & (days - before >= self.away_days)).astype("int64"),
-        })
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.state.exists() and (self.state.get()[0] + 2) * DAY_MS <= expiredTimerInfo.getExpiryTimeInMs():
@@ -84,6 +104,25 @@ class LastDay(StatefulProcessor):
         return iter([])
 
 
+def thin_days(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
+    """Before the shuffle, each batch of rows keeps the earliest row of each key and day (of equal times the
+    first to come), so a hot key brings a row per batch to its task and not all its rows.  Rows without a time
+    are left out, as they belong to no day.  The watermark stays on ``ts``."""
+    day, columns = "_day_of_row", df.columns
+    dated = df.where(F.col(ts).isNotNull()).withColumn(day, F.to_date(ts))
+
+    def earliest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.table({name: batch[name] for name in [*keys, day, ts]}).append_column(
+                "_at", pa.array(np.arange(batch.num_rows)))
+            order = table.sort_by([(ts, "ascending"), ("_at", "ascending")])
+            first = order.group_by([*keys, day], use_threads=False).aggregate([("_at", "first")])
+            yield batch.select(columns).take(pa.array(np.sort(first["_at_first"].to_numpy())))
+
+    # The schema carries the watermark's delay with the column.
+    return dated.mapInArrow(earliest, df.schema)
+
+
 def flag_days(df: DataFrame, keys: list[str], ts: str = "ts", away_days: int = 8,
               ttl_ms: int | None = None) -> DataFrame:
     """Every row plus ``is_first`` (of its day), ``is_new`` (first ever) and ``is_back`` (first of the
@@ -107,44 +146,67 @@ def first_of_day(df: DataFrame, keys: list[str], ts: str = "ts", away_days: int
     that day in any time zone; ``is_new`` and
     ``is_back`` are then of no use.
     """
-    packed = _pack(df, keys, ts, day=F.unix_date(F.to_date(ts)))
+    packed = _pack(thin_days(df, keys, ts), keys, ts, day=F.unix_date(F.to_date(ts)))
     out = packed.groupBy(*[f"key{i}" for i in range(len(keys))]).transformWithStateInPandas(
-        LastDay(away_days, None, ts, forget),
+        LastDay(away_days, None, ts, forget, only_first=True),
         f"{_key_schema(keys)}, {ts} timestamp, payload string, is_first bigint, is_new bigint, is_back bigint",
         "append", "EventTime", eventTimeColumnName=ts)
     rest = [f"r.{c}" for c in df.columns if c != ts]
-    rows = out.where("is_first = 1").select(
-        F.from_json("payload", df.schema, _JSON).alias("r"), ts, "is_new", "is_back")
+    rows = out.select(F.from_json("payload", df.schema, _JSON).alias("r"), ts, "is_new", "is_back")
     return rows.select(ts, *rest, "is_new", "is_back")
 
 
 def returning_users(df: DataFrame, user: str, ts: str = "ts", away_days: int = 8) -> DataFrame:
     """(user, ts, uv_count, back_count), one row per user and day."""
-    flagged = flag_days(df.where(F.col(user).isNotNull()).select(user, ts), [user], ts, away_days)
-    return flagged.where("is_first = 1").select(
+    rows = thin_days(df.where(F.col(user).isNotNull()).select(user, ts), [user], ts)
+    packed = _pack(rows, [user], ts, day=F.unix_date(F.to_date(ts))).drop(ts)
+    out = packed.groupBy("key0").transformWithStateInPandas(
+        LastDay(away_days, None, only_first=True),
+        "key0 string, payload string, is_first bigint, is_new bigint, is_back bigint", "append", "None")
+    return _unpack(out, rows.schema, "is_first", "is_back").select(
         user, ts, F.col("is_first").alias("uv_count"), F.col("is_back").alias("back_count"))
 
 
 # --- new-visitor repair --------------------------------------------------------------------------
 class FirstDate(StatefulProcessor):
-    """Remembers a visitor's first day and marks claims to be new on any other day."""
+    """Remembers a visitor's first day and marks claims to be new on any other day.
+
+    In the micro-batch that brings a visitor, the first row is known when all chunks were seen.  Rows without
+    a claim leave at once; those with one wait in the state store, chunk by chunk, and not in memory."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("first_day", "day int")
+        self.waiting = handle.getMapState("waiting", "chunk int", "days array<int>, payloads array<string>")
+
+    def _marked(self, key, payloads, wrong) -> pd.DataFrame:
+        return pd.DataFrame({**_key_columns(key), "payload": payloads,
+                             "wrong": np.broadcast_to(wrong, len(payloads)).astype("int64")})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         first = self.state.get()[0] if self.state.exists() else None
-        # The first row of the key is known when all its rows of this micro-batch are there.
-        chunk = pd.concat(list(rows), ignore_index=True)
-        days, claims = chunk["day"].to_numpy(), chunk["claims"].to_numpy()
-        if first is None:
+        earliest, held = None, 0
+        for chunk in rows:
+            days, claims = chunk["day"].to_numpy(), chunk["claims"].to_numpy() == 1
+            payloads = chunk["payload"].to_numpy()
+            if first is not None:
+                yield self._marked(key, payloads, claims & (days != first))
+                continue
             at = np.lexsort((claims, chunk["t"].to_numpy()))[0]
-            first = int(days[at]) if claims[at] else int(days[at]) - 1
+            found = (int(chunk["t"].iloc[at]), bool(claims[at]), int(days[at]))
+            earliest = found if earliest is None else min(earliest, found)
+            if not claims.all():
+                yield self._marked(key, payloads[~claims], 0)
+            if claims.any():
+                self.waiting.updateValue((held,), (days[claims].tolist(), payloads[claims].tolist()))
+                held += 1
+        if first is None:
+            _, claims_first, day = earliest
+            first = day if claims_first else day - 1
             self.state.update((first,))
-        wrong = (claims == 1) & (days != first)
-        yield pd.DataFrame({
-            **_key_columns(key), "payload": chunk["payload"].to_numpy(), "wrong": wrong.astype("int64"),
-        })
+        for chunk in range(held):
+            days, payloads = self.waiting.getValue((chunk,))
+            self.waiting.removeKey((chunk,))
+            yield self._marked(key, np.array(payloads, dtype=object), np.array(days) != first)
 
 
 def repair_new_visitor(df: DataFrame, visitor: str = "mid", flag: str = "is_new", ts: str = "ts") -> DataFrame:
@@ -240,50 +302,74 @@ def first_login(df: DataFrame, session: str, user: str, ts: str = "ts", hold_ms:
 
 # --- bounces -------------------------------------------------------------------------------------
 class Bounces(StatefulProcessor):
-    """Holds a visitor's rows until the watermark settles what followed each session start."""
+    """Holds a visitor's rows until the watermark settles what followed each session start.
+
+    A visitor has one state row and one timer.  Of the time that the watermark has passed, the row holds at
+    most one start, the one that still waits; of the time beyond it, where rows may yet come in between, it
+    holds the times, and the whole row only of a start."""
 
     def __init__(self, within_ms: int):
         self.within_ms = within_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", "t bigint, starts boolean, payload string")
+        self.state = handle.getValueState("pending", "t array<bigint>, start array<int>, payload array<string>, "
+                                          "timer bigint")
+
+    def _keep(self, t: np.ndarray, start: np.ndarray, payload: np.ndarray, timer: int, before: int | None) -> None:
+        """``start`` is a row's place in ``payload``, or -1.  The timer moves when another time is due first."""
+        if before is not None and before != timer:
+            self.handle.deleteTimer(before)
+        if before != timer:
+            self.handle.registerTimer(timer)
+        self.state.update((t.tolist(), start.tolist(), payload.tolist(), timer))
+
+    def _held(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, int | None]:
+        if not self.state.exists():
+            return np.array([], "int64"), np.array([], "int64"), np.array([], object), None
+        t, start, payload, timer = self.state.get()
+        return np.array(t, "int64"), np.array(start, "int64"), np.array(payload, object), timer
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        earliest = None
+        t, start, payload, timer = self._held()
+        times, places, payloads, found = [t], [start], [payload], len(payload)
         for chunk in rows:
-            self.rows.appendList([
-                (int(t), bool(starts), str(payload) if starts else "")
-                for t, starts, payload in zip(chunk["t"], chunk["starts"], chunk["payload"])
-            ])
-            first = int(chunk["t"].min())
-            earliest = first if earliest is None else min(earliest, first)
-        self.handle.registerTimer(earliest + self.within_ms)
+            starts = chunk["starts"].to_numpy().astype(bool)
+            times.append(chunk["t"].to_numpy())
+            places.append(np.where(starts, found + np.cumsum(starts) - 1, -1))
+            payloads.append(chunk["payload"].to_numpy()[starts])
+            found += int(starts.sum())
+        t = np.concatenate(times)
+        order = np.argsort(t, kind="stable")
+        t, start, payload = t[order], np.concatenate(places)[order], np.concatenate(payloads)
+        due = int(t[0]) + self.within_ms
+        self._keep(t, start, payload, due if timer is None else min(timer, due), timer)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        t, start, payload, timer = self._held()
         complete = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(self.rows.get(), key=lambda row: row[0]) if self.rows.exists() else []
-        left, settled = [], 0
-        for at, (t, starts, payload) in enumerate(rows):
-            if t > complete:
-                break
-            if starts:
-                following = rows[at + 1] if at + 1 < len(rows) else None
-                if following is not None and following[0] <= complete:
-                    if following[1] or following[0] - t >= self.within_ms:
-                        left.append(payload)
-                elif t + self.within_ms <= complete:
-                    left.append(payload)
-                else:
-                    break
-            settled = at + 1
-        kept = rows[settled:]
-        if kept:
-            self.rows.put(kept)
-            self.handle.registerTimer(max(kept[0][0] + self.within_ms, complete + 1))
+        passed = int(np.searchsorted(t, complete, side="right"))
+        last = max(passed - 1, 0)  # the last row that no other can come before
+        # A start is settled by the row after it, if none can come between, or by the time that went by.
+        at = np.flatnonzero(start[:last] >= 0)
+        alone = (start[at + 1] >= 0) | (t[at + 1] - t[at] >= self.within_ms)
+        left = list(payload[start[at[alone]]])
+        settled = last
+        if passed:
+            waits = start[last] >= 0 and t[last] + self.within_ms > complete
+            if start[last] >= 0 and not waits:
+                left.append(payload[start[last]])
+            settled = last if waits else passed
+        t, start = t[settled:], start[settled:]
+        if len(t):
+            kept = np.flatnonzero(start >= 0)
+            payload = payload[start[kept]]
+            start = start.copy()
+            start[kept] = np.arange(len(kept))
+            self._keep(t, start, payload, max(int(t[0]) + self.within_ms, complete + 1), None)
         else:
-            self.rows.clear()
+            self.state.clear()
         if left:
             yield pd.DataFrame({**_key_columns(key), "payload": left})
 
