@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,9 +31,41 @@ CHUNK = re.compile(
     rf"|(?<=[{LETTERS}])[{MARKS}]+(?![^\x20\x09-\x0D])"
     r"|[^\x20\x09-\x0D]+")
 
+WORD = re.compile(f"[{LETTERS}]+")
+JOINED = 500  # words that are encoded as one text
+
 LOADED: dict[str, ChunkTable] = {}  # per worker process
 
 
+def chunk_encoder(tokenizer):
+    """Ids of many chunks.  Words of letters are encoded joined by spaces and cut behind the tokens that end
+    a word; other chunks, and a text whose word ends do not add up, are encoded one by one."""
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    vocab = tokenizer.get_vocab()
+    closes = np.zeros(max(vocab.values(), default=0) + 1, bool)
+    closes[[i for token, i in vocab.items() if suffix and token.endswith(suffix)]] = True
+
+    def ids(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(chunks: list[str]) -> list[Sequence[int]]:
+        found: list[Sequence[int] | None] = [None] * len(chunks)
+        words = [i for i, chunk in enumerate(chunks) if suffix and WORD.fullmatch(chunk)]
+        groups = [words[k:k + JOINED] for k in range(0, len(words), JOINED)]
+        for group, joined in zip(groups, ids([" ".join(chunks[i] for i in g) for g in groups]), strict=True):
+            row = np.array(joined, np.int64)
+            ends = np.flatnonzero(closes[row]) + 1
+            if len(ends) == len(group) and ends[-1] == len(row):
+                for i, start, end in zip(group, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                    found[i] = joined[start:end]
+        rest = [i for i, own in enumerate(found) if own is None]
+        for i, own in zip(rest, ids([chunks[i] for i in rest]), strict=True):
+            found[i] = own
+        return found
+
+    return encode
+
+
 def tokenizer_table(path: str) -> ChunkTable:
     """Ids of chunks by a word-level BPE that drops white space and never joins a letter with punctuation."""
     if path not in LOADED:
@@ -48,7 +80,7 @@ def tokenizer_table(path: str) -> ChunkTable:
         if apart != tokenizer.encode(probe, add_special_tokens=False).ids:
             raise ValueError("this tokenizer gives a word other ids inside a text")
         LOADED.clear()
-        LOADED[path] = ChunkTable(lambda chunks: [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)])
+        LOADED[path] = ChunkTable(chunk_encoder(tokenizer))
     return LOADED[path]
 
 
