@@ -80,30 +80,50 @@ def built(texts: list[bytes], size: int) -> bytes:
         return b"".join(parts)[:size]
 
 
+def features_of(docs: DataFrame, good: bytes, bad: bytes, kept: list[str]) -> DataFrame:
+    """The columns ``kept`` and the three features of every whole ``text`` (binary, null: empty)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(good, bad)
+        for part in slices(batches, "text"):
+            x = np.array([scorer.features(t or b"") for t in part.column("text").to_pylist()]).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays(
+                [*[part.column(c) for c in kept], *[pa.array(column, pa.float64()) for column in x.T]],
+                names=[*kept, "gain", "gain_of_packed", "plain"])
+
+    types = dict(docs.dtypes)
+    return docs.mapInArrow(run, ", ".join(f"{c} {types[c]}" for c in kept) + ", gain double, gain_of_packed double, plain double")
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, text_bytes: int = 65_536,
         dictionary: int = 112_640, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Learn from ``docs`` and ``labels`` (doc_id, label 0 or 1).
 
-    The sample is bounded: ``per_class`` ids of each label, those with the smallest hash, and of each the
-    first ``text_bytes`` bytes.  Half of them make the dictionaries, the other half the calibration.  Rows
-    without id, label or document are left out.  Without rows of one label, every text is scored as the
-    other one."""
+    The sample of rows is bounded: ``per_class`` ids of each label, those with the smallest hash.  Every
+    other one of them makes the dictionaries, which take at most ``text_bytes`` bytes of a text, as they have
+    room for ``dictionary`` bytes in all; the others calibrate on whole texts, compressed in Spark tasks, so
+    only three numbers a text come to the driver.  Rows without id or label are left out; an id without a
+    document counts in the sample but teaches nothing.  Without texts of one label for its dictionary, every
+    text is scored as the other one."""
     known = labels.select(F.col("doc_id").alias("own_id"), "label").filter("own_id is not null").distinct()
     ids = [known.filter(F.col("label") == label).orderBy(F.xxhash64("own_id"), "own_id").limit(per_class) for label in (0, 1)]
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    # At most 2 x per_class ids.
-    rows = texts.join(F.broadcast(ids[0].union(ids[1])), F.col("doc_id") == F.col("own_id")).select(
-        "label", "doc_id", F.substring(F.col("text").cast("binary"), 1, text_bytes).alias("text")).collect()
-    rows = sorted((r["label"], r["doc_id"], bytes(r["text"])) for r in rows)
-    bad, good = ([text for label, _, text in rows if label == own] for own in (0, 1))
+    # At most 2 x per_class rows of an id and a label.
+    chosen = sorted((int(r["label"]), r["own_id"]) for r in ids[0].union(ids[1]).collect())
+    sides = {label: [own for of, own in chosen if of == label] for label in (0, 1)}
+    parts = [(own, label, at % 2) for label in (0, 1) for at, own in enumerate(sides[label])]
+    schema = f"own_id {dict(known.dtypes)['own_id']}, label int, part int"
+    picked = F.broadcast(docs.sparkSession.createDataFrame(parts, schema))
+    texts = docs.select(F.col(id_col).alias("doc_id"),
+                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
+    sample = texts.join(picked, F.col("doc_id") == F.col("own_id"))
+    makers = sample.filter("part = 0").select("label", "doc_id", F.substring("text", 1, text_bytes).alias("text")).collect()
+    makers = sorted((r["label"], r["doc_id"], bytes(r["text"])) for r in makers)
+    bad, good = ([text for label, _, text in makers if label == own] for own in (0, 1))
     if not bad or not good:
         return Model(b"", b"", (0.0 if bad == good else 20.0 if good else -20.0, *[0.0] * 6))
-    raw = built(good[0::2], dictionary), built(bad[0::2], dictionary)
-    scorer = Scorer(*raw)
-    rest = [(t, 1) for t in good[1::2]] + [(t, 0) for t in bad[1::2]]
-    x = np.array([scorer.features(t) for t, _ in rest] or [(0.0, 0.0, 0.0)])
-    y = np.array([label for _, label in rest] or [1], float)
-    return Model(*raw, tuple(calibrated(x, y)))
+    raw = built(good, dictionary), built(bad, dictionary)
+    rows = features_of(sample.filter("part = 1").select("label", "text"), *raw, ["label"]).collect()
+    rows = sorted(tuple(r) for r in rows) or [(1, 0.0, 0.0, 0.0)]
+    return Model(*raw, tuple(calibrated(np.array([r[1:] for r in rows]), np.array([r[0] for r in rows], float))))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -112,13 +132,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     One row per input row, whatever the id; null and empty texts get the score of an empty one; texts
     alike get scores alike; an empty table gives no rows; extra columns are not read."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    weights = np.array(model.weights)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.good, model.bad)
-        for part in slices(batches, "text"):
-            x = np.array([scorer.features(t or b"") for t in part.column("text").to_pylist()])
-            p = 1 / (1 + np.exp(-np.clip(spread_features(x) @ weights, -30, 30)))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(p, pa.float64())], names=["doc_id", "score"])
-
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, score double")
+    constant, *weights = map(float, model.weights)
+    inputs = ["gain", "gain_of_packed", "plain"]
+    # The terms of ``spread_features``: the features, then their squares.
+    terms = [F.col(c) for c in inputs] + [F.col(c) * F.col(c) for c in inputs]
+    sum_of_terms = sum((F.lit(w) * t for w, t in zip(weights, terms, strict=True)), F.lit(constant))
+    bounded = F.greatest(F.least(sum_of_terms, F.lit(30.0)), F.lit(-30.0))
+    featured = features_of(rows, model.good, model.bad, ["doc_id"])
+    return featured.select("doc_id", (F.lit(1.0) / (F.lit(1.0) + F.exp(-bounded))).alias("score"))
