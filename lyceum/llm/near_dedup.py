@@ -154,9 +154,25 @@ def best_hubs(stars: DataFrame) -> DataFrame:
 
 
 def mixed_buckets(marked: DataFrame) -> DataFrame:
-    """The rows of buckets that hold members of two components."""
-    mixed = marked.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-    return marked.join(mixed.select("bucket"), "bucket", "left_semi")
+    """The rows of buckets that hold members of two components, with the component that has most of them."""
+    parts = marked.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("parts")).filter("parts > 1")
+    return marked.join(mixed.select("bucket", "main"), "bucket")
+
+
+def pairs_apart(rows: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different components in the same bucket that may link, each in the first bucket that it shares.
+
+    Members of a bucket's largest component do not meet each other: only the others go to the left side.
+    A pair has met in an earlier bucket if it shares one of the keys in ``before``, those of smaller places
+    in either collection; a key's value tells its place.  The condition is kept short, as the JVM runs long
+    generated methods without compiling them."""
+    left, right = (rows.select(*[F.col(c).alias(f"{c}_{x}") for c in rows.columns]) for x in "ab")
+    n, m = F.col("n_shingles_a"), F.col("n_shingles_b")
+    met = (F.col("bucket_a") == F.col("bucket_b")) & (F.col("component_a") != F.col("component_b")) & like_sizes(n, m, percent)
+    met = met & ((F.col("component_b") == F.col("main_b")) | (F.col("rep_a") > F.col("rep_b")))
+    met = met & ~F.arrays_overlap("before_a", "before_b") & may_link(n, m, F.col("sketch_a"), F.col("sketch_b"), percent)
+    return left.filter("component_a != main_a").join(right, met).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
 def hopeful(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -212,7 +228,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     central = saved(live.groupBy("rep").agg(F.sum("n").alias("met")), folder, "central")
     stars = live.join(hubs_of(live, central, 0).hint("merge"), "bucket").select("rep", F.explode("hubs").alias("hub")).filter("rep != hub")
     links = linked(best_hubs(stars), "first_links")
-    marked = mixed_buckets(merged(links, "first_groups"))
+    marked = mixed_buckets(merged(links, "first_groups")).drop("main")
     known = marked.groupBy("rep").agg(F.first("component").alias("other")).withColumnRenamed("rep", "hub")
     named = hubs_of(marked, central, 1).select("bucket", F.explode("hubs").alias("hub")).join(known.hint("merge"), "hub")
     stars = marked.join(named.hint("merge"), "bucket").filter("component != other")
@@ -220,16 +236,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
 
     # All pairs of different components in a bucket, each in the first bucket that it shares.
     second = merged(links, "second_groups")
+    before = F.concat(F.slice("keys", F.lit(1), F.col("i").cast("int")), F.slice("keys", F.lit(KEYS + 1), F.col("j").cast("int")))
     rows = (mixed_buckets(second).join(reps.join(members, "rep", "left_semi").hint("merge"), "rep").join(sketches.hint("merge"), "rep")
-            .select("bucket", "i", "j", "rep", "component", "n_shingles", "sketch", *[F.get("keys", F.lit(k)).alias(f"k{k}") for k in range(2 * KEYS)]))
-    left, right = (rows.select(*[F.col(c).alias(f"{c}_{x}") for c in rows.columns]) for x in "ab")
-    first = (F.col("bucket_a") == F.col("bucket_b")) & (F.col("rep_a") > F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
-    first = first & like_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"), percent)
-    for k in range(KEYS):
-        first = first & ((F.lit(k) >= F.col("i_a")) | (F.col(f"k{k}_a") != F.col(f"k{k}_b")))
-        first = first & ((F.lit(k) >= F.col("j_a")) | (F.col(f"k{KEYS + k}_a") != F.col(f"k{KEYS + k}_b")))
-    first = first & may_link(F.col("n_shingles_a"), F.col("n_shingles_b"), F.col("sketch_a"), F.col("sketch_b"), percent)
-    others = left.join(right, first).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+            .select("bucket", "main", "rep", "component", "n_shingles", "sketch", before.alias("before")))
+    others = pairs_apart(rows, percent)
     more = saved(confirmed(others, sets, percent), folder, "more_links")
     if more.isEmpty():
         ends = spark.read.parquet(f"{folder}/second_groups").select(F.col("node").alias("rep"), "component")
