@@ -75,3 +75,16 @@ def test_comparisons_grow_with_the_members(spark, table, monkeypatch):
     assert alike["confirmed"] <= 2 * near_dedup.HUBS * 300, alike
     apart = compared(spark, table, edited_copies(300, 3, 6), monkeypatch)
     assert max(alike["hopeful"], apart["hopeful"]) <= 2 * near_dedup.HUBS * 300, (alike, apart)
+
+
+def test_pairs_of_components_meet_once(spark):
+    """Every pair of different components in a bucket, in the first bucket that it shares; no pair inside one."""
+    keys = {rep: [100, 200 + rep % 2] + [900 + rep * 50 + k for k in range(2)] for rep in range(12)}  # place 0 is common to all
+    component = {rep: 0 if rep < 8 else rep for rep in keys}
+    rows = [(k * 1000 + keys[rep][k], k, rep, component[rep], 5, [1, 2, 3, 4, 5], keys[rep][:k]) for rep in keys for k in range(4)]
+    marked = spark.createDataFrame(rows, "bucket long, k int, rep long, component long, n_shingles long, sketch array<smallint>, before array<long>")
+    mixed = near_dedup.mixed_buckets(marked)
+    assert {r.main for r in mixed.collect()} == {0}
+    found = [tuple(sorted(r)) for r in near_dedup.pairs_apart(mixed.drop("k"), 80).collect()]
+    assert sorted(found) == sorted((a, b) for a in keys for b in keys if a < b and component[a] != component[b])
+    assert near_dedup.pairs_apart(mixed.drop("k").filter("false"), 80).count() == 0
