@@ -126,7 +126,7 @@ class Shape:
     bases: list[np.ndarray]  # per level, the first id of each shard, and the end
     tokens: int = 0          # N
     bits: int = 0            # for the ids of tokens, in keys (context, token)
-    min_count: int = 2       # of the n-grams kept in levels above the first
+    min_count: int = 1       # of the n-grams kept in levels above the first
 
     @property
     def distinct(self) -> int:
@@ -284,7 +284,7 @@ def bases_from(rows: list, shards: int) -> np.ndarray:
     return np.cumsum(sizes)
 
 
-def build(spark: SparkSession, train: DataFrame, order: int = 3, min_count: int = 2, discount: float = 0.75,
+def build(spark: SparkSession, train: DataFrame, order: int = 3, min_count: int = 1, discount: float = 0.75,
           shards: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> Shape:
     """Count all n-grams of the training texts and write the trie to the shared folder.
 
