@@ -236,7 +236,7 @@ def test_ngram_trie(spark, table):
     train = [(i, t) for i, t in ROWS if i is None or i % 3]
     tokens = lambda t: [*plain.words(plain.lower(t)), "\n"]
     score, base, total, counts = plain.model([tokens(t) for _, t in train])
-    shape = ngram_trie.build(spark, table(train), shards=3)
+    shape = ngram_trie.build(spark, table(train), shards=3, min_count=2)
     assert shape.tokens == total and shape.distinct == len(counts)
     found = ngram_trie.score(table(ROWS), shape).collect()
     expected = {}
@@ -248,13 +248,13 @@ def test_ngram_trie(spark, table):
         options = expected[r.doc_id, r.n_tokens, r.n_known]
         assert any(abs(r.base_score - b) < 1e-6 and abs(r.score - s) < 1e-3 * r.n_tokens for b, s in options)
     assert ngram_trie.score(table([]), shape).count() == 0
-    empty = ngram_trie.build(spark, table([]), shards=2)
+    empty = ngram_trie.build(spark, table([]), shards=2, min_count=2)
     assert all(r.n_known == 0 and r.score == 0 for r in ngram_trie.score(table(ROWS[:5]), empty).collect())
 
 
 def test_probabilities_of_a_context_sum_to_one(spark, table):
     train = [(k, "a b a c a b a d b a b") for k in range(4)]
-    shape = ngram_trie.build(spark, table(train), shards=2)
+    shape = ngram_trie.build(spark, table(train), shards=2, min_count=2)
     alone = {r.doc_id: r.score for r in ngram_trie.score(table([(0, "a b")]), shape).collect()}[0]
     rows = [(k, f"a b {w}") for k, w in enumerate(["a", "b", "c", "d", "unknown"])]
     from math import log10
