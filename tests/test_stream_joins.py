@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from test_buckets import At, given
 
 from lyceum.operators.windows import watermark
-from lyceum.queries import streams
+from lyceum.queries import live, streams
 from lyceum.streaming import jobs, joins, state
 
 DAY = state.DAY_MS
@@ -134,7 +134,7 @@ def test_partners_meet_across_pieces(spark, frame):
     assert tuples(spark.read.parquet(made[0]), "n", "v") == tuples(wanted) and wanted.count() > 1000
 
 
-@pytest.mark.parametrize("make", [streams.stream_order_lines])
+@pytest.mark.parametrize("make", [streams.stream_order_lines, live.stream_pay_suc_detail, live.stream_order_detail])
 def test_streams_use_no_join_by_rows(spark, monkeypatch, make):
     plans = []
 
