@@ -138,3 +138,41 @@ def test_packed_rows_are_thinned_and_come_back_whole(spark, frame):
     wanted = df.where("ts IS NOT NULL").groupBy("k", F.to_date("ts")).agg(F.min("ts")).count()
     assert wanted <= thin.count() <= wanted * df.rdd.getNumPartitions()
     assert state._packed(df, ["k"], "ts").count() <= 3 * df.rdd.getNumPartitions()
+
+
+def test_bounces_of_many_visitors():
+    """A bucket's visitors at once, against a plain loop; rows come out of order within a lateness of 300."""
+    from test_stream_joins import One
+
+    rnd, handle, settled = random.Random(3), Handle(), One()
+    handle.getValueState = lambda *_: settled
+    processor = state.BouncesOfBuckets(100)
+    processor.init(handle)
+    rows, found, calls, clock = [], [], 0, 0
+    for batch in range(41):
+        mark = clock - 300
+        new = []
+        for _ in range(120):
+            clock += rnd.randrange(6)
+            t = clock - rnd.randrange(299)
+            new.append({"_key": f"k{rnd.randrange(12)}", "_t": t, "_start": rnd.random() < 0.5, "id": len(rows) + len(new)})
+        if batch == 40:
+            clock += 10_000
+            new = [{"_key": "end", "_t": clock, "_start": False, "id": -1}]
+        late = [{"_key": "k0", "_t": mark - 1, "_start": True, "id": -2}] if settled.exists() and settled.get()[0] >= mark - 1 else []
+        rows += new
+        list(processor.handleInputRows((0,), packed(new + late), At(mark)))
+        calls += 1
+        while handle.timers and min(handle.timers) <= clock - 300:
+            due = min(handle.timers)
+            handle.timers.remove(due)
+            calls += 1
+            found += [r["id"] for r in given(processor.handleExpiredTimer((0,), At(clock - 300), At(due)))]
+    wanted = []
+    for visitor in {r["_key"] for r in rows}:
+        own = sorted((r for r in rows if r["_key"] == visitor), key=lambda r: (r["_t"], r["id"]))
+        for row, after in zip(own, [*own[1:], None]):
+            if row["_start"] and (after is None or after["_start"] or after["_t"] - row["_t"] >= 100):
+                wanted.append(row["id"])
+    assert sorted(found) == sorted(wanted) and len(found) > 1000 and calls < 500
+    assert not handle.lists["held"].entries or len(state._listed(handle.lists["held"])) == 1
