@@ -18,6 +18,7 @@ on whole sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ from lyceum.session import scratch_path
 KEYS = 10      # keys in each collection
 HUBS = 3       # central members that a bucket names in a round, and that a member is compared with
 SKETCH = 256   # smallest members of a set, by which hopeless pairs are told; smaller sets are compared whole
+BITS = 512     # one of each of as many further minhashes, by which hopeless pairs of a bucket are told
 
 
 def table_keys(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -41,6 +43,13 @@ def table_keys(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         return mixed(found[:, 0::2] * np.uint64(0x9E3779B97F4A7C15) + found[:, 1::2] + np.arange(2 * KEYS, dtype=np.uint64), 5).view(np.int64)
 
 
+def minhash_bits(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """BITS bits per set, as rows of 64-bit words: one of each minhash drawn after those of the keys."""
+    with np.errstate(over="ignore"):
+        bits = mixed(minhashes(values, bounds, BITS, seed=20_240_518), 17).astype(np.uint8) & np.uint8(1)
+    return np.packbits(bits, axis=1, bitorder="little").view("<i8")
+
+
 def features(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, tie, n_shingles, set_a, set_b and keys of every document; the last three are null where the
     set is empty."""
@@ -67,7 +76,8 @@ def features(docs: DataFrame, width: int) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, sketch, members): 16 bits of each of the smallest members, and all members as bytes."""
+    """(doc_id, n_shingles, sketch, bits, keys, members): 16 bits of each of the smallest members, one bit of
+    each of some minhashes, the keys of tables, and all members as bytes.  Every set has members."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Hashes()
         for part in slices(batches, "text"):
@@ -76,10 +86,12 @@ def whole_sets(docs: DataFrame, width: int) -> DataFrame:
             sketches = [(values[s:min(e, s + SKETCH)] & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16) for s, e in cuts]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(sketches, pa.list_(pa.int16())),
+                 pa.array(list(minhash_bits(values, bounds)), pa.list_(pa.int64())), pa.array(list(table_keys(values, bounds)), pa.list_(pa.int64())),
                  pa.array([values[s:e].tobytes() for s, e in cuts], pa.binary())],
-                names=["doc_id", "n_shingles", "sketch", "members"])
+                names=["doc_id", "n_shingles", "sketch", "bits", "keys", "members"])
 
-    return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, sketch array<smallint>, members binary")
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, sketch array<smallint>, bits array<long>, keys array<long>, members binary")
 
 
 def like_sizes(n: Column, m: Column, percent: int) -> Column:
@@ -102,6 +114,25 @@ def may_link(n: Column, m: Column, sketch: Column, other: Column, percent: int)
     return F.size(F.array_intersect(sketch, other)) >= r * k - slack
 
 
+def most_apart(percent: int, bits: int = BITS) -> int:
+    """How many of ``bits`` minhash bits may differ.
+
+    A bit of sets that are just alike enough differs with a probability of (1 - percent / 100) / 2.  Sums of
+    that distribution are exact: a pair alike enough has more differences with a probability below 1e-5."""
+    p = (1 - percent / 100) / 2
+    rest, d = 1.0, -1
+    while rest >= 1e-5:
+        d += 1
+        rest -= comb(bits, d) * p**d * (1 - p)**(bits - d)
+    return d
+
+
+def bits_near(one: Column, two: Column, percent: int) -> Column:
+    """False if too many bits differ."""
+    apart = [F.bit_count(F.get(one, F.lit(k)).bitwiseXOR(F.get(two, F.lit(k)))) for k in range(BITS // 64)]
+    return sum(apart[1:], apart[0]) <= most_apart(percent)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are alike enough."""
     one = sets.select(F.col("doc_id").alias("a"), F.col("members").alias("x"))
@@ -165,13 +196,17 @@ def pairs_apart(rows: DataFrame, percent: int) -> DataFrame:
 
     Members of a bucket's largest component do not meet each other: only the others go to the left side.
     A pair has met in an earlier bucket if it shares one of the keys in ``before``, those of smaller places
-    in either collection; a key's value tells its place.  The condition is kept short, as the JVM runs long
-    generated methods without compiling them."""
+    in either collection; a key's value tells its place.  Rows may carry minhash
+    bits; their sketch may be null, as those of large sets would be most of what is shuffled.  The condition
+    is kept short, as the JVM runs long generated methods without compiling them."""
     left, right = (rows.select(*[F.col(c).alias(f"{c}_{x}") for c in rows.columns]) for x in "ab")
     n, m = F.col("n_shingles_a"), F.col("n_shingles_b")
     met = (F.col("bucket_a") == F.col("bucket_b")) & (F.col("component_a") != F.col("component_b")) & like_sizes(n, m, percent)
     met = met & ((F.col("component_b") == F.col("main_b")) | (F.col("rep_a") > F.col("rep_b")))
-    met = met & ~F.arrays_overlap("before_a", "before_b") & may_link(n, m, F.col("sketch_a"), F.col("sketch_b"), percent)
+    if "bits" in rows.columns:
+        met = met & bits_near(F.col("bits_a"), F.col("bits_b"), percent)
+    met = met & ~F.arrays_overlap("before_a", "before_b")
+    met = met & F.coalesce(may_link(n, m, F.col("sketch_a"), F.col("sketch_b"), percent), F.lit(True))
     return left.filter("component_a != main_a").join(right, met).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
@@ -237,8 +272,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     # All pairs of different components in a bucket, each in the first bucket that it shares.
     second = merged(links, "second_groups")
     before = F.concat(F.slice("keys", F.lit(1), F.col("i").cast("int")), F.slice("keys", F.lit(KEYS + 1), F.col("j").cast("int")))
-    rows = (mixed_buckets(second).join(reps.join(members, "rep", "left_semi").hint("merge"), "rep").join(sketches.hint("merge"), "rep")
-            .select("bucket", "main", "rep", "component", "n_shingles", "sketch", before.alias("before")))
+    whole = F.when(F.col("n_shingles") <= SKETCH, F.col("sketch")).alias("sketch")
+    known = sets.select(F.col("doc_id").alias("rep"), "n_shingles", whole, "bits", "keys")
+    rows = (mixed_buckets(second).join(known.hint("merge"), "rep")
+            .select("bucket", "main", "rep", "component", "n_shingles", "sketch", "bits", before.alias("before")))
     others = pairs_apart(rows, percent)
     more = saved(confirmed(others, sets, percent), folder, "more_links")
     if more.isEmpty():

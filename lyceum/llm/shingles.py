@@ -45,9 +45,9 @@ def set_keys(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return tuple(per_document(mixed(values, seed), bounds, np.add) for seed in (11, 29))
 
 
-def minhashes(values: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
+def minhashes(values: np.ndarray, bounds: np.ndarray, n: int, seed: int = 20_240_517) -> np.ndarray:
     """``n`` minhashes of each text, as rows; members are hashes, so one multiplication reorders them."""
-    draw = np.random.default_rng(20_240_517)
+    draw = np.random.default_rng(seed)
     flips = draw.integers(0, 1 << 63, n, np.int64).astype(np.uint64)
     factors = draw.integers(0, 1 << 63, n, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
     found = np.empty((len(bounds) - 1, n), np.uint64)
