@@ -35,17 +35,23 @@ def unpacked(words: np.ndarray, width: int, at: np.ndarray) -> np.ndarray:
     return (low | high) & np.uint64((1 << width) - 1)
 
 
+BYTES = np.uint64(0x0101010101010101)
+# Place of the n-th one in each byte, for n from 0 on; what is not there is 0.
+PLACES = np.array([([k for k in range(8) if byte >> k & 1] + [0] * 8)[:8] for byte in range(256)], np.uint8).ravel()
+
+
 def nth_set(words: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Place of the n-th one (from 0 on) in each word, by halving."""
-    words, place = words.copy(), np.zeros(len(words), np.uint64)
+    """Place of the n-th one (from 0 on) in each word, which must have so many: by ones up to each byte, then
+    by a table."""
+    words = np.ascontiguousarray(words, "<u8")
+    ones = np.bitwise_count(words.view(np.uint8)).view("<u8") * BYTES  # byte k: ones in bytes 0 to k
     n = n.astype(np.uint64)
-    for half in (32, 16, 8, 4, 2, 1):
-        ones = np.bitwise_count(words & np.uint64((1 << half) - 1)).astype(np.uint64)
-        up = ones <= n
-        n = np.where(up, n - ones, n)
-        words = np.where(up, words >> np.uint64(half), words)
-        place = np.where(up, place + np.uint64(half), place)
-    return place.astype(np.int64)
+    # A byte of 128 + n - ones keeps its highest bit where ones <= n; no byte borrows from the next.
+    low = (((n * BYTES) | (BYTES << np.uint64(7))) - ones) & (BYTES << np.uint64(7))
+    shift = np.bitwise_count(low).astype(np.uint64) << np.uint64(3)
+    n = n - (((ones << np.uint64(8)) >> shift) & np.uint64(255))
+    byte = (words >> shift) & np.uint64(255)
+    return (shift + PLACES[((byte << np.uint64(3)) | n).astype(np.int64)]).astype(np.int64)
 
 
 class EliasFano:

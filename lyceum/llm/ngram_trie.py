@@ -190,12 +190,18 @@ class Trie:
             if (level, shard) not in self.sequences:
                 self.sequences[level, shard] = EliasFano.loaded(data, "contexts"), EliasFano.loaded(data, "pointers")
             contexts, pointers = self.sequences[level, shard]
-            place = contexts.find(context[at].astype(np.uint64))
-            at, place = at[place >= 0], place[place >= 0]
-            if not len(at):
+            # Neighbours that share their context ask for it once.
+            new = np.concatenate([[True], context[at[1:]] != context[at[:-1]]])
+            place = contexts.find(context[at[new]].astype(np.uint64))
+            known = place >= 0
+            if not known.any():
                 continue
-            lo, end = pointers.at(place).astype(np.int64), pointers.at(place + 1).astype(np.int64)
-            hi, own = end.copy(), token[at].astype(np.uint64)
+            lo, end = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+            lo[known], end[known] = pointers.at(place[known]), pointers.at(place[known] + 1)
+            asked = np.cumsum(new) - 1
+            asked, at = asked[known[asked]], at[known[asked]]
+            lo, end = lo[asked], end[asked]
+            hi, own = end.copy(), token[at].astype(data["followers"].dtype)
             followers = data["followers"]
             while len(todo := np.flatnonzero(lo < hi)):  # successor search among the followers of the context
                 mid = (lo[todo] + hi[todo]) // 2
