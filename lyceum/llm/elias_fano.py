@@ -5,6 +5,8 @@ queries are for arrays at a time, and every array may be memory-mapped."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 
@@ -54,11 +56,30 @@ def nth_set(words: np.ndarray, n: np.ndarray) -> np.ndarray:
     return (shift + PLACES[((byte << np.uint64(3)) | n).astype(np.int64)]).astype(np.int64)
 
 
+def successors(number: Callable[[np.ndarray], np.ndarray], begin: np.ndarray, end: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """For each range of places with ordered numbers, the first place of the wanted one, if it is there; else
+    any place of the range (of an empty one, its begin).  All ranges are halved at a time; those of one place
+    are put aside when they are many."""
+    found, size = begin.copy(), end - begin
+    at = np.arange(len(found))
+    begin = found.copy()
+    while len(more := np.flatnonzero(size > 1)):
+        if 2 * len(more) < len(size) or not size.all():
+            found[at] = begin
+            at, begin, size, wanted = at[more], begin[more], size[more], wanted[more]
+        half = size >> 1
+        begin += half * (number(begin + np.maximum(half - 1, 0)) < wanted)
+        size -= half
+    found[at] = begin
+    return found
+
+
 class EliasFano:
     """``arrays`` holds everything; ``n`` numbers with ``width`` lower bits."""
 
     def __init__(self, n: int, width: int, upper: np.ndarray, ones: np.ndarray, lower: np.ndarray):
         self.n, self.width, self.upper, self.ones, self.lower = n, width, upper, ones, lower
+        self.zeros: np.ndarray | None = None  # before each word, counted when first asked for
 
     @classmethod
     def of(cls, values: np.ndarray, universe: int) -> "EliasFano":
@@ -83,17 +104,28 @@ class EliasFano:
     def at(self, i: np.ndarray) -> np.ndarray:
         """The numbers at places i."""
         word = np.searchsorted(self.ones, i, side="right") - 1
+        return self.inside(word, i)
+
+    def inside(self, word: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """The numbers at places i, whose upper bits are in the given words."""
         place = word * 64 + nth_set(self.upper[word], i - self.ones[word].astype(np.int64))
         high = (place - i).astype(np.uint64)
         return (high << np.uint64(self.width)) | unpacked(self.lower, self.width, i)
 
-    def begin(self, high: np.ndarray) -> np.ndarray:
-        """How many numbers have upper bits below ``high``."""
-        zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones.astype(np.int64)
+    def at_both(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers at places i and i + 1."""
+        word = np.searchsorted(self.ones, i, side="right") - 1
+        return self.inside(word, i), self.inside(moved(self.ones, word, i + 1), i + 1)
+
+    def bounds(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many numbers have upper bits below ``high``, and how many not above."""
+        if self.zeros is None:
+            self.zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones.astype(np.int64)
         k = np.maximum(high - 1, 0)
-        word = np.searchsorted(zeros, k, side="right") - 1
-        place = word * 64 + nth_set(~self.upper[word], k - zeros[word])
-        return np.where(high > 0, place - k, 0)
+        word = np.searchsorted(self.zeros, k, side="right") - 1
+        below = word * 64 + nth_set(~self.upper[word], k - self.zeros[word]) - k
+        word = moved(self.zeros, word, high)
+        return np.where(high > 0, below, 0), word * 64 + nth_set(~self.upper[word], high - self.zeros[word]) - high
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """Place of the first number that is not smaller, if it is equal; else -1.
@@ -103,16 +135,16 @@ class EliasFano:
         low = values & np.uint64((1 << self.width) - 1)
         inside = high <= int(len(self.upper) * 64 - self.n - 2)
         high = np.where(inside, high, 0)
-        lo, end = self.begin(high), self.begin(high + 1)
-        hi = end.copy()
-        while True:
-            open_ones = np.flatnonzero(lo < hi)
-            if not len(open_ones):
-                break
-            mid = (lo[open_ones] + hi[open_ones]) // 2
-            less = unpacked(self.lower, self.width, mid) < low[open_ones]
-            lo[open_ones] = np.where(less, mid + 1, lo[open_ones])
-            hi[open_ones] = np.where(less, hi[open_ones], mid)
-        same = inside & (lo < end)
-        same[same] = unpacked(self.lower, self.width, lo[same]) == low[same]
-        return np.where(same, lo, -1)
+        begin, end = self.bounds(high)
+        place = successors(lambda at: unpacked(self.lower, self.width, at), begin, end, low)
+        same = inside & (begin < end)
+        same[same] = unpacked(self.lower, self.width, place[same]) == low[same]
+        return np.where(same, place, -1)
+
+
+def moved(before: np.ndarray, word: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """The last word with at most k before it, for words that are this one or, seldom, come after it."""
+    word = word.copy()
+    later = np.flatnonzero(before[word + 1] <= k)
+    word[later] = np.searchsorted(before, k[later], side="right") - 1
+    return word

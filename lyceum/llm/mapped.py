@@ -67,6 +67,7 @@ class Store:
                     own.write(piece)
                 own.flush()
                 raw = np.memmap(own, np.uint8, "r")
+        raw = np.asarray(raw)  # views of a plain array cost less than those of a map
         size = int(raw[:8].view("<u8")[0])
         head = json.loads(raw[8:8 + size].tobytes())
         return {k: raw[8 + size + at: 8 + size + at + n * np.dtype(kind).itemsize].view(kind) for k, (kind, at, n) in head.items()}

@@ -26,9 +26,9 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lyceum.llm.elias_fano import EliasFano
+from lyceum.llm.elias_fano import EliasFano, successors
 from lyceum.llm.mapped import Store
-from lyceum.llm.words import WORD, Hashes, hashed, mixed, slices
+from lyceum.llm.words import distinct, lowered_hashes, mixed, order_of, slices
 from lyceum.session import scratch_path
 
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no token holds a line feed
@@ -46,6 +46,15 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return (((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
 
 
+def grouped(shard: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The places of each shard's values, in order."""
+    shard = shard.astype(np.min_scalar_type(shards))  # 16 bits are sorted by counting
+    order = np.argsort(shard, kind="stable")
+    ends = np.cumsum(np.bincount(shard, minlength=shards))
+    for own in np.flatnonzero(np.diff(ends, prepend=0)):
+        yield int(own), order[ends[own - 1] if own else 0: ends[own]]
+
+
 def packed(values: np.ndarray) -> bytes:
     """Values of eight bytes, laid out by significance: most of those bytes are alike and compress to little."""
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes())
@@ -58,7 +67,7 @@ def unpacked(blob: bytes, kind: str) -> np.ndarray:
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, with the sums of their counts."""
-    order = np.argsort(keys, kind="stable")
+    order = order_of(keys)
     keys, counts = keys[order], counts[order]
     new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
     return keys[new], np.add.reduceat(counts, new) if len(new) else counts
@@ -91,17 +100,15 @@ class Tally:
     def rows(self) -> Iterator[pa.RecordBatch]:
         self.merge()
         if self.size:
-            yield from sent(*self.parts[0], self.place(self.parts[0][0]))
+            yield from sent(*self.parts[0], self.place(self.parts[0][0]), self.shards)
         self.parts, self.size = [], 0
 
 
-def sent(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> Iterator[pa.RecordBatch]:
+def sent(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
     """Keys in order and their counts, a row for each shard; of the keys the steps between them are sent."""
-    order = np.argsort(shard, kind="stable")
-    cuts = np.flatnonzero(np.diff(shard[order])) + 1
-    for at in np.split(order, cuts) if len(order) else []:
+    for own, at in grouped(shard, shards):
         yield pa.RecordBatch.from_arrays(
-            [pa.array([int(shard[at[0]])], pa.int32()), pa.array([packed(np.diff(keys[at], prepend=np.uint64(0)))], pa.binary()),
+            [pa.array([own], pa.int32()), pa.array([packed(np.diff(keys[at], prepend=np.uint64(0)))], pa.binary()),
              pa.array([packed(counts[at])], pa.binary())], names=["shard", "keys", "counts"])
 
 
@@ -146,15 +153,10 @@ class Trie:
             self.files[name] = self.store.read(name)
         return self.files[name]
 
-    def each_shard(self, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(shard, kind="stable")
-        for at in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []:
-            yield int(shard[at[0]]), at
-
     def tokens(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id (-1: unknown) and count of each token."""
         ids, counts = np.full(len(hashes), -1), np.zeros(len(hashes), np.int64)
-        for shard, at in self.each_shard(shard_of(hashes, self.shape.shards)):
+        for shard, at in grouped(shard_of(hashes, self.shape.shards), self.shape.shards):
             if self.shape.bases[0][shard + 1] == self.shape.bases[0][shard]:
                 continue
             level = self.file(f"counts1-{shard}")
@@ -168,7 +170,7 @@ class Trie:
         """Values that the files ``name`` hold for nodes of a level."""
         bases = self.shape.bases[level - 1]
         found = np.zeros(len(ids), np.int64)
-        for shard, at in self.each_shard(np.searchsorted(bases, ids, side="right") - 1):
+        for shard, at in grouped(np.searchsorted(bases, ids, side="right") - 1, self.shape.shards):
             found[at] = self.file(f"{name}{level}-{shard}")[key][ids[at] - bases[shard]]
         return found
 
@@ -179,11 +181,13 @@ class Trie:
     def keys(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
         return (context.astype(np.uint64) << np.uint64(self.shape.bits)) | token.astype(np.uint64)
 
-    def find(self, level: int, context: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Node (-1: not kept) and log10 probability of (context, token) in a level above the first."""
+    def find(self, level: int, context: np.ndarray, token: np.ndarray,
+             left: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Node (-1: not kept) and log10 probability of (context, token) in a level above the first; ``left``
+        takes what the nodes leave."""
         nodes, logs = np.full(len(context), -1), np.zeros(len(context))
         bases = self.shape.bases[level - 1]
-        for shard, at in self.each_shard(shard_of(mixed(self.keys(context, token), level), self.shape.shards)):
+        for shard, at in grouped(shard_of(mixed(self.keys(context, token), level), self.shape.shards), self.shape.shards):
             if bases[shard + 1] == bases[shard]:
                 continue
             data = self.file(f"level{level}-{shard}")
@@ -197,21 +201,18 @@ class Trie:
             if not known.any():
                 continue
             lo, end = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
-            lo[known], end[known] = pointers.at(place[known]), pointers.at(place[known] + 1)
+            lo[known], end[known] = pointers.at_both(place[known])
             asked = np.cumsum(new) - 1
             asked, at = asked[known[asked]], at[known[asked]]
-            lo, end = lo[asked], end[asked]
-            hi, own = end.copy(), token[at].astype(data["followers"].dtype)
             followers = data["followers"]
-            while len(todo := np.flatnonzero(lo < hi)):  # successor search among the followers of the context
-                mid = (lo[todo] + hi[todo]) // 2
-                less = followers[mid] < own[todo]
-                lo[todo] = np.where(less, mid + 1, lo[todo])
-                hi[todo] = np.where(less, hi[todo], mid)
-            same = lo < end
-            same[same] = followers[lo[same]] == own[same]
-            nodes[at[same]] = lo[same] + bases[shard]
-            logs[at[same]] = self.file(f"codes{level}-{shard}")["codes"][lo[same]] * -STEP
+            own = token[at].astype(followers.dtype)
+            lo = successors(followers.__getitem__, lo[asked], end[asked], own)
+            same = followers[lo] == own
+            at, lo = at[same], lo[same]
+            nodes[at] = lo + bases[shard]
+            logs[at] = self.file(f"codes{level}-{shard}")["codes"][lo] * -STEP
+            if left is not None:
+                left[at] = self.file(f"left{level}-{shard}")["codes"][lo] * -STEP
         return nodes, logs
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
@@ -230,21 +231,26 @@ class Read:
     left: np.ndarray
 
 
-def token_hashes(texts: list[bytes | None], table: Hashes) -> tuple[np.ndarray, np.ndarray]:
-    flat, bounds = hashed([WORD.findall(t.lower()) if t else [] for t in texts], table)  # bytes: ASCII only
-    return np.insert(flat, bounds[1:], END), bounds + np.arange(len(bounds))
+def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    flat, bounds = lowered_hashes(texts)
+    ends = bounds[1:] + np.arange(len(bounds) - 1)
+    word = np.ones(len(flat) + len(ends), bool)
+    word[ends] = False
+    hashes = np.full(len(word), END)
+    hashes[word] = flat
+    return hashes, bounds + np.arange(len(bounds))
 
 
-def read(trie: Trie, texts: list[bytes | None], table: Hashes, with_left: bool = False) -> Read:
-    flat, bounds = token_hashes(texts, table)
-    distinct, inverse = np.unique(flat, return_inverse=True)
-    ids, counts = trie.tokens(distinct)
+def read(trie: Trie, texts: pa.Array, with_left: bool = False) -> Read:
+    flat, bounds = token_hashes(texts)
+    at, number = distinct(flat)
+    ids, counts = trie.tokens(flat[at])
     first = np.zeros(len(flat), bool)
     first[bounds[:-1]] = True
-    left = np.zeros(len(distinct))
+    left = np.zeros(len(at))
     if with_left:
         left[ids >= 0] = trie.left(1, ids[ids >= 0])
-    return Read(ids[inverse], counts[inverse], bounds, first, left[inverse])
+    return Read(ids[number], counts[number], bounds, first, left[number])
 
 
 def contexts_of(trie: Trie, text: Read, level: int, min_count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -255,7 +261,9 @@ def contexts_of(trie: Trie, text: Read, level: int, min_count: int) -> tuple[np.
     at = np.flatnonzero(~text.first & often & np.concatenate([[False], often[:-1]]))
     nodes = text.ids[at - 1]
     for k in range(2, level):
-        inside = np.isin(at - 1, at) if len(at) else np.empty(0, bool)
+        ends = np.zeros(len(text.ids), bool)
+        ends[at] = True
+        inside = ends[at - 1]
         place = np.full(len(text.ids), -1)
         place[at] = found_nodes(trie, k, nodes, text.ids[at])[0]
         at = at[inside]
@@ -267,12 +275,10 @@ def contexts_of(trie: Trie, text: Read, level: int, min_count: int) -> tuple[np.
 def found_nodes(trie: Trie, level: int, context: np.ndarray, token: np.ndarray,
                 with_left: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``Trie.find``, asked once for each distinct pair, and what the nodes leave, if asked for."""
-    keys, first, inverse = np.unique(trie.keys(context, token), return_index=True, return_inverse=True)
-    nodes, logs = trie.find(level, context[first], token[first])
-    left = np.zeros(len(nodes))
-    if with_left:
-        left[nodes >= 0] = trie.left(level, nodes[nodes >= 0])
-    return nodes[inverse], logs[inverse], left[inverse]
+    at, number = distinct(trie.keys(context, token))
+    left = np.zeros(len(at))
+    nodes, logs = trie.find(level, context[at], token[at], left if with_left else None)
+    return nodes[number], logs[number], left[number]
 
 
 def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -304,9 +310,9 @@ def build(spark: SparkSession, train: DataFrame, order: int = 3, min_count: int
     shape = Shape(uri, shards, discount, [], min_count=min_count)
 
     def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, tally = Hashes(), Tally(shards, lambda keys: shard_of(keys, shards))
+        tally = Tally(shards, lambda keys: shard_of(keys, shards))
         for part in slices(batches, "text", SLICE):
-            yield from tally.add(token_hashes(part.column("text").to_pylist(), table)[0])
+            yield from tally.add(token_hashes(part.column("text"))[0])
         yield from tally.rows()
 
     def write_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,10 +337,10 @@ def add_level(spark: SparkSession, texts: DataFrame, shape: Shape, level: int, m
         raise ValueError("too many contexts for 64-bit keys: raise min_count")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, table = Trie(shape), Hashes()
+        trie = Trie(shape)
         tally = Tally(shards, lambda keys: shard_of(mixed(keys, level), shards))
         for part in slices(batches, "text", SLICE):
-            text = read(trie, part.column("text").to_pylist(), table)
+            text = read(trie, part.column("text"))
             at, nodes = contexts_of(trie, text, level, min_count)
             yield from tally.add(trie.keys(nodes, text.ids[at]))
         yield from tally.rows()
@@ -358,7 +364,7 @@ def add_level(spark: SparkSession, texts: DataFrame, shape: Shape, level: int, m
                 [pa.array([shard], pa.int32()), pa.array([None], pa.binary()), pa.array([None], pa.binary()),
                  pa.array([len(keys)], pa.int64())], names=["shard", "keys", "counts", "n"])
             contexts, taken = summed(keys >> np.uint64(shape.bits), counts - discount)
-            for batch in sent(contexts, taken, np.searchsorted(bases, contexts.astype(np.int64), side="right") - 1):
+            for batch in sent(contexts, taken, np.searchsorted(bases, contexts.astype(np.int64), side="right") - 1, shards):
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([None], pa.int64())], names=["shard", "keys", "counts", "n"])
 
     path = scratch_path(spark, "taken")
@@ -392,19 +398,18 @@ def add_level(spark: SparkSession, texts: DataFrame, shape: Shape, level: int, m
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The quantised probabilities of a shard."""
+        trie = Trie(shape)
         for batch in batches:
             for shard in batch.column("shard").to_pylist():
                 if bases[shard + 1] == bases[shard]:
                     continue
-                trie = Trie(shape)
                 data, counts = trie.file(f"level{level}-{shard}"), trie.file(f"counts{level}-{shard}")["counts"]
                 contexts, pointers = EliasFano.loaded(data, "contexts"), EliasFano.loaded(data, "pointers")
-                context = np.repeat(contexts.at(np.arange(contexts.n)).astype(np.int64),
-                                    np.diff(pointers.at(np.arange(pointers.n)).astype(np.int64)))
-                token = data["followers"].astype(np.int64)
-                below = log_probability(trie, level - 1, context, token)
-                p = (counts - discount) / trie.of_nodes(level - 1, "counts", context, "counts") + 10.0 ** (
-                    trie.left(level - 1, context) + below)
+                context = contexts.at(np.arange(contexts.n)).astype(np.int64)
+                times = np.diff(pointers.at(np.arange(pointers.n)).astype(np.int64))
+                below = log_probability(trie, level - 1, context, times, data["followers"].astype(np.int64))
+                p = (counts - discount) / np.repeat(trie.of_nodes(level - 1, "counts", context, "counts"), times) + 10.0 ** (
+                    np.repeat(trie.left(level - 1, context), times) + below)
                 Store(uri).write(f"codes{level}-{shard}", {"codes": quantised(np.log10(np.minimum(p, 1.0)))})
             yield batch
 
@@ -412,15 +417,17 @@ def add_level(spark: SparkSession, texts: DataFrame, shape: Shape, level: int, m
     shape.bases.append(bases)
 
 
-def log_probability(trie: Trie, level: int, context: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """log10 p(token | context without its first token), for contexts that are nodes of ``level``."""
+def log_probability(trie: Trie, level: int, context: np.ndarray, times: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """log10 p(token | context without its first token), for contexts that are nodes of ``level``, each with so
+    many tokens."""
+    at, number = distinct(token.astype(np.uint64))
+    single = trie.unigram(trie.of_nodes(1, "counts", token[at], "counts"))[number]
     if level == 1:
-        return trie.unigram(trie.of_nodes(1, "counts", token, "counts"))
+        return single
     # The last token of each context, a context of level 1 itself; above level 3 this would be its suffix.
     suffix = trie.of_nodes(level, "level", context, "followers")
-    nodes, logs, _ = found_nodes(trie, 2, suffix, token)
-    shorter = trie.left(1, suffix) + trie.unigram(trie.of_nodes(1, "counts", token, "counts"))
-    return np.where(nodes >= 0, logs, shorter)
+    nodes, logs, _ = found_nodes(trie, 2, np.repeat(suffix, times), token)
+    return np.where(nodes >= 0, logs, np.repeat(trie.left(1, suffix), times) + single)
 
 
 def score(docs: DataFrame, shape: Shape, min_count: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -434,9 +441,9 @@ def score(docs: DataFrame, shape: Shape, min_count: int | None = None, id_col: s
     order = len(shape.bases)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, table = Trie(shape), Hashes()
+        trie = Trie(shape)
         for part in slices(batches, "text", SLICE):
-            text = read(trie, part.column("text").to_pylist(), table, with_left=order > 1)
+            text = read(trie, part.column("text"), with_left=order > 1)
             base = trie.unigram(text.counts)
             logs = base.copy()
             often = text.counts >= min_count
