@@ -75,11 +75,10 @@ def successors(number: Callable[[np.ndarray], np.ndarray], begin: np.ndarray, en
 
 
 class EliasFano:
-    """``arrays`` holds everything; ``n`` numbers with ``width`` lower bits."""
+    """``arrays`` holds everything; ``n`` numbers with ``width`` lower bits; ones and zeros before each word."""
 
-    def __init__(self, n: int, width: int, upper: np.ndarray, ones: np.ndarray, lower: np.ndarray):
-        self.n, self.width, self.upper, self.ones, self.lower = n, width, upper, ones, lower
-        self.zeros: np.ndarray | None = None  # before each word, counted when first asked for
+    def __init__(self, n: int, width: int, upper: np.ndarray, ones: np.ndarray, zeros: np.ndarray, lower: np.ndarray):
+        self.n, self.width, self.upper, self.ones, self.zeros, self.lower = n, width, upper, ones, zeros, lower
 
     @classmethod
     def of(cls, values: np.ndarray, universe: int) -> "EliasFano":
@@ -90,20 +89,22 @@ class EliasFano:
         bits[high + np.arange(n)] = 1
         upper = words_from_bits(bits)
         ones = np.concatenate([[0], np.cumsum(np.bitwise_count(upper), dtype=np.uint32)]).astype(np.uint32)
-        return cls(n, width, upper, ones, packed(values, width))
+        zeros = (np.arange(len(ones)) * 64 - ones).astype(np.uint32)
+        return cls(n, width, upper, ones, zeros, packed(values, width))
 
     def arrays(self, name: str) -> dict[str, np.ndarray]:
         head = np.array([self.n, self.width], np.uint64)
-        return {f"{name}.head": head, f"{name}.upper": self.upper, f"{name}.ones": self.ones, f"{name}.lower": self.lower}
+        return {f"{name}.head": head, f"{name}.upper": self.upper, f"{name}.ones": self.ones, f"{name}.zeros": self.zeros,
+                f"{name}.lower": self.lower}
 
     @classmethod
     def loaded(cls, arrays: dict[str, np.ndarray], name: str) -> "EliasFano":
         n, width = (int(x) for x in arrays[f"{name}.head"])
-        return cls(n, width, *(arrays[f"{name}.{part}"] for part in ("upper", "ones", "lower")))
+        return cls(n, width, *(arrays[f"{name}.{part}"] for part in ("upper", "ones", "zeros", "lower")))
 
     def at(self, i: np.ndarray) -> np.ndarray:
         """The numbers at places i."""
-        word = np.searchsorted(self.ones, i, side="right") - 1
+        word = last_word(self.ones, i)
         return self.inside(word, i)
 
     def inside(self, word: np.ndarray, i: np.ndarray) -> np.ndarray:
@@ -114,15 +115,13 @@ class EliasFano:
 
     def at_both(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers at places i and i + 1."""
-        word = np.searchsorted(self.ones, i, side="right") - 1
+        word = last_word(self.ones, i)
         return self.inside(word, i), self.inside(moved(self.ones, word, i + 1), i + 1)
 
     def bounds(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How many numbers have upper bits below ``high``, and how many not above."""
-        if self.zeros is None:
-            self.zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones.astype(np.int64)
         k = np.maximum(high - 1, 0)
-        word = np.searchsorted(self.zeros, k, side="right") - 1
+        word = last_word(self.zeros, k)
         below = word * 64 + nth_set(~self.upper[word], k - self.zeros[word]) - k
         word = moved(self.zeros, word, high)
         return np.where(high > 0, below, 0), word * 64 + nth_set(~self.upper[word], high - self.zeros[word]) - high
@@ -142,9 +141,14 @@ class EliasFano:
         return np.where(same, place, -1)
 
 
+def last_word(before: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """The last word with at most k before it.  Numbers of another type would have all of ``before`` copied."""
+    return np.searchsorted(before, k.astype(before.dtype), side="right") - 1
+
+
 def moved(before: np.ndarray, word: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """The last word with at most k before it, for words that are this one or, seldom, come after it."""
+    """As ``last_word``, for words that are this one or, seldom, come after it."""
     word = word.copy()
     later = np.flatnonzero(before[word + 1] <= k)
-    word[later] = np.searchsorted(before, k[later], side="right") - 1
+    word[later] = last_word(before, k[later])
     return word

@@ -57,12 +57,20 @@ def grouped(shard: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
 
 def packed(values: np.ndarray) -> bytes:
     """Values of eight bytes, laid out by significance: most of those bytes are alike and compress to little."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes())
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)
+    laid = np.empty((8, len(raw)), np.uint8)
+    for k in range(8):
+        laid[k] = raw[:, k]
+    return zstandard.ZstdCompressor(level=1).compress(laid.data)
 
 
 def unpacked(blob: bytes, kind: str) -> np.ndarray:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    return np.ascontiguousarray(raw.reshape(8, -1).T).view(kind).ravel()
+    laid = raw.reshape(8, -1)
+    values = np.empty((laid.shape[1], 8), np.uint8)
+    for k in range(8):
+        values[:, k] = laid[k]
+    return values.view(kind).ravel()
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,8 +203,9 @@ class Trie:
                 self.sequences[level, shard] = EliasFano.loaded(data, "contexts"), EliasFano.loaded(data, "pointers")
             contexts, pointers = self.sequences[level, shard]
             # Neighbours that share their context ask for it once.
-            new = np.concatenate([[True], context[at[1:]] != context[at[:-1]]])
-            place = contexts.find(context[at[new]].astype(np.uint64))
+            own = context[at]
+            new = np.concatenate([[True], own[1:] != own[:-1]])
+            place = contexts.find(own[new].astype(np.uint64))
             known = place >= 0
             if not known.any():
                 continue

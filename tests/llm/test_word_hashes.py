@@ -9,6 +9,7 @@ import pytest
 
 from lyceum.llm import ngram_trie, words
 from lyceum.llm.elias_fano import EliasFano, successors
+from lyceum.llm.mapped import Store
 
 TEXTS = [b"", b"The cat  the\tCAT", None, b" lead and trail\n", b"x", "Äb äB 長い 語".encode(), b"a\x0bb\x0cc\x1cd\x85e\x00f",
          b"", b"12345678 123456789 12345678901234567", b"Z" * 128 + b" " + b"z" * 129 + b" " + b"Z" * 1000, b"   ", None]
@@ -90,3 +91,23 @@ def test_neighbours_and_bounds(universe):
     below, not_above = sequence.bounds(high)
     assert below.tolist() == np.searchsorted(high, high).tolist()
     assert not_above.tolist() == np.searchsorted(high, high, side="right").tolist()
+
+
+@pytest.mark.parametrize("n", [0, 1, 4000])
+def test_searches_hold_no_copies_of_a_mapped_sequence(tmp_path, n):
+    """Lookups in all shards of a level must not add up to an index of the level in a worker."""
+    values = np.unique(np.random.default_rng(n).integers(0, 10**6, n)).astype(np.uint64)
+    store = Store(str(tmp_path))
+    store.write("level", EliasFano.of(values, 10**6).arrays("contexts"))
+    arrays = store.read("level")
+    sequence = EliasFano.loaded(arrays, "contexts")
+    assert sequence.find(values).tolist() == list(range(len(values)))
+    assert (sequence.find(np.arange(1000, dtype=np.uint64) * np.uint64(1000)) >= 0).sum() == (values % np.uint64(1000) == 0).sum()
+    own = [x for x in vars(sequence).values() if isinstance(x, np.ndarray)]
+    assert len(own) == 4 and all(any(x is y or np.shares_memory(x, y) for y in arrays.values()) for x in own if len(x))
+
+
+def test_packed_values_come_back():
+    for values in (np.empty(0, np.uint64), np.array([0, 1, 2**64 - 1], np.uint64), np.arange(5000, dtype=np.uint64) ** np.uint64(4)):
+        assert ngram_trie.unpacked(ngram_trie.packed(values), "<u8").tolist() == values.tolist()
+    assert ngram_trie.unpacked(ngram_trie.packed(np.array([0.25, -1e9, 3.0])), "<f8").tolist() == [0.25, -1e9, 3.0]
