@@ -31,6 +31,9 @@ def unpacked(words: np.ndarray, width: int, at: np.ndarray) -> np.ndarray:
     if not width:
         return np.zeros(len(at), np.uint64)
     place = at.astype(np.uint64) * np.uint64(width)
+    if width <= 57:  # within the eight bytes from the one on where the value begins
+        from_byte = np.ndarray((len(words) * 8 - 7,), "<u8", words, strides=(1,))
+        return (from_byte[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7))) & np.uint64((1 << width) - 1)
     word, shift = (place >> np.uint64(6)).astype(np.int64), place & np.uint64(63)
     low = words[word] >> shift
     high = np.where(shift > 0, words[word + 1] << ((np.uint64(64) - shift) & np.uint64(63)), np.uint64(0))
@@ -56,6 +59,13 @@ def nth_set(words: np.ndarray, n: np.ndarray) -> np.ndarray:
     return (shift + PLACES[((byte << np.uint64(3)) | n).astype(np.int64)]).astype(np.int64)
 
 
+def next_set(words: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of the first one behind the given place of each word, and which words have none."""
+    rest = (words >> place.astype(np.uint64)) & ~np.uint64(1)
+    lowest = np.bitwise_count((rest & -rest) - np.uint64(1))  # of no ones: 64
+    return place + lowest, np.flatnonzero(rest == 0)
+
+
 def successors(number: Callable[[np.ndarray], np.ndarray], begin: np.ndarray, end: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """For each range of places with ordered numbers, the first place of the wanted one, if it is there; else
     any place of the range (of an empty one, its begin).  All ranges are halved at a time; those of one place
@@ -105,26 +115,37 @@ class EliasFano:
     def at(self, i: np.ndarray) -> np.ndarray:
         """The numbers at places i."""
         word = last_word(self.ones, i)
-        return self.inside(word, i)
+        return self.number(word * 64 + nth_set(self.upper[word], i - self.ones[word].astype(np.int64)), i)
 
-    def inside(self, word: np.ndarray, i: np.ndarray) -> np.ndarray:
-        """The numbers at places i, whose upper bits are in the given words."""
-        place = word * 64 + nth_set(self.upper[word], i - self.ones[word].astype(np.int64))
-        high = (place - i).astype(np.uint64)
-        return (high << np.uint64(self.width)) | unpacked(self.lower, self.width, i)
+    def number(self, place: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """The numbers at places i, whose ones are at the given places of the upper bits."""
+        return ((place - i).astype(np.uint64) << np.uint64(self.width)) | unpacked(self.lower, self.width, i)
 
     def at_both(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers at places i and i + 1."""
         word = last_word(self.ones, i)
-        return self.inside(word, i), self.inside(moved(self.ones, word, i + 1), i + 1)
+        bits = self.upper[word]
+        inside = nth_set(bits, i - self.ones[word].astype(np.int64))
+        later, more = next_set(bits, inside)
+        later += word * 64
+        if len(more):
+            after = last_word(self.ones, i[more] + 1)
+            later[more] = after * 64 + nth_set(self.upper[after], i[more] + 1 - self.ones[after].astype(np.int64))
+        return self.number(word * 64 + inside, i), self.number(later, i + 1)
 
     def bounds(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How many numbers have upper bits below ``high``, and how many not above."""
         k = np.maximum(high - 1, 0)
         word = last_word(self.zeros, k)
-        below = word * 64 + nth_set(~self.upper[word], k - self.zeros[word]) - k
-        word = moved(self.zeros, word, high)
-        return np.where(high > 0, below, 0), word * 64 + nth_set(~self.upper[word], high - self.zeros[word]) - high
+        bits = ~self.upper[word]
+        inside = nth_set(bits, k - self.zeros[word].astype(np.int64))
+        later, more = next_set(bits, inside)
+        later += word * 64
+        if len(more):
+            after = last_word(self.zeros, k[more] + 1)
+            later[more] = after * 64 + nth_set(~self.upper[after], k[more] + 1 - self.zeros[after].astype(np.int64))
+        below = word * 64 + inside - k
+        return np.where(high > 0, below, 0), np.where(high > 0, later - high, below)
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """Place of the first number that is not smaller, if it is equal; else -1.
@@ -144,11 +165,3 @@ class EliasFano:
 def last_word(before: np.ndarray, k: np.ndarray) -> np.ndarray:
     """The last word with at most k before it.  Numbers of another type would have all of ``before`` copied."""
     return np.searchsorted(before, k.astype(before.dtype), side="right") - 1
-
-
-def moved(before: np.ndarray, word: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """As ``last_word``, for words that are this one or, seldom, come after it."""
-    word = word.copy()
-    later = np.flatnonzero(before[word + 1] <= k)
-    word[later] = last_word(before, k[later])
-    return word

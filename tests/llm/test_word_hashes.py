@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lyceum.llm import ngram_trie, words
+from lyceum.llm import elias_fano, ngram_trie, words
 from lyceum.llm.elias_fano import EliasFano, successors
 from lyceum.llm.mapped import Store
 
@@ -111,3 +111,20 @@ def test_packed_values_come_back():
     for values in (np.empty(0, np.uint64), np.array([0, 1, 2**64 - 1], np.uint64), np.arange(5000, dtype=np.uint64) ** np.uint64(4)):
         assert ngram_trie.unpacked(ngram_trie.packed(values), "<u8").tolist() == values.tolist()
     assert ngram_trie.unpacked(ngram_trie.packed(np.array([0.25, -1e9, 3.0])), "<f8").tolist() == [0.25, -1e9, 3.0]
+
+
+@pytest.mark.parametrize("width", [1, 7, 31, 57, 58, 63])
+def test_values_of_any_width(width):
+    values = np.random.default_rng(width).integers(0, 1 << width, 500, dtype=np.uint64)
+    assert elias_fano.unpacked(elias_fano.packed(values, width), width, np.arange(500)).tolist() == values.tolist()
+
+
+def test_next_set():
+    draw = np.random.default_rng(8)
+    bits = draw.integers(0, 2**64, 200, dtype=np.uint64) & draw.integers(0, 2**64, 200, dtype=np.uint64)
+    bits = np.concatenate([bits, np.array([0, 2**63, 2**64 - 1], np.uint64)])
+    for place in (0, 1, 40, 62, 63):
+        found, none = elias_fano.next_set(bits, np.full(len(bits), place))
+        behind = [[k for k in range(place + 1, 64) if int(word) >> k & 1] for word in bits]
+        assert none.tolist() == [i for i, own in enumerate(behind) if not own]
+        assert [int(p) - own[0] for p, own in zip(found, behind, strict=True) if own] == [0] * (len(bits) - len(none))
