@@ -10,12 +10,21 @@ from collections.abc import Callable
 import numpy as np
 
 
+# Values that are packed at a time: their bits fill whole words.
+AT_ONCE = 1 << 16
+
+
 def packed(values: np.ndarray, width: int) -> np.ndarray:
     """The lower ``width`` bits of each value, one after the other, in 64-bit words (and a spare one)."""
     if not width or not len(values):
         return np.zeros(1, np.uint64)
-    bits = ((values[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8).ravel()
-    return words_from_bits(bits, spare=1)
+    words = np.zeros(-(-len(values) * width // 64) + 1, np.uint64)
+    places = np.arange(width, dtype=np.uint64)
+    for at in range(0, len(values), AT_ONCE):
+        part = values[at: at + AT_ONCE]
+        own = words_from_bits(((part[:, None] >> places) & np.uint64(1)).astype(np.uint8).ravel())
+        words[at * width // 64: at * width // 64 + len(own)] = own
+    return words
 
 
 def words_from_bits(bits: np.ndarray, spare: int = 0) -> np.ndarray:

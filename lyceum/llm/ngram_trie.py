@@ -34,6 +34,8 @@ from lyceum.session import scratch_path
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no token holds a line feed
 STEP = 1 / 2048  # of quantised log10 values, 0 to -32
 SLICE = 4 << 20
+AT_ONCE = 1 << 20  # followers whose probabilities are worked out at a time
+PER_SHARD = 8_000_000  # training tokens for each shard of a level above the first, at most
 SENT = "shard int, keys binary, counts binary"
 
 
@@ -76,9 +78,33 @@ def unpacked(blob: bytes, kind: str) -> np.ndarray:
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, with the sums of their counts."""
     order = order_of(keys)
-    keys, counts = keys[order], counts[order]
-    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-    return keys[new], np.add.reduceat(counts, new) if len(new) else counts
+    keys = keys[order]
+    counts = counts[order]
+    del order
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    if new.all():
+        return keys, counts
+    return keys[new], np.add.reduceat(counts, np.flatnonzero(new))
+
+
+def joined(parts: list[np.ndarray]) -> np.ndarray:
+    """All parts in one array; each is let go as soon as it is copied."""
+    if len(parts) == 1:
+        return parts.pop()
+    both = np.empty(sum(map(len, parts)), parts[0].dtype)
+    end = len(both)
+    while parts:
+        begin = end - len(parts[-1])
+        both[begin:end] = parts.pop()
+        end = begin
+    return both
+
+
+def summed_parts(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """``summed`` over parts, which are taken out of their lists."""
+    own = joined(keys)
+    return summed(own, joined(counts))
 
 
 class Tally:
@@ -101,9 +127,11 @@ class Tally:
                 yield from self.rows()
 
     def merge(self) -> None:
-        if self.parts:
-            both = summed(*(np.concatenate(x) for x in zip(*self.parts, strict=True)))
-            self.parts, self.size = [both], len(both[0])
+        if len(self.parts) > 1:
+            keys, counts = (list(x) for x in zip(*self.parts, strict=True))
+            self.parts = []
+            self.parts = [summed_parts(keys, counts)]
+            self.size = len(self.parts[0][0])
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         self.merge()
@@ -121,14 +149,18 @@ def sent(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray, shards: int) -
 
 
 def by_shard(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Each shard of a task with its keys and sums."""
-    parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    """Each shard of a task with its keys and sums.  Rows wait as they came, and are unpacked shard by shard."""
+    rows: dict[int, list[tuple[pa.Scalar, pa.Scalar]]] = {}
     for batch in batches:
-        for shard, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("shard", "keys", "counts")), strict=True):
-            parts.setdefault(shard, []).append((np.cumsum(unpacked(keys, "<u8"), dtype=np.uint64), unpacked(counts, kind)))
-    for shard in sorted(parts):
-        own = parts.pop(shard)
-        yield shard, *summed(*(np.concatenate(x) for x in zip(*own, strict=True)))
+        for shard, keys, counts in zip(*(batch.column(c) for c in ("shard", "keys", "counts")), strict=True):
+            rows.setdefault(shard.as_py(), []).append((keys, counts))
+    for shard in sorted(rows):
+        own, keys, counts = rows.pop(shard), [], []
+        while own:
+            blobs = [x.as_buffer() for x in own.pop()]
+            keys.append(np.cumsum(unpacked(blobs[0], "<u8"), dtype=np.uint64))
+            counts.append(unpacked(blobs[1], kind))
+        yield shard, *summed_parts(keys, counts)
 
 
 @dataclass
@@ -136,7 +168,7 @@ class Shape:
     """What all tasks know of a model: where it is, and how many entries its shards have."""
 
     uri: str
-    shards: int
+    shards: int              # of the first level, and of those above it at least
     discount: float
     bases: list[np.ndarray]  # per level, the first id of each shard, and the end
     tokens: int = 0          # N
@@ -147,6 +179,10 @@ class Shape:
     def distinct(self) -> int:
         return int(self.bases[0][-1])
 
+    def shards_of(self, level: int) -> int:
+        """A level has no more n-grams than there are tokens, so a task's share does not grow with the texts."""
+        return self.shards if level == 1 else max(self.shards, -(-self.tokens // PER_SHARD))
+
 
 class Trie:
     """Lookups in the levels of a model, for arrays of tokens."""
@@ -178,7 +214,7 @@ class Trie:
         """Values that the files ``name`` hold for nodes of a level."""
         bases = self.shape.bases[level - 1]
         found = np.zeros(len(ids), np.int64)
-        for shard, at in grouped(np.searchsorted(bases, ids, side="right") - 1, self.shape.shards):
+        for shard, at in grouped(np.searchsorted(bases, ids, side="right") - 1, len(bases) - 1):
             found[at] = self.file(f"{name}{level}-{shard}")[key][ids[at] - bases[shard]]
         return found
 
@@ -195,7 +231,8 @@ class Trie:
         takes what the nodes leave."""
         nodes, logs = np.full(len(context), -1), np.zeros(len(context))
         bases = self.shape.bases[level - 1]
-        for shard, at in grouped(shard_of(mixed(self.keys(context, token), level), self.shape.shards), self.shape.shards):
+        shards = len(bases) - 1
+        for shard, at in grouped(shard_of(mixed(self.keys(context, token), level), shards), shards):
             if bases[shard + 1] == bases[shard]:
                 continue
             data = self.file(f"level{level}-{shard}")
@@ -295,7 +332,8 @@ def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def exchanged(rows: DataFrame, shards: int) -> DataFrame:
-    return rows.repartition(shards, "shard")
+    """A task for each shard; by a hash of its number some tasks would get several."""
+    return rows.repartitionById(shards, "shard")
 
 
 def bases_from(rows: list, shards: int) -> np.ndarray:
@@ -310,7 +348,8 @@ def build(spark: SparkSession, train: DataFrame, order: int = 3, min_count: int
     """Count all n-grams of the training texts and write the trie to the shared folder.
 
     One pass over the texts per level.  ``shards`` is how many files a level has (by default the number of
-    shuffle partitions); the driver learns one size per shard."""
+    shuffle partitions; levels above the first have more if the texts have more tokens than ``PER_SHARD`` for each); the
+    driver learns one size per shard."""
     if not 1 <= order <= 3:
         raise ValueError("levels above the third would need the suffixes of their contexts")
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -341,7 +380,8 @@ def build(spark: SparkSession, train: DataFrame, order: int = 3, min_count: int
 
 
 def add_level(spark: SparkSession, texts: DataFrame, shape: Shape, level: int, min_count: int) -> None:
-    uri, shards, discount = shape.uri, shape.shards, shape.discount
+    uri, discount = shape.uri, shape.discount
+    shards, below = shape.shards_of(level), shape.shards_of(level - 1)
     if int(shape.bases[level - 2][-1]).bit_length() + shape.bits > 64:
         raise ValueError("too many contexts for 64-bit keys: raise min_count")
 
@@ -351,7 +391,9 @@ def add_level(spark: SparkSession, texts: DataFrame, shape: Shape, level: int, m
         for part in slices(batches, "text", SLICE):
             text = read(trie, part.column("text"))
             at, nodes = contexts_of(trie, text, level, min_count)
-            yield from tally.add(trie.keys(nodes, text.ids[at]))
+            keys = trie.keys(nodes, text.ids[at])
+            del text, at, nodes  # before the tally is merged
+            yield from tally.add(keys)
         yield from tally.rows()
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,21 +401,24 @@ def add_level(spark: SparkSession, texts: DataFrame, shape: Shape, level: int, m
         without keys) and what its n-grams take from their contexts, by the shard of the context."""
         bases = shape.bases[level - 2]
         for shard, keys, counts in by_shard(batches, "<u8"):
-            kept = counts >= min_count
-            keys, counts = keys[kept], counts[kept]
+            if min_count > 1:
+                kept = counts >= min_count
+                keys, counts = keys[kept], counts[kept]
             if len(keys):
-                context, token = keys >> np.uint64(shape.bits), keys & np.uint64((1 << shape.bits) - 1)
-                distinct, first = np.unique(context, return_index=True)
+                context = keys >> np.uint64(shape.bits)
+                first = np.flatnonzero(np.diff(context, prepend=~context[:1]))  # in order, as the keys are
+                of_level = EliasFano.of(context[first], int(bases[-1])).arrays("contexts")
+                del context
                 Store(uri).write(f"counts{level}-{shard}", {"counts": counts.astype(np.min_scalar_type(int(counts.max())))})
                 Store(uri).write(f"level{level}-{shard}", {
-                    **EliasFano.of(distinct, int(bases[-1])).arrays("contexts"),
+                    **of_level,
                     **EliasFano.of(np.append(first, len(keys)), len(keys) + 1).arrays("pointers"),
-                    "followers": token.astype(np.uint32 if shape.bits <= 32 else np.uint64)})
+                    "followers": (keys & np.uint64((1 << shape.bits) - 1)).astype(np.uint32 if shape.bits <= 32 else np.uint64)})
             yield pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int32()), pa.array([None], pa.binary()), pa.array([None], pa.binary()),
                  pa.array([len(keys)], pa.int64())], names=["shard", "keys", "counts", "n"])
             contexts, taken = summed(keys >> np.uint64(shape.bits), counts - discount)
-            for batch in sent(contexts, taken, np.searchsorted(bases, contexts.astype(np.int64), side="right") - 1, shards):
+            for batch in sent(contexts, taken, np.searchsorted(bases, contexts.astype(np.int64), side="right") - 1, below):
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([None], pa.int64())], names=["shard", "keys", "counts", "n"])
 
     path = scratch_path(spark, "taken")
@@ -393,7 +438,8 @@ def add_level(spark: SparkSession, texts: DataFrame, shape: Shape, level: int, m
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32())], names=["shard"])
 
     # A shard whose contexts lead nowhere is not in the rows: every shard starts with a file of zeros.
-    every = spark.range(shards).select(F.col("id").cast("int").alias("shard"))
+    def numbers(n: int) -> DataFrame:
+        return spark.range(n).select(F.col("id").cast("int").alias("shard"))
 
     def write_zeros(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -402,8 +448,8 @@ def add_level(spark: SparkSession, texts: DataFrame, shape: Shape, level: int, m
                 Store(uri).write(f"left{level - 1}-{shard}", {"codes": np.zeros(n, np.uint16)})
             yield batch
 
-    every.mapInArrow(write_zeros, "shard int").count()
-    exchanged(counted.filter("keys is not null").drop("n"), shards).mapInArrow(write_left, "shard int").count()
+    numbers(below).mapInArrow(write_zeros, "shard int").count()
+    exchanged(counted.filter("keys is not null").drop("n"), below).mapInArrow(write_left, "shard int").count()
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The quantised probabilities of a shard."""
@@ -414,15 +460,23 @@ def add_level(spark: SparkSession, texts: DataFrame, shape: Shape, level: int, m
                     continue
                 data, counts = trie.file(f"level{level}-{shard}"), trie.file(f"counts{level}-{shard}")["counts"]
                 contexts, pointers = EliasFano.loaded(data, "contexts"), EliasFano.loaded(data, "pointers")
-                context = contexts.at(np.arange(contexts.n)).astype(np.int64)
-                times = np.diff(pointers.at(np.arange(pointers.n)).astype(np.int64))
-                below = log_probability(trie, level - 1, context, times, data["followers"].astype(np.int64))
-                p = (counts - discount) / np.repeat(trie.of_nodes(level - 1, "counts", context, "counts"), times) + 10.0 ** (
-                    np.repeat(trie.left(level - 1, context), times) + below)
-                Store(uri).write(f"codes{level}-{shard}", {"codes": quantised(np.log10(np.minimum(p, 1.0)))})
+                ends = pointers.at(np.arange(pointers.n)).astype(np.int64)
+                codes = np.empty(len(counts), np.uint16)
+                for begin in range(0, len(counts), AT_ONCE):
+                    end = min(begin + AT_ONCE, len(counts))
+                    # The contexts of these followers; the first and the last may have others.
+                    at = np.arange(np.searchsorted(ends, begin, side="right") - 1, np.searchsorted(ends, end))
+                    context = contexts.at(at).astype(np.int64)
+                    times = np.diff(np.clip(ends[at[0]: at[-1] + 2], begin, end))
+                    shorter = log_probability(trie, level - 1, context, times, data["followers"][begin:end].astype(np.int64))
+                    p = (counts[begin:end] - discount) / np.repeat(
+                        trie.of_nodes(level - 1, "counts", context, "counts"), times) + 10.0 ** (
+                        np.repeat(trie.left(level - 1, context), times) + shorter)
+                    codes[begin:end] = quantised(np.log10(np.minimum(p, 1.0)))
+                Store(uri).write(f"codes{level}-{shard}", {"codes": codes})
             yield batch
 
-    every.repartition(shards, "shard").mapInArrow(finish, "shard int").count()
+    exchanged(numbers(shards), shards).mapInArrow(finish, "shard int").count()
     shape.bases.append(bases)
 
 

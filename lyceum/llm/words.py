@@ -110,9 +110,12 @@ def order_of(values: np.ndarray) -> np.ndarray:
         return np.zeros(n, np.int64)
     spare = np.uint64(64 - max(int(values.max()).bit_length(), 1))
     mask = np.uint64((1 << (n - 1).bit_length()) - 1)
-    both = ((values << spare) & ~mask) | np.arange(n, dtype=np.uint64)
+    both = values << spare  # then in place, as the values may be many
+    both &= ~mask
+    both |= np.arange(n, dtype=np.uint64)
     both.sort()
-    order = (both & mask).astype(np.int64)
+    both &= mask
+    order = both.view(np.int64)
     ordered = values[order]
     return order if (ordered[1:] >= ordered[:-1]).all() else np.argsort(values)
 
