@@ -2,6 +2,7 @@
 
 import glob
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 from test_buckets import DAY
 
@@ -29,3 +30,21 @@ def test_old_versions_of_state_leave_the_checkpoint(spark, frame, tmp_path):
     assert spark.read.parquet(out).count() == 50
     # A store is closed after its micro-batch.
     assert RUNTIME["spark.sql.streaming.stateStore.unloadOnCommit"] == "true"
+
+
+def test_feeds_are_deleted_and_tables_are_small(spark, frame):
+    root, seen = spark.conf.get("spark.checkpoint.dir").removeprefix("file://"), []
+    rows = held_pieces(frame, 4)
+    table = jobs.KeyedTable(spark, "kept-table", ["id"], ["version"])
+
+    def run(feed):
+        table.fill(feed["rows"])
+        seen.append(len(glob.glob(f"{root}/short-lived-feeds-*/rows/*.parquet")))
+
+    jobs.replay_feeds(spark, [{"rows": p.coalesce(1)} for p in rows], run, "short-lived")
+    assert seen == [1, 1, 1, 1] and not glob.glob(f"{root}/short-lived-feeds-*")
+    assert table.read().count() == 50
+    files = glob.glob(f"{table.path.removeprefix('file://')}/batch_id=*/*.parquet")
+    assert len(files) >= 4 and all(pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD" for f in files)
+    out = jobs.replay(spark, rows, lambda feed: feed.select("id"), "short-replay")
+    assert out.count() == 600 and not glob.glob(f"{root}/short-replay-feed-*")
