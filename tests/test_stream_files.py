@@ -1,14 +1,18 @@
 """What replayed streams leave on disk, and what their stores hold."""
 
 import glob
+import random
 
+import pandas as pd
+import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
-from test_buckets import DAY
+from test_buckets import DAY, At
+from test_stream_joins import Handle, blobs
 
 from lyceum.operators.windows import watermark
 from lyceum.session import RUNTIME
-from lyceum.streaming import jobs, state
+from lyceum.streaming import jobs, joins, state
 
 
 def held_pieces(frame, pieces):
@@ -48,3 +52,25 @@ def test_feeds_are_deleted_and_tables_are_small(spark, frame):
     assert len(files) >= 4 and all(pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD" for f in files)
     out = jobs.replay(spark, rows, lambda feed: feed.select("id"), "short-replay")
     assert out.count() == 600 and not glob.glob(f"{root}/short-replay-feed-*")
+
+
+def test_a_join_keeps_and_gives_small_parts():
+    rnd, handle = random.Random(5), Handle()
+    processor = joins.WithinJoin(("k", "rk"), ("lt", "rt"), DAY, (DAY, DAY))
+    processor.init(handle)
+    left = [{"k": "a", "lt": rnd.randrange(3 * DAY) * 1000, "n": i} for i in range(50_000)]
+    chunk = pd.DataFrame(blobs([{"rk": "a", "rt": DAY * 1000, "v": 1}], 1), columns=["side", "rows"])
+    types = pa.schema([("k", pa.string()), ("lt", pa.timestamp("us", "UTC")), ("n", pa.int64())])
+    whole = pd.DataFrame([(0, state._to_bytes(pa.Table.from_pylist(left, types)))], columns=["side", "rows"])
+    out = [state._from_bytes(b) for f in processor.handleInputRows((0,), iter([whole, chunk]), At(0)) for b in f["rows"]]
+    kept = [state._from_bytes(bytes(v[0])) for (side, _, _), v in handle.kept.entries.items() if side == 0]
+    assert sum(t.num_rows for t in kept) == 50_000
+    assert sum(t.num_rows for t in out) == sum(r["lt"] <= 2 * DAY * 1000 for r in left) > 30_000
+    assert max(t.num_rows for t in out + kept) <= 20_000
+
+
+def test_blobs_of_text_are_packed_close():
+    rnd = random.Random(6)
+    table = pa.table({"id": [f"{rnd.randrange(10**7)}-{i % 7}" for i in range(5000)], "t": [rnd.randrange(10**6) for _ in range(5000)]})
+    blob = state._to_bytes(table)
+    assert state._from_bytes(blob).equals(table) and len(blob) < 13 * 5000
